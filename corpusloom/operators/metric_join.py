@@ -1,0 +1,138 @@
+"""Similarity self-join of strings under a true edit metric, by metric-space partitioning.
+
+Strings are assigned to their nearest pivot (and to their length, which is the
+distance to the empty string); a string is replicated to every cell it could
+have a partner in by the triangle inequality, and cells are joined exactly.
+"""
+
+from __future__ import annotations
+
+from collections import defaultdict
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Strings per pivot, and the most pivots.
+PER_PIVOT, MAX_PIVOTS = 1500, 512
+
+
+def edit_distance(a: str, b: str) -> int:
+    """Damerau-Levenshtein distance (adjacent transpositions, a true metric)."""
+    if a == b:
+        return 0
+    return int(edit_distances(a, [b])[0])
+
+
+def within_one(a: str, b: str) -> bool:
+    """Whether the distance is at most one, in one pass over the strings."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) - len(a) > 1:
+        return False
+    i, n = 0, len(a)
+    while i < n and a[i] == b[i]:
+        i += 1
+    if i == n:
+        return True
+    if len(a) < len(b):
+        return a[i:] == b[i + 1 :]
+    return a[i + 1 :] == b[i + 1 :] or (a[i] == b[i + 1 : i + 2] and a[i + 1 : i + 2] == b[i] and a[i + 2 :] == b[i + 2 :])
+
+
+def edit_distances(pivot: str, words: list[str]) -> np.ndarray:
+    """Distances of one string to many, as one dynamic programme over all of them."""
+    n = len(words)
+    sizes = np.array([len(w) for w in words], dtype=np.int64)
+    wide = int(sizes.max()) if n else 0
+    codes = np.zeros((n, wide), dtype=np.int64)
+    for i, w in enumerate(words):
+        codes[i, : len(w)] = [ord(c) for c in w]
+    m, rows = len(pivot), np.arange(n)
+    big = m + wide + 1
+    h = np.full((m + 2, wide + 2, n), big, dtype=np.int32)
+    h[1:, 1] = np.arange(m + 1)[:, None]
+    h[1, 1:] = np.arange(wide + 1)[:, None]
+    last: dict[int, int] = {}
+    for i in range(1, m + 1):
+        c, same_at = ord(pivot[i - 1]), np.zeros(n, dtype=np.int64)
+        for j in range(1, wide + 1):
+            col = codes[:, j - 1]
+            same = col == c
+            row = np.zeros(n, dtype=np.int64)
+            for code, at in last.items():
+                row[col == code] = at
+            swap = h[row, same_at, rows] + (i - row - 1) + 1 + (j - same_at - 1)
+            best = np.minimum(np.minimum(h[i, j] + np.where(same, 0, 1), h[i + 1, j] + 1), np.minimum(h[i, j + 1] + 1, swap))
+            h[i + 1, j + 1] = best
+            same_at = np.where(same, j, same_at)
+        last[c] = i
+    return h[m + 1, sizes + 1, rows]
+
+
+def _deletions(word: str, radius: int) -> set[str]:
+    out, layer = {word}, {word}
+    for _ in range(radius):
+        layer = {w[:i] + w[i + 1 :] for w in layer for i in range(len(w))}
+        out |= layer
+    return out
+
+
+def _pivots(words: DataFrame, count: int) -> list[str]:
+    """A bounded sample, far apart from each other: farthest-first among ``8 * count`` strings."""
+    pool = [r[0] for r in words.orderBy(F.xxhash64("word"), "word").limit(min(8 * count, 2048)).collect()]
+    if not pool:
+        return []
+    chosen, near = [pool[0]], edit_distances(pool[0], pool)
+    while len(chosen) < count and near.max() > 0:
+        chosen.append(pool[int(near.argmax())])
+        near = np.minimum(near, edit_distances(chosen[-1], pool))
+    return chosen
+
+
+def radius_join(words: DataFrame, radius: int = 1, pivots: int | None = None) -> DataFrame:
+    """(a, b, distance), a < b: all pairs of distinct strings within ``radius`` edits.
+
+    ``words`` has a column ``word``; repeated and NULL strings are dropped, the
+    empty string is a string. Inside a cell partners are found over strings with
+    up to ``radius`` characters left out and confirmed by the metric, so that no
+    cell compares all of its pairs.
+    """
+    words = words.select("word").where("word is not null").distinct()
+    count = pivots or min(MAX_PIVOTS, max(4, words.count() // PER_PIVOT))
+    chosen = _pivots(words, count)
+
+    def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            word = frame["word"].tolist()
+            if not word or not chosen:
+                continue
+            out = []
+            for at in range(0, len(word), 1024):
+                part = word[at : at + 1024]
+                d = np.stack([edit_distances(p, part) for p in chosen])
+                home = d.argmin(axis=0)
+                near = d <= d.min(axis=0) + 2 * radius
+                for i, w in enumerate(part):
+                    out.append((int(home[i]), len(w), w, True))
+                    for p in np.flatnonzero(near[:, i]):
+                        out += [(int(p), size, w, False) for size in range(max(0, len(w) - radius), len(w) + radius + 1) if (p, size) != (home[i], len(w))]
+            yield pd.DataFrame(out, columns=["pivot", "size", "word", "home"])
+
+    def join(frame: pd.DataFrame) -> pd.DataFrame:
+        index = defaultdict(list)
+        for w in frame["word"]:
+            for v in _deletions(w, radius):
+                index[v].append(w)
+        pairs = set()
+        for w in frame.loc[frame["home"], "word"]:
+            for v in _deletions(w, radius):
+                pairs.update((w, x) for x in index[v] if x != w)
+        measure = (lambda a, b: 1 if within_one(a, b) else 2) if radius == 1 else edit_distance
+        out = [(min(a, b), max(a, b), d) for a, b in pairs if (d := measure(a, b)) <= radius]
+        return pd.DataFrame(out, columns=["a", "b", "distance"])
+
+    cells = words.mapInPandas(assign, "pivot int, size int, word string, home boolean")
+    return cells.groupBy("pivot", "size").applyInPandas(join, "a string, b string, distance int").distinct()

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +15,32 @@ from pyspark.sql import functions as F
 #: Largest table (bytes of plan statistics or rows counted) that may be broadcast by hand.
 BROADCAST_ROWS = 200_000
 
+_shipped: dict[str, str] = {}
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application.
+
+    Python workers import it by name; the driver serves the archive, so nothing
+    has to be installed on the executors.
+    """
+    context = spark.sparkContext
+    if _shipped.get("id") == context.applicationId:
+        return
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="corpusloom-ship-")
+    atexit.register(shutil.rmtree, folder, True)
+    archive = f"{folder}/corpusloom.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    context.addPyFile(archive)
+    _shipped["id"] = context.applicationId
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the data folder."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
