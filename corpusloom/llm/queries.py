@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import encode, mixing, sampling, survivors
+from corpusloom.llm import encode, mixing, name_variants, readability, sampling, scan_repair, site_lines, survivors
 from corpusloom.session import table
 
 
@@ -32,6 +32,45 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
     return report.drop("fam").join(drawn, ["config_id", "platform_family"], "left").fillna(0, ["drawn"])
 
 
+def _scans(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, dict]:
+    docs, notes = table(spark, d, "extracted_docs"), table(spark, d, "sidecars")
+    return docs, notes, scan_repair.find(docs, notes)
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """Marks of print and scanning in lines and notes."""
+    return scan_repair.found(_scans(spark, d)[2])
+
+
+def p2_text(spark: SparkSession, d: str) -> DataFrame:
+    """Body and notes as continuous paragraphs."""
+    docs, notes, parts = _scans(spark, d)
+    return scan_repair.repaired_lines(docs, parts).unionAll(scan_repair.repaired_notes(notes, parts))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of spellings of the same person, institution or journal."""
+    return name_variants.found(*name_variants.find(table(spark, d, "holdings"), table(spark, d, "registry")))
+
+
+def p3_entities(spark: SparkSession, d: str) -> DataFrame:
+    """Every spelling with its entity, and how many other spellings that has."""
+    authors, journals = name_variants.find(table(spark, d, "holdings"), table(spark, d, "registry"))
+    return name_variants.members(authors, journals)
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Lines that a site puts into many of its documents."""
+    docs = table(spark, d, "extracted_docs")
+    return site_lines.found_lines(docs, site_lines.repeated(docs)).select("pdf_id", "page_number", "side", "line_no")
+
+
+def p5_clean(spark: SparkSession, d: str) -> DataFrame:
+    """The pages without those lines."""
+    docs = table(spark, d, "extracted_docs")
+    return site_lines.without_repeated(docs, site_lines.repeated(docs))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     """Groups of records of the same PDF with the record that survives."""
     return survivors.survivors(table(spark, d, "pdf_records")).select("first_id", "canonical_id")
@@ -69,7 +108,24 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
     return mixing.reached(planned, mixing.mixture(sized, planned))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_sample, p1_report, p6_found, p6_survivors, p7_ids, p8_found, p8_mixture, p8_report)}
+def _levels(spark: SparkSession, d: str) -> DataFrame:
+    return readability.levels(table(spark, d, "documents"), table(spark, d, "grade_labels"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Level of every English document of at least 40 words."""
+    return _levels(spark, d).select("doc_id", "level")
+
+
+def p9_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Documents and mean grade by level."""
+    return readability.profile(_levels(spark, d))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (p1_found, p1_sample, p1_report, p2_found, p2_text, p3_found, p3_entities, p5_found, p5_clean, p6_found, p6_survivors, p7_ids, p8_found, p8_mixture, p8_report, p9_found, p9_profile)
+}
 
 _FAMILY = "nullif(regexp_replace(lower({}), '[^\\p{{L}}\\p{{N}}]+', '', 'g'), '')"
 
@@ -84,6 +140,15 @@ SQL = {
         LEFT JOIN have h ON h.fam = {_FAMILY.format('t.platform_family')}
         WHERE coalesce(h.n, 0) < c.floor_per_family
            OR coalesce(h.n, 0) < CAST(t.target_share AS DECIMAL(18,9)) * c.sample_size""",
+    "p5_found": r"""
+        WITH d AS (SELECT pdf_id, nullif(lower(regexp_extract(pdf_path, '/pdfs/([^/]+)/', 1)), '') AS site, unnest(pages) AS p FROM extracted_docs),
+        l AS (SELECT pdf_id, site, p.page_number AS page_number, 'body' AS side, unnest(p.body_lines).text AS text, generate_subscripts(p.body_lines, 1) - 1 AS line_no FROM d
+              UNION ALL SELECT pdf_id, site, p.page_number, 'note', unnest(p.note_lines).text, generate_subscripts(p.note_lines, 1) - 1 FROM d),
+        k AS (SELECT *, regexp_replace(lower(text), '[^\p{L}]+', '', 'g') AS letters FROM l WHERE site IS NOT NULL),
+        n AS (SELECT site, count(DISTINCT pdf_id) AS n FROM d WHERE site IS NOT NULL GROUP BY site),
+        g AS (SELECT site, letters, count(DISTINCT pdf_id) AS df FROM k WHERE length(letters) >= 20 GROUP BY site, letters)
+        SELECT k.pdf_id, k.page_number, k.side, CAST(k.line_no AS INTEGER) AS line_no
+        FROM k JOIN g USING (site, letters) JOIN n USING (site) WHERE g.df >= 3 AND g.df * 10 >= n.n""",
     "p6_found": r"""
         WITH RECURSIVE k AS (
           SELECT pdf_id, 's' || lower(sha256) AS key FROM pdf_records WHERE sha256 IS NOT NULL AND trim(sha256) <> ''
