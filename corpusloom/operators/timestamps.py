@@ -58,7 +58,7 @@ def cleaned(value: Column) -> Column:
 
 def shape_mask(clean: Column) -> Column:
     steps = [
-        (r"^[MDCLXVI]{2,}$", "r"),
+        (r"^[MDCLXVI]{2,15}$", "r"),
         (rf"(?<![A-Z])(?:{MONTH_WORDS})(?![A-Z])", "b"),
         (rf"(?<![A-Z])(?:{DAY_WORDS})(?![A-Z])", "w"),
         (rf"(?<![A-Z])(?:{SEASON_WORDS})(?![A-Z])", "s"),
