@@ -5,7 +5,7 @@ over them five classic formulas (Flesch-Kincaid, Gunning fog, SMOG, Coleman-
 Liau, automated readability) give school grades from lengths of sentences and
 words and from syllables, which hyphenation-style rules count. The estimate is
 the median of the grades, and cut points fitted on a bounded sample of graded
-documents put it on the scale of the labels. All of it is built-in expressions.
+documents put it on the scale of the labels.
 
 Defined results: NULL, empty and blank texts have no words and no grade; texts
 that are not English or have fewer than ``least_words`` words are not graded by
@@ -15,10 +15,18 @@ repeated rows are graded alike; without labels the cut points are the defaults.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.session import stage
+
 LEAST_WORDS = 40
+#: Least share of English function words, less those of other languages, of an English text.
+ENGLISH_SHARE = 0.08
 #: Most graded documents the cut points are fitted on.
 MAX_LABELS = 5000
 #: Grades that separate the levels where nothing is labelled.
@@ -29,59 +37,117 @@ ENGLISH = "the|of|and|to|that|with|this|which|from|by|was|are|is|for|each|every|
 FOREIGN = "der|die|das|und|nicht|ist|ein|eine|den|von|mit|des|dem|el|la|los|las|que|del|por|una|con|para|le|les|et|dans|est|une|du|pour|qui|il|di|che|della|per|non|sono|gli|do|da|em|os|um|uma|het|een|van|niet|og|och"
 
 
-def word_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(r"[\p{L}\p{N}][\p{L}\p{N}'’-]*")), F.lit(0))
-
-
-def english_share(lower: Column, words: Column) -> Column:
-    """Share of English function words less that of other languages' ones."""
-    own = F.regexp_count(lower, F.lit(rf"(?<![\p{{L}}])(?:{ENGLISH})(?![\p{{L}}])"))
-    other = F.regexp_count(lower, F.lit(rf"(?<![\p{{L}}])(?:{FOREIGN})(?![\p{{L}}])"))
-    return (own - other) / F.greatest(words, F.lit(1))
+# hyphenation-style rules on single words: vowels that are not spoken, and vowels that are spoken apart
+_SILENT = [
+    (re.compile(r"(?<=[a-z]{2}[^aeiouytd])ed$"), "d"),  # fin-ished, but need-ed
+    (re.compile(r"(?<=[a-z][^aeiouyl])e$|(?<=[aeiouy]l)e$"), ""),  # es-tate and whole, but ta-ble
+    (re.compile(r"(?<=[^aeiouyscxzgh])es$|(?<=[^sc]h)es$"), "s"),  # es-tates, but cas-es
+    (re.compile(r"(?<=[a-z]{2})e(?=ly$|ment$|ments$|less$|ness$|ful$)"), ""),  # state-ment
+]
+_APART = [
+    re.compile(r"(?<![tscg])i(?=[aou])"),  # so-ci-al is left to -cial; me-di-a
+    re.compile(r"(?<=[^aeioqugy])u(?=[aeio])"),  # intellec-tu-al
+    re.compile(r"(?<=[a-z])ism(?:s)?$"),  # -is-m
+    re.compile(r"(?<=[^aeiouy])ying$|eing$|[aeo]ing$"),  # be-ing
+]
+_VOWELS = re.compile(r"[aeiouyäöüéèàáíóúêâîôû]+")
+_TOKEN = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*")
+_SMALL = re.compile(r"\b[a-z]{2,}\b")
+_SPLIT = re.compile(r"(?<=[.!?])[\"'”’)\]]*\s+|\s*\n\s*\n\s*|\n(?=[-•*0-9\[(])")
+_MARK = re.compile(r"(?<=[a-z][.!?,;:])(?:[0-9]{1,3}|\[[0-9]{1,3}\])(?=\s|$)")
+_ENDED = re.compile(r"[.!?][\"'”’)\]]*$")
+_DIGIT = re.compile(r"\d")
+_STOP = re.compile(r"[.!?](?=\s|$)")
+_OWN, _OTHER = frozenset(ENGLISH.split("|")), frozenset(FOREIGN.split("|"))
+#: Words whose counts a Python worker remembers.
+WORDS = 300_000
+
+
+def syllables(word: str) -> int:
+    """Syllables of a word in lower case; a compound has those of its parts."""
+    if "-" in word or "'" in word or "’" in word:
+        return sum(syllables(p) for p in re.split("[-'’]", word) if len(p) > 1) or 1
+    spoken = word
+    for pattern, repl in _SILENT:
+        spoken = pattern.sub(repl, spoken)
+    return max(1, len(_VOWELS.findall(spoken)) + sum(len(p.findall(word)) for p in _APART))
+
+
+class WordTable(dict):
+    """Word in lower case -> (syllables, letters); counted once per worker."""
+
+    def __missing__(self, word: str) -> tuple[int, int]:
+        if len(self) >= WORDS:
+            self.clear()
+        letters = sum(c.isalpha() for c in word)
+        value = (syllables(word) if letters else 0, letters)
+        if len(word) <= 60:
+            self[word] = value
+        return value
+
+
+_TABLE = WordTable()
+
+
+def english_share(counts: Counter) -> float:
+    """Share of English function words less that of other languages' ones; words in lower case."""
+    own, other = sum(counts[w] for w in _OWN), sum(counts[w] for w in _OTHER)
+    return (own - other) / max(1, counts.total())
+
+
+def prose(text: str) -> list[str]:
+    """Sentences of prose: several words in lower case and no figures, ended or items of a list."""
+    out = []
+    for s in _SPLIT.split(_MARK.sub("", text)):
+        if s and not _DIGIT.search(s) and (s[0] in "-•*" or _ENDED.search(s[-4:])) and len(_SMALL.findall(s)) >= 4:
+            out.append(s)
+    return out
+
+
+FEATURES = "n_words int, english double, sentences int, words int, syllables int, complex_words int, chars int"
+
+
+def text_features(text: str | None) -> tuple:
+    if not text:
+        return 0, 0.0, 0, 0, 0, 0, 0
+    tokens = _TOKEN.findall(text.lower())
+    counts = Counter(tokens)
+    share = english_share(counts)
+    if share <= ENGLISH_SHARE:
+        return len(tokens), share, 0, 0, 0, 0, 0
+    sentences = prose(text)
+    n = len(sentences) if sentences else max(1, len(_STOP.findall(text)))
+    if sentences:
+        counts = Counter(_TOKEN.findall(" ".join(sentences).lower()))
+    words = syllables_ = complex_words = chars = 0
+    for word, k in counts.items():
+        y, c = _TABLE[word]
+        if c:
+            words += k
+            syllables_ += k * y
+            complex_words += k * (y >= 3)
+            chars += k * c
+    return len(tokens), share, n, words, syllables_, complex_words, chars
 
 
-def prose(text: Column) -> Column:
-    """Array of sentences of prose: several words in lower case, no figures, no abbreviations of citations."""
-    plain = F.regexp_replace(text, r"(?<=[a-z][.!?,;:])(?:[0-9]{1,3}|\[[0-9]{1,3}\])(?=\s|$)", "")
-    parts = F.split(plain, r"(?<=[.!?])[\"'”’)\]]*\s+|\s*\n\s*\n\s*|\n(?=[-•*0-9\[(])")
-    ended = lambda s: s.rlike(r"[.!?][\"'”’)\]]*$") | s.rlike(r"^[-•*]\s")
-    good = lambda s: ended(s) & ~s.rlike("[0-9]") & (F.regexp_count(s, F.lit(r"(?<![\p{L}'’-])\p{Ll}{2,}")) >= 4)
-    return F.filter(parts, good)
-
+def features(documents: DataFrame) -> DataFrame:
+    """doc_id with FEATURES; those of prose are 0 for texts that are not English.
 
-def syllable_text(lower: Column) -> Column:
-    """Words without the vowels that are not spoken, for counting vowel groups."""
-    rules = [
-        (r"(?<=\p{Ll}{2}[^aeiouytd\W])ed\b", "d"),  # finished, but not needed
-        (r"(?<=\p{Ll}{2}[^aeiouyl\W])e\b", ""),  # estate, but not table
-        (r"(?<=[^aeiouy\Wscxz])es\b", "s"),  # states, but not cases
-        (r"i(?=[aou](?!us\b))(?<![tcsg]i)", "i-"),  # soci-al, but not -tion
-        (r"(?<=\p{Ll})is(?=m\b)", "is-e"),  # -is-m
-        (r"(?<=[^aeioquyg\W])u(?=[aeio])", "u-"),  # intellectu-al
-    ]
-    for pattern, repl in rules:
-        lower = F.regexp_replace(lower, pattern, repl)
-    return lower
+    An Arrow UDF that counts every distinct word once per worker: regular
+    expressions on the JVM, which see each occurrence anew, took ten times the
+    CPU time.
+    """
 
+    @F.pandas_udf(FEATURES)
+    def count(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([text_features(t) for t in texts], columns=[c.split()[0] for c in FEATURES.split(", ")])
 
-def features(documents: DataFrame) -> DataFrame:
-    """(doc_id, n_words, english, sentences, words, syllables, complex_words, chars)."""
-    df = documents.select("doc_id", "text").withColumn("n_words", word_count(F.col("text")))
-    df = df.withColumn("_lower", F.lower("text")).withColumn("english", english_share(F.col("_lower"), F.col("n_words"))).drop("_lower")
-    df = df.withColumn("_s", prose(F.col("text")))
-    whole = F.size("_s") < 1
-    df = df.withColumn("sentences", F.when(whole, F.greatest(F.lit(1), F.regexp_count("text", F.lit(r"[.!?](?:\s|$)")))).otherwise(F.size("_s")))
-    df = df.withColumn("_p", F.lower(F.when(whole, F.col("text")).otherwise(F.array_join("_s", " ")))).drop("_s", "text")
-    df = df.withColumn("words", F.regexp_count("_p", F.lit(r"\p{L}[\p{L}'’-]*")))
-    df = df.withColumn("chars", F.length(F.regexp_replace("_p", r"[^\p{L}]+", "")))
-    df = df.withColumn("_y", syllable_text(F.col("_p"))).drop("_p")
-    df = df.withColumn("syllables", F.greatest(F.col("words"), F.regexp_count("_y", F.lit("[aeiouyäöüéèàáíóúêâîôû]+"))))
-    return df.withColumn("complex_words", F.regexp_count("_y", F.lit(r"\b[^\Waeiouy]*(?:[aeiouy]+-?[^\Waeiouy]+-?){2}[aeiouy][\p{L}-]*"))).drop("_y")
+    return documents.select("doc_id", count("text").alias("_f")).select("doc_id", "_f.*")
 
 
 def grade(df: DataFrame) -> DataFrame:
     """Adds the five grades and their median, ``grade``; NULL where there are no words."""
-    w, s = F.when(F.col("words") > 0, F.col("words").cast("double")), F.col("sentences").cast("double")
+    w, s = F.when(F.col("words") > 0, F.col("words").cast("double")), F.when(F.col("sentences") > 0, F.col("sentences").cast("double"))
     per = w / s
     grades = {
         "flesch_kincaid": 0.39 * per + 11.8 * F.col("syllables") / w - 15.59,
@@ -126,8 +192,9 @@ def levels(documents: DataFrame, labels: DataFrame, least_words: int = LEAST_WOR
     """(doc_id, grade, level) of every English document of at least ``least_words`` words."""
     bound = labels.select("doc_id", "level").where("doc_id is not null and level is not null").dropDuplicates(["doc_id"])
     bound = bound.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels)
-    known = documents.select("doc_id", "text").join(F.broadcast(bound), "doc_id")
-    known = grade(features(known.select("doc_id", "text")).where(is_english())).join(F.broadcast(bound), "doc_id")
+    # staged, or the filter below would be pushed under the join and grade every document
+    known = stage(documents.select("doc_id", "text").join(F.broadcast(bound), "doc_id"), "graded")
+    known = grade(features(known)).where(is_english()).join(F.broadcast(bound), "doc_id")
     cuts = fit_cuts([(r.grade, r.level) for r in known.select("grade", "level").collect()])
     out = grade(features(documents).where(is_english() & (F.col("n_words") >= least_words)))
     level = F.lit(1)
@@ -137,7 +204,7 @@ def levels(documents: DataFrame, labels: DataFrame, least_words: int = LEAST_WOR
 
 
 def is_english() -> Column:
-    return F.col("english") > 0.08
+    return F.col("english") > ENGLISH_SHARE
 
 
 def profile(graded: DataFrame) -> DataFrame:
