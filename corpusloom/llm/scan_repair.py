@@ -21,6 +21,7 @@ Other columns are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -61,6 +62,8 @@ _LIKE_NUMBER = re.compile(r"[^\w(]*(?:[Pp]age|PAGE|[Pp]g\.?|[Pp]\.)?\s*([0-9OoIl
 _DIGITS = str.maketrans("OoIl|", "00111")
 _EDGE = re.compile(r"^[\[(]?([0-9OIl]{1,6})\b|\b([0-9OIl]{1,6})[\])]?\.?$")
 _ENDED = re.compile(r"[.?!:][\"'”’)\]]*(?:[0-9]{1,3}|\[[0-9]{1,3}\])?$")
+#: Characters after which no sentence has ended.
+_PLAIN = frozenset("abcdefghijklmnopqrstuvwxyz,;-")
 _PIECE = re.compile(rf"([\w†ﬁﬂ'’:/.|-]*[\w†ﬁﬂ|])[{HYPHENS}]$")
 _FIRST = re.compile(r"^[\W_]*?([\w†ﬁﬂ|][\w†ﬁﬂ'’|-]*)")
 _BROKEN = re.compile(rf"([\w†ﬁﬂ'’:/.|-]*[\w†ﬁﬂ|])[{HYPHENS}] +([\w†ﬁﬂ|][\w†ﬁﬂ'’|-]*)")
@@ -101,37 +104,38 @@ def titled(text: str) -> bool:
 
 def line_features(texts, sizes, pages, fonts, note: bool) -> np.ndarray:
     """Bits of FEATURES for the lines of one document's body or notes, flat in page order."""
-    out = np.zeros(len(texts), dtype=np.int16)
-    lengths = np.array([len(t) if t else 0 for t in texts])
-    known = fonts[~np.isnan(fonts)] if len(fonts) else fonts
-    usual = np.median(known) if len(known) else np.nan
-    full = 0.72 * np.median(lengths) if len(lengths) else 0
+    n = len(texts)
+    lengths = np.fromiter(map(len, texts), dtype=np.int64, count=n)
+    out = np.full(n, 256 if note else 0, dtype=np.int16)
+    if not n:
+        return out
+    known = fonts[~np.isnan(fonts)]
+    if len(known):
+        out[fonts < np.median(known) - 0.25] |= 16
+    out[lengths < 0.72 * np.median(lengths)] |= 128
+    # a mark of a note may follow the end of a sentence
+    out[np.fromiter((t[-1:] in ".?!" and t != "" or (t[-1:] not in _PLAIN and _ENDED.search(t[-12:]) is not None) for t in texts), dtype=bool, count=n)] |= 64
     at = 0
     for size, page in zip(sizes, pages):
-        for i in range(at, at + size):
-            t = (texts[i] or "").strip()
-            if i == at:
-                t = unspaced(t)
-            bits = 256 if note else 0
-            edge = i == at or i == at + size - 1 or i == at + size - 2 or i == at + 1
-            if i == at:
-                bits |= 1
-            if i == at + size - 1:
-                bits |= 2
-            if len(t) <= 40 and is_page_number(t, page):
-                bits |= 4
-            elif edge and has_page_number(t, page):
-                bits |= 8
-            if fonts[i] < usual - 0.25:
-                bits |= 16
-            if edge and titled(t):
-                bits |= 32
-            if t and (t[-1] in ".?!" or _ENDED.search(t)):
-                bits |= 64
-            if lengths[i] < full:
-                bits |= 128
-            out[i] = bits
-        at += size
+        if not size:
+            continue
+        end = at + size
+        out[at] |= 1
+        out[end - 1] |= 2
+        edges = {at, at + 1, end - 2, end - 1}
+        for i in range(at, end):
+            edge = i in edges and i >= at
+            if edge or lengths[i] <= 40:
+                t = texts[i].strip()
+                if i == at:
+                    t = unspaced(t)
+                if len(t) <= 40 and is_page_number(t, page):
+                    out[i] |= 4
+                elif edge and has_page_number(t, page):
+                    out[i] |= 8
+                if edge and titled(t):
+                    out[i] |= 32
+        at = end
     return out
 
 
@@ -184,79 +188,160 @@ def flat(docs: DataFrame) -> DataFrame:
         F.transform("pages", lambda p: F.greatest(F.size(F.coalesce(p[f"{name}_lines"]["text"], none)), F.lit(0))).alias(f"{name}_sizes"),
     ]
     whole = docs.where("pages is not null").select("pdf_id", F.filter("pages", lambda p: p.isNotNull()).alias("pages"))
-    return whole.select("pdf_id", F.transform("pages", lambda p: F.coalesce(p["page_number"], F.lit(-1))).alias("numbers"), *side("body"), *side("note"))
+    number = F.transform("pages", lambda p: F.coalesce(p["page_number"], F.lit(-1)))
+    scanned = F.transform("pages", lambda p: F.coalesce(p["source"], F.lit("text")) != "text")
+    return whole.select("pdf_id", number.alias("numbers"), scanned.alias("scanned"), *side("body"), *side("note"))
 
 
 def _sides(row) -> Iterator[tuple]:
     pages = [int(p) for p in row.numbers]
     asked = [p if p >= 0 else None for p in pages]
     for name in ("body", "note"):
-        texts = getattr(row, f"{name}_texts")
+        texts = ["" if t is None else t for t in getattr(row, f"{name}_texts")]
         sizes = [int(s) for s in getattr(row, f"{name}_sizes")]
-        fonts = np.array([np.nan if f is None else f for f in getattr(row, f"{name}_fonts")], dtype=float)
+        fonts = np.array(getattr(row, f"{name}_fonts"), dtype=float)
         yield name, texts, sizes, pages, line_features(texts, sizes, asked, fonts, name == "note")
 
 
-def count_lines(flats: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of (seed label, feature bits) and of steps between seed labels, over all lines."""
+STUDY = (
+    "kind string, pdf_id bigint, place string, sizes array<int>, numbers array<int>, bits array<smallint>, ends array<int>, pieces array<string>, nexts array<array<string>>, next_at array<array<int>>, "
+    "i int, j int, n bigint, word string, clean bigint, scan bigint, clean_edge bigint, scan_edge bigint"
+)
+STUDY_COLUMNS = [c.rsplit(" ", 1)[0] for c in STUDY.split(", ")]
+#: Distinct words a worker holds before it hands its counts on.
+WORDS = 400_000
+#: Lines looked at for the rest of a broken word, and how many of them with text may stand between.
+AHEAD = 12
+_TOKEN = re.compile(r"[^\W_]+(?:['’-]+[^\W_]+)*")
+#: Letters that stand for the two marks which recognition puts into words.
+_DAGGER, _BAR = "\u01c2", "\u01c0"
+
+
+def _study_rows(frame: pd.DataFrame) -> pd.DataFrame:
+    """All columns of STUDY, those not given being NULL."""
+    frame = frame.astype(object)
+    for c in STUDY_COLUMNS:
+        if c not in frame:
+            frame[c] = None
+    return frame[STUDY_COLUMNS]
+
+
+def word_list(text: str) -> list[str]:
+    """Words of a text in lower case, as words_of makes them; dagger and bar as letters."""
+    text = text.lower()
+    if "†" in text:
+        text = text.replace("†", _DAGGER)
+    if "|" in text:
+        text = text.replace("|", _BAR)
+    return _TOKEN.findall(text)
+
+
+def study(flats: DataFrame) -> DataFrame:
+    """One pass over all lines; rows of three kinds.
+
+    ``doc``: bits of FEATURES of a document's body or notes, its lines that end
+    at a hyphen and the first words of the lines after them. ``count`` and
+    ``step``: lines by seed label and bits, and steps between seed labels.
+    ``word``: how often each word stands inside (clean, scan) and at the edges
+    (clean_edge, scan_edge) of lines of print and of scans, combined per worker;
+    a last word before a hyphen is a fragment and not counted.
+    """
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         emit, step = np.zeros((4, 512), dtype=np.int64), np.zeros((5, 4), dtype=np.int64)
+        # inside and at the edge, of print and of scans
+        words = [Counter(), Counter(), Counter(), Counter()]
+
+        def counted() -> pd.DataFrame:
+            every = list(set().union(*words))
+            own = {k: [c[w] for w in every] for k, c in zip(("clean", "scan", "clean_edge", "scan_edge"), words)}
+            for c in words:
+                c.clear()
+            return _study_rows(pd.DataFrame({"kind": "word", "word": [w.replace(_DAGGER, "†").replace(_BAR, "|") for w in every], **own}))
+
         for frame in frames:
+            docs = []
             for row in frame.itertuples(index=False):
-                for _, _, sizes, _, bits in _sides(row):
+                for place, texts, sizes, pages, bits in _sides(row):
                     seeds = seed_labels(bits)
                     np.add.at(emit, (seeds, bits), 1)
                     first = (bits & 1) == 1
                     np.add.at(step[4], seeds[first], 1)
-                    if len(seeds) > 1:
-                        inner = ~first[1:]
-                        np.add.at(step, (seeds[:-1][inner], seeds[1:][inner]), 1)
-        a, b = np.nonzero(emit)
-        c, d = np.nonzero(step)
-        yield pd.DataFrame({"kind": [0] * len(a) + [1] * len(c), "i": [*a, *c], "j": [*b, *d], "n": [*emit[a, b], *step[c, d]]})
-
+                    inner = ~first[1:]
+                    np.add.at(step, (seeds[:-1][inner], seeds[1:][inner]), 1)
+                    scanned = np.repeat(np.array(row.scanned, dtype=bool), sizes)
+                    ends, pieces, nexts, places = [], [], [], []
+                    for i, t in enumerate(texts):
+                        if not t:
+                            continue
+                        got = word_list(t)
+                        tail = t[-1] if t[-1] not in " \t\n" else t.rstrip()[-1:]
+                        if tail and tail in HYPHENS:
+                            del got[-1:]
+                            if m := _PIECE.search(t.rstrip()):
+                                after = [(w[1], j) for j in range(i + 1, min(len(texts), i + 1 + AHEAD)) if (w := _FIRST.search(texts[j]))]
+                                ends.append(i)
+                                pieces.append(m[1])
+                                nexts.append([w for w, _ in after])
+                                places.append([j for _, j in after])
+                        if got:
+                            words[2 + scanned[i]][got[0]] += 1
+                            words[0 + scanned[i]].update(got[1:])
+                    docs.append(("doc", row.pdf_id, place, sizes, pages, bits, ends, pieces, nexts, places))
+            yield _study_rows(pd.DataFrame(docs, columns=STUDY_COLUMNS[:10]))
+            if sum(map(len, words)) > WORDS:
+                yield counted()
+        yield counted()
+        for kind, table in (("count", emit), ("step", step)):
+            i, j = np.nonzero(table)
+            yield _study_rows(pd.DataFrame({"kind": kind, "i": i, "j": j, "n": table[i, j]}))
+
+    return stage(flats.mapInPandas(read, STUDY), "study")
+
+
+def fitted(studied: DataFrame) -> LineModel:
+    """The model with its parameters counted over all lines."""
     counts, steps = np.zeros((4, 512)), np.zeros((5, 4))
-    rows = flats.mapInPandas(count, "kind int, i int, j int, n bigint").groupBy("kind", "i", "j").agg(F.sum("n").alias("n"))
     # at most 4 x 512 + 5 x 4 rows, whatever the corpus
-    for kind, i, j, n in rows.collect():
-        (steps if kind else counts)[i, j] = n
-    return counts, steps
+    for kind, i, j, n in studied.where("kind in ('count', 'step')").groupBy("kind", "i", "j").agg(F.sum("n").alias("n")).collect():
+        (counts if kind == "count" else steps)[i, j] = n
+    return LineModel(counts, steps)
+
+
+def word_types(studied: DataFrame) -> DataFrame:
+    """(word, clean, scan, clean_edge, scan_edge) over the corpus."""
+    sums = [F.sum(c).alias(c) for c in ("clean", "scan", "clean_edge", "scan_edge")]
+    return studied.where("kind = 'word'").groupBy("word").agg(*sums)
 
 
 MARKS = "pdf_id bigint, place string, page_index int, page_no int, pos int, what string, piece string, nexts array<string>, next_pages array<int>, next_index array<int>, next_pos array<int>"
 
 
-def line_marks(flats: DataFrame, model: LineModel) -> DataFrame:
+def line_marks(studied: DataFrame, model: LineModel) -> DataFrame:
     """Headers, page numbers and ends of lines at hyphens, with the words that may continue them."""
 
     def mark(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
             for row in frame.itertuples(index=False):
-                for place, texts, sizes, pages, bits in _sides(row):
-                    labels = model.label(bits, sizes)
-                    index = np.repeat(np.arange(len(sizes)), sizes)
-                    pos = np.arange(len(texts)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                    for i in np.flatnonzero(labels <= NUMBER):
-                        # the model may take a bare figure for a page number; it has to be the page's own
-                        what = ("header" if place == "body" else "") if labels[i] == HEADER else "page_number" if bits[i] & 4 else ""
-                        if what:
-                            out.append((row.pdf_id, place, int(index[i]), pages[index[i]], int(pos[i]), what, None, None, None, None, None))
-                    for i, t in enumerate(texts):
-                        t = t.rstrip() if t else ""
-                        if len(t) < 2 or t[-1] not in HYPHENS or labels[i] <= NUMBER or not (m := _PIECE.search(t)):
-                            continue
-                        words, at, j = [], [], i + 1
-                        while len(words) < 4 and j < len(texts) and j < i + 12:
-                            if labels[j] > NUMBER and texts[j] and (n := _FIRST.search(texts[j])):
-                                words.append(n[1])
-                                at.append(j)
-                            j += 1
-                        out.append((row.pdf_id, place, int(index[i]), pages[index[i]], int(pos[i]), "piece", m[1], words, [pages[index[k]] for k in at], [int(index[k]) for k in at], [int(pos[k]) for k in at]))
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in MARKS.split(", ")])
-
-    return flats.mapInPandas(mark, MARKS)
+                sizes, pages, bits = np.array(row.sizes, dtype=int), row.numbers, np.array(row.bits, dtype=int)
+                labels = model.label(bits, sizes)
+                index = np.repeat(np.arange(len(sizes)), sizes)
+                pos = np.arange(len(bits)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                page = lambda i: None if pages[index[i]] < 0 else int(pages[index[i]])  # noqa: B023,E731
+                for i in np.flatnonzero(labels <= NUMBER):
+                    # the model may take a bare figure for a page number; it has to be the page's own
+                    what = ("header" if row.place == "body" else "") if labels[i] == HEADER else "page_number" if bits[i] & 4 else ""
+                    if what:
+                        out.append((row.pdf_id, row.place, int(index[i]), page(i), int(pos[i]), what, None, None, None, None, None))
+                for i, piece, words, at in zip(row.ends, row.pieces, row.nexts, row.next_at):
+                    if labels[i] <= NUMBER:
+                        continue
+                    after = [(w, k) for w, k in zip(words, at) if labels[k] > NUMBER][:4]
+                    out.append((row.pdf_id, row.place, int(index[i]), page(i), int(pos[i]), "piece", piece, [w for w, _ in after], [page(k) for _, k in after], [int(index[k]) for _, k in after], [int(pos[k]) for _, k in after]))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in MARKS.split(", ")]).astype({"page_no": "Int64"})
+
+    return studied.where("kind = 'doc'").select("pdf_id", "place", "sizes", "numbers", "bits", "ends", "pieces", "nexts", "next_at").mapInPandas(mark, MARKS)
 
 
 # ------------------------------------------------------------------ the notes
@@ -362,7 +447,9 @@ def note_text(text, pages, texts) -> tuple[set[str], str]:
 
 # ------------------------------------------------------------------ the words
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}†|'’-]+|(?<![\p{L}\p{N}†])['’-]+|['’-]+(?![\p{L}\p{N}†])"), lambda w: w != "")
+    """Words of a text in lower case, without apostrophes and hyphens at their ends."""
+    trimmed = F.transform(F.split(F.lower(text), r"[^\p{L}\p{N}†|'’-]+"), lambda w: F.trim(w, F.lit("'’-")))
+    return F.filter(trimmed, lambda w: w != "")
 
 
 def page_lines(docs: DataFrame) -> DataFrame:
@@ -374,20 +461,6 @@ def page_lines(docs: DataFrame) -> DataFrame:
     return out.select("pdf_id", "l.place", "page_index", "page_no", "l.pos", "l.text", "scanned")
 
 
-def word_types(lines: DataFrame) -> DataFrame:
-    """(word, clean, scan, clean_edge, scan_edge): how often each word stands in lines of print and of scans.
-
-    The first and the last word of a line may be fragments of broken words;
-    they are counted apart, and a last one before a hyphen not at all.
-    """
-    broken = F.col("text").rlike(rf"[{HYPHENS}]\s*$")
-    w = lines.where("text is not null").withColumn("w", words_of(F.col("text"))).withColumn("last", F.size("w") - 1)
-    tokens = w.select("scanned", broken.alias("broken"), "last", F.posexplode("w").alias("at", "word")).where("not (broken and at = last)")
-    one = lambda c: F.sum(F.when(c, 1).otherwise(0))
-    s, inner = F.col("scanned"), F.col("at") > 0
-    return tokens.groupBy("word").agg(one(~s & inner).alias("clean"), one(s & inner).alias("scan"), one(~s & ~inner).alias("clean_edge"), one(s & ~inner).alias("scan_edge"))
-
-
 def misread_words(types: DataFrame) -> DataFrame:
     """(word, meant): words of scans that share the skeleton of a word of print and are none themselves."""
     t = types.withColumn("print", F.col("clean") + F.col("clean_edge")).withColumn("scans", F.col("scan") + F.col("scan_edge"))
@@ -451,12 +524,12 @@ def judged(marks: DataFrame, types: DataFrame) -> DataFrame:
 def find(docs: DataFrame, sidecars: DataFrame) -> dict[str, DataFrame]:
     """All marks of both tables: ``lines`` and ``notes`` (marks), ``broken``, ``misread`` (with the word meant)."""
     docs = docs.select("pdf_id", "pages")
-    flats = flat(docs)
-    model = LineModel(*count_lines(flats))
+    studied = study(flat(docs))
+    model = fitted(studied)
     notes = note_rows(sidecars.select("pdf_id", "notes"))
-    marks = stage(line_marks(flats, model).unionAll(note_marks(notes)), "marks")
+    marks = stage(line_marks(studied, model).unionAll(note_marks(notes)), "marks")
     lines = page_lines(docs)
-    types = stage(word_types(lines), "types")
+    types = stage(word_types(studied), "types")
     wrong = stage(misread_words(types), "misread")
     broken = stage(judged(marks, types), "broken")
     small = broadcast_if_small(wrong)
@@ -464,6 +537,10 @@ def find(docs: DataFrame, sidecars: DataFrame) -> dict[str, DataFrame]:
     scans = lines.where("scanned and text is not null").select(*ref, F.explode(F.array_distinct(words_of(F.col("text")))).alias("word"))
     noted = notes.where("source <> 'text' and text is not null").select("pdf_id", F.lit("sidecar").alias("place"), F.lit(0).alias("page_index"), F.col("page_start").alias("page_no"), F.col("ordinal").alias("pos"), F.explode(F.array_distinct(words_of(F.col("text")))).alias("word"))
     misread = scans.unionAll(noted).join(small, "word").select(*ref, "word", "meant")
+    # the halves of broken words are fragments, judged below with the whole word
+    after = broken.select("pdf_id", "place", F.col("next_index").alias("page_index"), F.col("next_page").alias("page_no"), F.col("next_pos").alias("pos"), F.lower("next").alias("word"))
+    halves = marks.where("what = 'piece'").select(*ref, F.lower("piece").alias("word")).unionAll(after)
+    misread = misread.join(halves, ref + ["word"], "left_anti")
     # a broken word whose halves are not those of the word meant
     halves = broken.where("meant is not null")
     a = halves.where(~F.expr("startswith(meant, lower(regexp_replace(piece, '^.*[/:.]', '')))")).select(*ref, F.lower("piece").alias("word"), "meant")
