@@ -144,6 +144,10 @@ def seed_labels(bits: np.ndarray) -> np.ndarray:
     return np.select([has("is_number"), has("first", "has_number", "titled") & ~has("note"), has("ended", "short")], [NUMBER, HEADER, BREAK], BODY)
 
 
+#: Lines that one array of the model holds.
+CELLS = 1 << 17
+
+
 class LineModel:
     """Log probabilities: start (4), step (4 x 4), and per feature and state of being set (4 x 9)."""
 
@@ -157,27 +161,33 @@ class LineModel:
 
     def label(self, bits: np.ndarray, sizes: list[int]) -> np.ndarray:
         """Viterbi over every page; pages of like length go together as one array."""
-        out, ends = np.full(len(bits), BODY, dtype=np.int8), np.cumsum(sizes)
-        sizes = np.asarray(sizes, dtype=int)
-        starts = ends - sizes
-        for power in {int(s).bit_length() for s in sizes if s}:
-            here = np.flatnonzero((sizes > 0) & (np.array([int(s).bit_length() for s in sizes]) == power))
-            longest = sizes[here].max()
-            places = starts[here][:, None] + np.minimum(np.arange(longest), sizes[here][:, None] - 1)
-            live = np.arange(longest) < sizes[here][:, None]
-            emit = self.emit[:, bits[places]].transpose(1, 2, 0)
-            score, back = self.start + emit[:, 0], np.zeros((len(here), longest, 4), dtype=np.int8)
-            for t in range(1, longest):
-                ways = score[:, :, None] + self.step
-                back[:, t] = ways.argmax(axis=1)
-                score = np.where(live[:, t, None], ways.max(axis=1) + emit[:, t], score)
-            state = score.argmax(axis=1)
-            for t in range(longest - 1, -1, -1):
-                rows = live[:, t]
-                out[places[rows, t]] = state[rows]
-                state = np.where(rows, back[np.arange(len(here)), t, state], state)
+        bits, sizes = np.asarray(bits, dtype=np.int64), np.asarray(sizes, dtype=np.int64)
+        out, starts = np.full(len(bits), BODY, dtype=np.int8), np.cumsum(sizes) - sizes
+        powers = np.frexp(np.maximum(sizes, 1).astype(float))[1]
+        for power in np.unique(powers[sizes > 0]):
+            group = np.flatnonzero((sizes > 0) & (powers == power))
+            # at most CELLS lines at a time, whatever the batch
+            step = max(1, CELLS >> int(power))
+            for at in range(0, len(group), step):
+                self._label(group[at : at + step], bits, sizes, starts, out)
         return out
 
+    def _label(self, here, bits, sizes, starts, out) -> None:
+        longest = sizes[here].max()
+        places = starts[here][:, None] + np.minimum(np.arange(longest), sizes[here][:, None] - 1)
+        live = np.arange(longest) < sizes[here][:, None]
+        emit = self.emit.T[bits[places]]
+        score, back = self.start + emit[:, 0], np.zeros((len(here), longest, 4), dtype=np.int8)
+        for t in range(1, longest):
+            ways = score[:, :, None] + self.step
+            back[:, t] = ways.argmax(axis=1)
+            score = np.where(live[:, t, None], ways.max(axis=1) + emit[:, t], score)
+        state = score.argmax(axis=1)
+        for t in range(longest - 1, -1, -1):
+            rows = live[:, t]
+            out[places[rows, t]] = state[rows]
+            state = np.where(rows, back[np.arange(len(here)), t, state], state)
+
 
 def flat(docs: DataFrame) -> DataFrame:
     """One row per document with its lines as flat arrays, built inside the row."""
@@ -323,9 +333,14 @@ def line_marks(studied: DataFrame, model: LineModel) -> DataFrame:
     def mark(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for row in frame.itertuples(index=False):
-                sizes, pages, bits = np.array(row.sizes, dtype=int), row.numbers, np.array(row.bits, dtype=int)
-                labels = model.label(bits, sizes)
+            if not len(frame):
+                continue
+            # one run of the model for all documents of the batch
+            every = [np.asarray(b, dtype=np.int64) for b in frame["bits"]]
+            marked = model.label(np.concatenate(every), np.concatenate([np.asarray(z, dtype=np.int64) for z in frame["sizes"]]))
+            marked = np.split(marked, np.cumsum([len(b) for b in every])[:-1])
+            for row, bits, labels in zip(frame.itertuples(index=False), every, marked):
+                sizes, pages = np.asarray(row.sizes, dtype=int), row.numbers
                 index = np.repeat(np.arange(len(sizes)), sizes)
                 pos = np.arange(len(bits)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 page = lambda i: None if pages[index[i]] < 0 else int(pages[index[i]])  # noqa: B023,E731
@@ -536,7 +551,8 @@ def find(docs: DataFrame, sidecars: DataFrame) -> dict[str, DataFrame]:
     ref = ["pdf_id", "place", "page_index", "page_no", "pos"]
     scans = lines.where("scanned and text is not null").select(*ref, F.explode(F.array_distinct(words_of(F.col("text")))).alias("word"))
     noted = notes.where("source <> 'text' and text is not null").select("pdf_id", F.lit("sidecar").alias("place"), F.lit(0).alias("page_index"), F.col("page_start").alias("page_no"), F.col("ordinal").alias("pos"), F.explode(F.array_distinct(words_of(F.col("text")))).alias("word"))
-    misread = scans.unionAll(noted).join(small, "word").select(*ref, "word", "meant")
+    # staged, or the anti-join below would be pushed under this join, onto every word of the scans
+    misread = stage(scans.unionAll(noted).join(small, "word").select(*ref, "word", "meant"), "found")
     # the halves of broken words are fragments, judged below with the whole word
     after = broken.select("pdf_id", "place", F.col("next_index").alias("page_index"), F.col("next_page").alias("page_no"), F.col("next_pos").alias("pos"), F.lower("next").alias("word"))
     halves = marks.where("what = 'piece'").select(*ref, F.lower("piece").alias("word")).unionAll(after)
