@@ -11,6 +11,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Patterns of legal citations, addresses and years.
 NAME = r"[A-Z][A-Za-z0-9_'’.-]+"
@@ -127,7 +128,7 @@ def first_text_hash(text: Column, size: int = 500) -> Column:
     return F.when(key != "", F.sha2(F.substring(key, 1, size), 256))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def compatible_key(values: pd.Series) -> pd.Series:
     """NFKC, case folded, punctuation as spaces: what no built-in expression does."""
 
@@ -140,7 +141,7 @@ def compatible_key(values: pd.Series) -> pd.Series:
     return values.map(one)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def plain_name(values: pd.Series) -> pd.Series:
     """Journal names without marks, case, punctuation and a leading article; ``&`` is ``and``."""
 

@@ -52,7 +52,7 @@ ZONE_OFFSETS = {
 # ---------------------------------------------------------------- masks (JVM)
 def cleaned(value: Column) -> Column:
     """Upper case, ASCII digits, plain and single spaces, trimmed."""
-    plain = F.regexp_replace(value, r"[\s  -​ 　﻿]+", " ")
+    plain = F.regexp_replace(value, r"[\s\x{00A0}\x{2000}-\x{200B}\x{202F}\x{3000}\x{FEFF}]+", " ")
     return F.upper(F.trim(F.translate(plain, "０１２３４５６７８９", "0123456789")))
 
 
