@@ -39,7 +39,8 @@ def test_counts_and_words(spark, plain):
 
 
 def test_equal_stretches_are_cut_alike():
-    a = "".join(random.Random(1).choice("abcdefgh ") for _ in range(4000))
+    rng = random.Random(1)
+    a = "".join(rng.choice("abcdefgh ") for _ in range(4000))
     cuts = lambda t, shift: {int(c) - shift for c in E.cut_points(t, 6)[0]}
     one, two = cuts(a, 0), cuts("prefix of another length " + a, 25)
     assert {c for c in one if c > E.WINDOW} == {c for c in two if c > E.WINDOW} and len(one) > 20
