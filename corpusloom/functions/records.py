@@ -25,7 +25,7 @@ def filled(c: Column) -> Column:
 
 
 def author_text(authors: Column) -> Column:
-    return F.coalesce(F.array_join(F.filter(F.transform(authors, F.trim), lambda a: a != ""), "; "), F.lit(""))
+    return F.coalesce(F.array_join(F.filter(F.transform(authors, lambda x: F.trim(x)), lambda a: a != ""), "; "), F.lit(""))
 
 
 def year(*sources: Column) -> Column:

@@ -30,7 +30,7 @@ URL = r"https?://[^\s)\]>\"']+"
 EMAIL = r"\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b"
 YEAR = r"\b(?:19|20)\d{2}\b"
 SHORT_CITE = r"\b(?:id\.|ibid\.|supra|infra)"
-HEADING = r"^(?:(?:part|chapter|section)\s+[0-9ivxlc]+|[ivxlc]+\.|abstract|introduction|conclusion|background)\b"
+HEADING = r"^(?:(?:part|chapter|section)\s+[0-9ivxlc]+\b|[ivxlc]+\.\s|(?:abstract|introduction|conclusion|background)\b)"
 
 
 def _all(text: Column, pattern: str) -> Column:
@@ -112,7 +112,7 @@ def sentences(text: Column) -> Column:
 
 def section_headers(text: Column, limit: int = 40) -> Column:
     """Lines of at most 120 characters and 16 words that are capitals or headings, distinct, at most ``limit`` (the size of the field)."""
-    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), F.trim)
+    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.trim(x))
     words = lambda s: F.size(F.split(s, r"\s+"))
     head = lambda s: (F.length(s) > 0) & (F.length(s) <= 120) & (words(s) <= 16) & ((s.rlike("[A-Z]") & (s == F.upper(s))) | F.lower(s).rlike(HEADING))
     return F.slice(F.array_distinct(F.filter(lines, head)), 1, limit)
@@ -157,7 +157,7 @@ def plain_name(values: pd.Series) -> pd.Series:
 
 def split_names(text: Column) -> Column:
     """Authors of a line, split at semicolons, commas and the word ``and``."""
-    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"\s+and\s+|[;,]"), F.trim), lambda n: n != "")
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"\s+and\s+|[;,]"), lambda x: F.trim(x)), lambda n: n != "")
 
 
 def first_number(text: Column) -> Column:

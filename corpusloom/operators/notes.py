@@ -159,7 +159,7 @@ def segmented(lines: DataFrame, size: int = 8000) -> DataFrame:
     """
     w = Window.partitionBy("pdf_id").orderBy("page_index", "line")
     label = F.regexp_extract("text", r"^([0-9]{1,4})[\]).,:;-]?\s+\S", 1)
-    marked = lines.withColumn("n", F.when(label != "", label.cast("int")))
+    marked = lines.where("text <> ''").withColumn("n", F.when(label != "", label.cast("int")))
     # the marker before it, for the rule of continuation
     marked = marked.withColumn("before", F.last("n", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
     opens = F.col("n").isNotNull() & (F.col("before").isNull() | F.col("n").between(F.col("before") + 1, F.col("before") + 4))

@@ -277,7 +277,7 @@ _CUT = f"""k AS (SELECT *, CAST(coalesce(regexp_matches(text, '{_LIKE}'), false)
 _SEG = r"""t AS (SELECT pdf_id, unnest(pages) AS p, generate_subscripts(pages, 1) - 1 AS page_index FROM extracted_docs),
   u AS (SELECT pdf_id, page_index, p.page_number AS page, unnest(p.note_lines) AS l, generate_subscripts(p.note_lines, 1) - 1 AS line FROM t),
   v AS (SELECT pdf_id, page_index, line, page, trim(regexp_replace(l.text, '[\s\x{00A0}]+', ' ', 'g')) AS text FROM u),
-  m AS (SELECT *, TRY_CAST(nullif(regexp_extract(text, '^([0-9]{1,4})[\]).,:;-]?\s+\S', 1), '') AS INT) AS n FROM v),
+  m AS (SELECT *, TRY_CAST(nullif(regexp_extract(text, '^([0-9]{1,4})[\]).,:;-]?\s+\S', 1), '') AS INT) AS n FROM v WHERE text <> ''),
   b AS (SELECT *, last_value(n IGNORE NULLS) OVER (PARTITION BY pdf_id ORDER BY page_index, line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM m),
   o AS (SELECT *, CAST(coalesce(n IS NOT NULL AND (before IS NULL OR n BETWEEN before + 1 AND before + 4), false) AS INT) AS opens FROM b),
   g AS (SELECT *, sum(opens) OVER (PARTITION BY pdf_id ORDER BY page_index, line ROWS UNBOUNDED PRECEDING) AS note_no FROM o),
