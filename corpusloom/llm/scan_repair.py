@@ -102,6 +102,11 @@ def titled(text: str) -> bool:
     return bool(words) and sum(w[0].isupper() for w in words) >= 0.7 * len(words)
 
 
+def _middle(values: np.ndarray):
+    """Upper median."""
+    return np.sort(values)[len(values) // 2]
+
+
 def line_features(texts, sizes, pages, fonts, note: bool) -> np.ndarray:
     """Bits of FEATURES for the lines of one document's body or notes, flat in page order."""
     n = len(texts)
@@ -111,8 +116,8 @@ def line_features(texts, sizes, pages, fonts, note: bool) -> np.ndarray:
         return out
     known = fonts[~np.isnan(fonts)]
     if len(known):
-        out[fonts < np.median(known) - 0.25] |= 16
-    out[lengths < 0.72 * np.median(lengths)] |= 128
+        out[fonts < _middle(known) - 0.25] |= 16
+    out[lengths < 0.72 * _middle(lengths)] |= 128
     # a mark of a note may follow the end of a sentence
     out[np.fromiter((t[-1:] in ".?!" and t != "" or (t[-1:] not in _PLAIN and _ENDED.search(t[-12:]) is not None) for t in texts), dtype=bool, count=n)] |= 64
     at = 0
@@ -122,19 +127,16 @@ def line_features(texts, sizes, pages, fonts, note: bool) -> np.ndarray:
         end = at + size
         out[at] |= 1
         out[end - 1] |= 2
-        edges = {at, at + 1, end - 2, end - 1}
-        for i in range(at, end):
-            edge = i in edges and i >= at
-            if edge or lengths[i] <= 40:
-                t = texts[i].strip()
-                if i == at:
-                    t = unspaced(t)
-                if len(t) <= 40 and is_page_number(t, page):
-                    out[i] |= 4
-                elif edge and has_page_number(t, page):
-                    out[i] |= 8
-                if edge and titled(t):
-                    out[i] |= 32
+        head = unspaced(texts[at].strip())
+        if is_page_number(head, page):
+            out[at] |= 4
+        elif has_page_number(head, page):
+            out[at] |= 8
+        if titled(head):
+            out[at] |= 32
+        for i in range(at + 1, end):
+            if lengths[i] <= 40 and is_page_number(texts[i].strip(), page):
+                out[i] |= 4
         at = end
     return out
 
@@ -207,7 +209,7 @@ def _sides(row) -> Iterator[tuple]:
     pages = [int(p) for p in row.numbers]
     asked = [p if p >= 0 else None for p in pages]
     for name in ("body", "note"):
-        texts = ["" if t is None else t for t in getattr(row, f"{name}_texts")]
+        texts = ["" if t is None else t.replace("\n", " ") if "\n" in t else t for t in getattr(row, f"{name}_texts")]
         sizes = [int(s) for s in getattr(row, f"{name}_sizes")]
         fonts = np.array(getattr(row, f"{name}_fonts"), dtype=float)
         yield name, texts, sizes, pages, line_features(texts, sizes, asked, fonts, name == "note")
@@ -223,6 +225,8 @@ WORDS = 400_000
 #: Lines looked at for the rest of a broken word, and how many of them with text may stand between.
 AHEAD = 12
 _TOKEN = re.compile(r"[^\W_]+(?:['’-]+[^\W_]+)*")
+_LINE_FIRST = re.compile(r"(?m)^(?:[^\w\n]|_)*([^\W_]+(?:['’-]+[^\W_]+)*)")
+_SPACES = frozenset(" \t\n\r\f\v")
 #: Letters that stand for the two marks which recognition puts into words.
 _DAGGER, _BAR = "\u01c2", "\u01c0"
 
@@ -236,14 +240,19 @@ def _study_rows(frame: pd.DataFrame) -> pd.DataFrame:
     return frame[STUDY_COLUMNS]
 
 
-def word_list(text: str) -> list[str]:
-    """Words of a text in lower case, as words_of makes them; dagger and bar as letters."""
+def word_text(text: str) -> str:
+    """A text in lower case, with dagger and bar as letters."""
     text = text.lower()
     if "†" in text:
         text = text.replace("†", _DAGGER)
     if "|" in text:
         text = text.replace("|", _BAR)
-    return _TOKEN.findall(text)
+    return text
+
+
+def word_list(text: str) -> list[str]:
+    """Words of a text in lower case, as words_of makes them."""
+    return _TOKEN.findall(word_text(text))
 
 
 def study(flats: DataFrame) -> DataFrame:
@@ -264,7 +273,7 @@ def study(flats: DataFrame) -> DataFrame:
 
         def counted() -> pd.DataFrame:
             every = list(set().union(*words))
-            own = {k: [c[w] for w in every] for k, c in zip(("clean", "scan", "clean_edge", "scan_edge"), words)}
+            own = {k: [max(0, c[w]) for w in every] for k, c in zip(("clean", "scan", "clean_edge", "scan_edge"), words)}
             for c in words:
                 c.clear()
             return _study_rows(pd.DataFrame({"kind": "word", "word": [w.replace(_DAGGER, "†").replace(_BAR, "|") for w in every], **own}))
@@ -279,24 +288,28 @@ def study(flats: DataFrame) -> DataFrame:
                     np.add.at(step[4], seeds[first], 1)
                     inner = ~first[1:]
                     np.add.at(step, (seeds[:-1][inner], seeds[1:][inner]), 1)
-                    scanned = np.repeat(np.array(row.scanned, dtype=bool), sizes)
                     ends, pieces, nexts, places = [], [], [], []
+                    scanned = [bool(x) for x, size in zip(row.scanned, sizes) for _ in range(size)]
+                    kinds = set(scanned)
+                    for scan in kinds:
+                        own = word_text("\n".join(texts if len(kinds) == 1 else [t for t, x in zip(texts, scanned) if x == scan]))
+                        # all words, less the first of every line
+                        first_words = _LINE_FIRST.findall(own)
+                        words[scan].update(_TOKEN.findall(own))
+                        words[scan].subtract(first_words)
+                        words[2 + scan].update(first_words)
                     for i, t in enumerate(texts):
-                        if not t:
+                        tail = t[-1:] if t[-1:] not in _SPACES else t.rstrip()[-1:]
+                        if not tail or tail not in HYPHENS or not (got := word_list(t)):
                             continue
-                        got = word_list(t)
-                        tail = t[-1] if t[-1] not in " \t\n" else t.rstrip()[-1:]
-                        if tail and tail in HYPHENS:
-                            del got[-1:]
-                            if m := _PIECE.search(t.rstrip()):
-                                after = [(w[1], j) for j in range(i + 1, min(len(texts), i + 1 + AHEAD)) if (w := _FIRST.search(texts[j]))]
-                                ends.append(i)
-                                pieces.append(m[1])
-                                nexts.append([w for w, _ in after])
-                                places.append([j for _, j in after])
-                        if got:
-                            words[2 + scanned[i]][got[0]] += 1
-                            words[0 + scanned[i]].update(got[1:])
+                        # a fragment: the last word, which may be the first as well
+                        words[scanned[i] + 2 * (len(got) == 1)][got[-1]] -= 1
+                        if m := _PIECE.search(t.rstrip()):
+                            after = [(w[1], j) for j in range(i + 1, min(len(texts), i + 1 + AHEAD)) if (w := _FIRST.search(texts[j]))]
+                            ends.append(i)
+                            pieces.append(m[1])
+                            nexts.append([w for w, _ in after])
+                            places.append([j for _, j in after])
                     docs.append(("doc", row.pdf_id, place, sizes, pages, bits, ends, pieces, nexts, places))
             yield _study_rows(pd.DataFrame(docs, columns=STUDY_COLUMNS[:10]))
             if sum(map(len, words)) > WORDS:
@@ -345,8 +358,8 @@ def line_marks(studied: DataFrame, model: LineModel) -> DataFrame:
                 pos = np.arange(len(bits)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 page = lambda i: None if pages[index[i]] < 0 else int(pages[index[i]])  # noqa: B023,E731
                 for i in np.flatnonzero(labels <= NUMBER):
-                    # the model may take a bare figure for a page number; it has to be the page's own
-                    what = ("header" if row.place == "body" else "") if labels[i] == HEADER else "page_number" if bits[i] & 4 else ""
+                    # an exact check follows the model: header and page number carry the number of their own page
+                    what = ("header" if row.place == "body" and bits[i] & 8 else "") if labels[i] == HEADER else "page_number" if bits[i] & 4 else ""
                     if what:
                         out.append((row.pdf_id, row.place, int(index[i]), page(i), int(pos[i]), what, None, None, None, None, None))
                 for i, piece, words, at in zip(row.ends, row.pieces, row.nexts, row.next_at):
