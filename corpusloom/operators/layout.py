@@ -93,3 +93,45 @@ def context_lines(docs: DataFrame, notes: DataFrame) -> DataFrame:
     rest = n.join(last.withColumnRenamed("body_page", "page"), ["pdf_id", "page"]).select(*n.columns, F.lit(3).alias("rank"), F.col("page").alias("context_page"), "c")
     best = same.unionAll(prev).unionAll(rest).groupBy("pdf_id", "label", "page", "idx").agg(F.min(F.struct("rank", "context_page", "c")).alias("b"))
     return best.select("pdf_id", "label", "page", "idx", "b.context_page", F.col("b.c.pos").alias("pos"), F.col("b.c.text").alias("text"), (F.col("b.rank") < 3).alias("found"))
+
+
+def low_density(lines: DataFrame) -> DataFrame:
+    """(pdf_id, page_index, cutoff): where notes begin when type size does not tell: markers, legal signs and short references from the middle of the page on."""
+    below = Window.partitionBy("pdf_id", "page_index").orderBy("rn").rowsBetween(0, Window.unboundedFollowing)
+    three = Window.partitionBy("pdf_id", "page_index").orderBy("rn").rowsBetween(0, 2)
+    short = F.coalesce(F.col("text").rlike(r"(?i)^\s*[0-9]{1,4}[.)]?\s+(?:id|ibid)\."), F.lit(False)).cast("int")
+    l = _marked(lines).withColumn("short", short)  # noqa: E741
+    l = l.withColumns({"n_like": F.sum("like").over(below), "n_legal": F.sum("legal").over(below), "n_short": F.sum("short").over(below), "n": F.count("*").over(below), "near": F.sum("like").over(three)})  # noqa: E741
+    density = (F.col("n_like") + 0.6 * F.col("n_legal") + 0.8 * F.col("n_short")) / F.col("n")
+    ok = (F.col("n_lines") >= 6) & (F.col("top") / F.col("height") >= 0.5) & (F.col("n") >= 3) & (F.col("n") <= F.greatest(F.lit(5), F.floor(F.col("n_lines") * 0.6))) & (F.col("near") > 0)
+    ok = ok & (((F.col("n_like") >= 2) & (density >= 0.45)) | ((F.col("n_like") >= 1) & (F.col("n_legal") >= 2) & (density >= 0.55)))
+    return l.where(ok).groupBy("pdf_id", "page_index").agg(F.min_by("top", "rn").alias("cutoff"))
+
+
+def bimodal_split(lines: DataFrame) -> DataFrame:
+    """(pdf_id, page_index, cutoff): the top of the small type at the foot of a page with two sizes.
+
+    From the foot upwards the share of small lines has to stay at 70 % from the
+    fourth line on; the first line where it does not ends the region.
+    """
+    page = ["pdf_id", "page_index"]
+    sized = lines.where("font_size is not null and height > 0").withColumn("s", F.round("font_size").cast("int"))
+    total = sized.groupBy(*page).agg(F.count("*").alias("total"))
+    sizes = sized.groupBy(*page, "s").agg(F.count("*").alias("k")).join(total, page).where("total >= 10 and k / total >= 0.12")
+    two = sizes.groupBy(*page).agg(F.min("s").alias("small"), F.max("s").alias("big")).where("small < big and small / big <= 0.9")
+    up = Window.partitionBy(*page).orderBy(F.desc("top"), F.desc("pos"))
+    run = up.rowsBetween(Window.unboundedPreceding, 0)
+    l = sized.join(two, page).withColumn("is_small", (F.col("font_size") <= (F.col("small") + F.col("big")) / 2).cast("int"))  # noqa: E741
+    l = l.withColumns({"n": F.count("*").over(run), "k": F.sum("is_small").over(run)})  # noqa: E741
+    l = l.withColumn("broken", F.max(((F.col("n") >= 4) & (F.col("k") / F.col("n") < 0.7)).cast("int")).over(run)).where("broken = 0 and n >= 4 and is_small = 1")  # noqa: E741
+    g = l.groupBy(*page).agg(F.min("top").alias("cutoff"), F.max("k").alias("k"), F.max("height").alias("height"))
+    return g.where("k >= 3 and cutoff / height >= 0.4").select(*page, "cutoff")
+
+
+def citation_line(lines: DataFrame, first: int = 160) -> DataFrame:
+    """(pdf_id, line): the line among the first of a document that looks most like a citation; the longest of equals."""
+    t = F.trim(F.regexp_replace("text", r"[\s\x{00A0}]+", " "))
+    l = lines.withColumn("n", F.row_number().over(Window.partitionBy("pdf_id").orderBy("page_index", "pos"))).where(F.col("n") <= first).select("pdf_id", "n", t.alias("t")).where("length(t) >= 20")  # noqa: E741
+    low = F.lower("t")
+    score = 4 * F.col("t").rlike(r"[0-9]+ [A-Z][A-Za-z. ]+ [0-9]+").cast("int") + 2 * low.rlike(r"l\. rev\.|law review|journal").cast("int") + F.col("t").rlike(r"\b(?:19|20)[0-9]{2}\b").cast("int") + low.startswith("citation").cast("int")
+    return l.withColumn("score", score).where("score > 0").groupBy("pdf_id").agg(F.max_by("t", F.struct("score", F.length("t"), -F.col("n"))).alias("line"))

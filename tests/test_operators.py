@@ -198,3 +198,29 @@ def test_shard(spark):
     assert all(x.s == int(hashlib.sha1(x.p.encode()).hexdigest()[:16], 16) % 7 for x in r)
 
 
+
+
+# -------------------------------------------------------------------- repair
+def test_repairs(spark):
+    from corpusloom.operators import repair
+
+    n = spark.createDataFrame([(1, 0, None), (1, 1, 4), (1, 2, None), (1, 3, None), (1, 4, 8), (2, 0, None)], "g int, i int, number int")
+    assert [r.filled for r in repair.filled_labels(n, ["g"], ["i"]).orderBy("g", "i").collect()] == [None, 4, 5, 6, 8, None]
+    s = spark.createDataFrame([([1, 102, 3, 100],), ([101, 102],), ([1, 2],)], "l array<int>").select(repair.collapsed_hundreds(F.col("l")).alias("l"))
+    assert [r.l for r in s.collect()] == [[1, 2, 3], [101, 102], [1, 2]]
+    rows = spark.createDataFrame([("a", None, 0.5), ("b", "old", 0.9), ("c", "old", 0.1)], "k string, t string, conf double")
+    new = spark.createDataFrame([("a", "new", 0.4), ("b", "new", 0.4), ("c", "new", 0.4), ("c", "", 0.3)], "k string, t string, conf double")
+    want = {"fill_missing": ["new", "old", "old"], "always": ["new", "new", "new"], "higher_confidence": ["new", "old", "new"]}
+    for policy, values in want.items():
+        assert [r.t for r in repair.patched(rows, new, "k", ["t"], policy, "conf").orderBy("k").collect()] == values
+    b = spark.createDataFrame([(1, 0, 0, 9), (1, 0, 1, 1), (1, 0, 2, 2), (1, 0, 3, 3), (1, 0, 4, 1), (1, 1, 0, None)], "pdf_id int, page_index int, pos int, label int")
+    assert got(repair.rising_block(b)) == [(1, 0, 4)] or got(repair.rising_block(b))[0][2] in (1, 2, 3)
+    assert got(repair.ascending_share(b, ["pdf_id"], ["page_index", "pos"], "label")) == [(1, 4, 0.5)]
+
+
+def test_schema_errors():
+    from corpusloom.operators.repair import schema_errors
+
+    schema = {"type": "object", "required": ["a"], "additionalProperties": False, "properties": {"a": {"$ref": "#/$defs/n"}, "l": {"type": "array", "minItems": 1, "items": {"enum": ["x", "y"]}}}, "$defs": {"n": {"type": ["integer", "null"], "minimum": 1}}}
+    assert schema_errors({"a": 1, "l": ["x"]}, schema) == [] and schema_errors({"a": None}, schema) == []
+    assert len(schema_errors({"a": 0, "l": ["z"], "b": 1}, schema)) == 3 and schema_errors([], schema) == ["$: is no object"] and len(schema_errors({"a": True, "l": []}, schema)) == 2
