@@ -80,8 +80,13 @@ def is_page_number(text: str, page: int | None) -> bool:
     """Whether the line is nothing but the number of its page, however dressed."""
     if page is None or not text or len(text) > 40 or not (m := _LIKE_NUMBER.fullmatch(text)):
         return False
-    core = re.sub(r"\s", "", m[1])
-    return core.translate(_DIGITS) == str(page) or (0 < page < 4000 and core == roman(page))
+    return _is_number(re.sub(r"\s", "", m[1]), page)
+
+
+def _is_number(core: str, page: int) -> bool:
+    """Whether figures, some of them misread, or a roman number are those of the page; a capital I alone counts a section."""
+    figures = any(c.isdigit() for c in core) or set(core) == {"l"}
+    return (figures and core.translate(_DIGITS) == str(page)) or (0 < page < 4000 and core == roman(page))
 
 
 def unspaced(text: str) -> str:
@@ -425,10 +430,7 @@ def number_at_end(text: str, page: int | None) -> int:
     """Length of the page's own number at the end of ``text``, or 0."""
     if page is None or not (m := _TAIL.search(text[-60:])):
         return 0
-    core = re.sub(r"\s", "", m[2])
-    same = core.translate(_DIGITS) == str(page) or (0 < page < 4000 and core == roman(page))
-    # spaced figures may take a figure of the sentence in: "58 4 1 6"
-    return len(m[1]) if same else 0
+    return len(m[1]) if _is_number(re.sub(r"\s", "", m[2]), page) else 0
 
 
 def note_rows(sidecars: DataFrame) -> DataFrame:
