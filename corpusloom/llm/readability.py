@@ -52,8 +52,8 @@ _APART = [
 ]
 _VOWELS = re.compile(r"[aeiouyäöüéèàáíóúêâîôû]+")
 _TOKEN = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*")
-_SMALL = re.compile(r"\b[a-z]{2,}\b")
-_SPLIT = re.compile(r"(?<=[.!?])[\"'”’)\]]*\s+|\s*\n\s*\n\s*|\n(?=[-•*0-9\[(])")
+_END = re.compile(r"([.!?][\"'”’)\]]*)\s+")
+_SPLIT = re.compile(r"\x00|\n\s*\n\s*|\n(?=[-•*0-9\[(])")
 _MARK = re.compile(r"(?<=[a-z][.!?,;:])(?:[0-9]{1,3}|\[[0-9]{1,3}\])(?=\s|$)")
 _ENDED = re.compile(r"[.!?][\"'”’)\]]*$")
 _DIGIT = re.compile(r"\d")
@@ -89,17 +89,18 @@ class WordTable(dict):
 _TABLE = WordTable()
 
 
-def english_share(counts: Counter) -> float:
+def english_share(counts: Counter, total: int) -> float:
     """Share of English function words less that of other languages' ones; words in lower case."""
     own, other = sum(counts[w] for w in _OWN), sum(counts[w] for w in _OTHER)
-    return (own - other) / max(1, counts.total())
+    return (own - other) / max(1, total)
 
 
 def prose(text: str) -> list[str]:
     """Sentences of prose: several words in lower case and no figures, ended or items of a list."""
     out = []
-    for s in _SPLIT.split(_MARK.sub("", text)):
-        if s and not _DIGIT.search(s) and (s[0] in "-•*" or _ENDED.search(s[-4:])) and len(_SMALL.findall(s)) >= 4:
+    for s in _SPLIT.split(_END.sub("\\1\x00", _MARK.sub("", text.replace("\x00", " ")))):
+        s = s.strip()
+        if s and not _DIGIT.search(s) and (s[0] in "-•*" or _ENDED.search(s[-4:])) and sum(map(str.islower, s.split())) >= 4:
             out.append(s)
     return out
 
@@ -110,15 +111,15 @@ FEATURES = "n_words int, english double, sentences int, words int, syllables int
 def text_features(text: str | None) -> tuple:
     if not text:
         return 0, 0.0, 0, 0, 0, 0, 0
-    tokens = _TOKEN.findall(text.lower())
-    counts = Counter(tokens)
-    share = english_share(counts)
+    # words between white space that have a letter or figure
+    counts = Counter(text.lower().split())
+    n_words = counts.total() - sum(k for w, k in counts.items() if not (w[0].isalnum() or w[-1].isalnum() or any(c.isalnum() for c in w)))
+    share = english_share(counts, n_words)
     if share <= ENGLISH_SHARE:
-        return len(tokens), share, 0, 0, 0, 0, 0
+        return n_words, share, 0, 0, 0, 0, 0
     sentences = prose(text)
     n = len(sentences) if sentences else max(1, len(_STOP.findall(text)))
-    if sentences:
-        counts = Counter(_TOKEN.findall(" ".join(sentences).lower()))
+    counts = Counter(_TOKEN.findall((" ".join(sentences) if sentences else text).lower()))
     words = syllables_ = complex_words = chars = 0
     for word, k in counts.items():
         y, c = _TABLE[word]
@@ -127,7 +128,7 @@ def text_features(text: str | None) -> tuple:
             syllables_ += k * y
             complex_words += k * (y >= 3)
             chars += k * c
-    return len(tokens), share, n, words, syllables_, complex_words, chars
+    return n_words, share, n, words, syllables_, complex_words, chars
 
 
 def features(documents: DataFrame) -> DataFrame:
