@@ -15,7 +15,7 @@ input are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators.components import components
@@ -107,9 +107,10 @@ def fuse(members: DataFrame, rounds: int = 4, false_values: int = 10, copy_prior
         copies = shared.join(accuracy, "source").join(leaders, "leader")
         # only shared false values speak for copying; agreeing on the truth is what good sources do
         copies = copies.where("kf > 0").select("source", "leader", (1 / (1 + (1 - copy_prior) / copy_prior * F.exp(F.greatest(log_odds, F.lit(-60.0))))).alias("dep"))
-    order = Window.partitionBy(*item).orderBy(F.desc("p"), F.desc_nulls_last("newest"), "value")
-    # a window over the distinct values of one field of one group; votes were aggregated before
-    return scores.withColumn("r", F.row_number().over(order)).where("r = 1").select(*value, F.col("p").alias("posterior"))
+    # the best value by aggregates, which combine before the shuffle, since a group may hold a third of all records
+    rank = F.struct("p", F.coalesce("newest", F.lit(float("-inf"))))
+    best = scores.groupBy(*item).agg(F.max(rank).alias("best"))
+    return scores.join(best, item).where(rank == F.col("best")).groupBy(*item).agg(F.min("value").alias("value"), F.max("p").alias("posterior"))
 
 
 def survivors(records: DataFrame) -> DataFrame:
