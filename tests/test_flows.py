@@ -94,3 +94,17 @@ def test_sinks(spark, tmp_path):
     assert "| 1 | a |" in sinks.markdown(df.select("k", "kind").orderBy("k"), "T", 2)
     c = spark.createDataFrame([(i, f"2020-01-0{1 + i // 3} 0{i}:00:00", 10) for i in range(9)], "k int, t string, size int").withColumn("t", F.to_timestamp("t"))
     assert sorted(r.k for r in sinks.within_bytes(c, "size", "t", "k", 50).collect()) == [4, 5, 6, 7, 8]
+
+
+def test_plugins(spark):
+    from corpusloom.sources.plugins import Plugins
+
+    def own(seed, page):
+        if "broken" in page:
+            raise ValueError
+        yield {"page_url": seed, "pdf_url": seed + "own.pdf", "title": "t"}
+
+    pages = spark.createDataFrame([("http://www.a.test/", "<p>"), ("http://a.test/x", "broken"), ("http://b.test/", "<a href='/d.pdf'>D</a><a href='/e'>E</a>"), (None, "x"), ("http://c.test/", None)], "seed_url string, html string")
+    p = Plugins().register_many(["www.a.test"], "own", own)
+    assert sorted(tuple(r) for r in p.discover(pages).select("pdf_url", "title", "source").collect()) == [("http://b.test/d.pdf", "D", "generic"), ("http://www.a.test/own.pdf", "t", "own")]
+    assert Plugins(fallback=None).discover(pages).count() == 0 and p.pick("a.test")[0] == "own" and p.pick("z")[0] == "generic"
