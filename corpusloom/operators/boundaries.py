@@ -37,3 +37,22 @@ def article_spans(pages: DataFrame) -> DataFrame:
     s = refs.join(page_offset(pages, refs), "doc_id").join(n, "doc_id").withColumn("first_index", F.col("ref") + F.col("offset")).where("first_index between 0 and n_pages - 1")
     nxt = F.lead("first_index").over(Window.partitionBy("doc_id").orderBy("first_index"))
     return s.select("doc_id", "ref", "first_index", F.coalesce(nxt - 1, F.col("n_pages") - 1).alias("last_index"))
+
+
+def heading_spans(pages: DataFrame, apart: int = 4) -> DataFrame:
+    """(doc_id, first_index, last_index): spans from pages that open with a heading and an abstract.
+
+    A start counts where it is ``apart`` pages from the last one that counts;
+    with fewer than two there are no spans.
+    """
+    lines = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda t: F.trim(t)), lambda t: t != "")
+    head = F.get(lines, F.lit(0))
+    heading = head.rlike(r"^[A-Z0-9][^a-z]{5,}$|^(?:[A-Z][\w'’-]*|of|and|the|in|a|for|to|on|&|:|,|\s)+$") & ~head.rlike(r"(?i)law review|journal")
+    opens = heading & F.exists(F.slice(lines, 1, 10), lambda t: F.lower(t).startswith("abstract"))
+    starts = pages.where(F.coalesce(opens, F.lit(False))).groupBy("doc_id").agg(F.array_sort(F.collect_list("page_index")).alias("s"))
+    # pages of one document; whether a start counts depends on the one that counted before
+    kept = F.aggregate("s", F.array().cast("array<int>"), lambda acc, p: F.when((F.size(acc) == 0) | (p - F.element_at(acc, -1) >= apart), F.array_append(acc, p)).otherwise(acc))
+    n = pages.groupBy("doc_id").agg((F.max("page_index") + 1).alias("n_pages"))
+    k = starts.select("doc_id", kept.alias("k")).where(F.size("k") >= 2).join(n, "doc_id").select("doc_id", "n_pages", F.explode("k").alias("first_index"))
+    nxt = F.lead("first_index").over(Window.partitionBy("doc_id").orderBy("first_index"))
+    return k.select("doc_id", "first_index", F.coalesce(nxt - 1, F.col("n_pages") - 1).alias("last_index"))

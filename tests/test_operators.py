@@ -224,3 +224,28 @@ def test_schema_errors():
     schema = {"type": "object", "required": ["a"], "additionalProperties": False, "properties": {"a": {"$ref": "#/$defs/n"}, "l": {"type": "array", "minItems": 1, "items": {"enum": ["x", "y"]}}}, "$defs": {"n": {"type": ["integer", "null"], "minimum": 1}}}
     assert schema_errors({"a": 1, "l": ["x"]}, schema) == [] and schema_errors({"a": None}, schema) == []
     assert len(schema_errors({"a": 0, "l": ["z"], "b": 1}, schema)) == 3 and schema_errors([], schema) == ["$: is no object"] and len(schema_errors({"a": True, "l": []}, schema)) == 2
+
+
+# ------------------------------------------------------------------- columns
+def test_columns(spark):
+    from corpusloom.operators import columns
+
+    # lines begin at different places, so that spaces between words do not stand above each other
+    words = [(1, 1, x + 7 * r % 40, x + 7 * r % 40 + 46.0, 50.0 + 12 * r + 0.5 * (k % 2), f"{'L' if x < 300 else 'R'}{r}.{k}") for r in range(12) for k, x in enumerate((50.0, 100.0, 150.0, 200.0, 350.0, 400.0, 450.0, 500.0))]
+    words += [(1, 2, 50.0 + 40 * k + 7 * r % 40, 88.0 + 40 * k + 7 * r % 40, 60.0 + 12 * r, "w") for r in range(12) for k in range(12)] + [(1, 3, None, None, 1.0, "x")]
+    df = spark.createDataFrame(words, "doc_id bigint, page int, x0 double, x1 double, top double, text string")
+    g = got(columns.gutters(df))
+    assert len(g) == 1 and g[0][1] == 1 and 240 <= g[0][2] <= 350
+    c = got(columns.center_gaps(df))
+    assert len(c) == 1 and 220 < c[0][2] < 370
+    l = columns.lines_of(df, columns.gutters(df)).where("page = 1").orderBy("line").collect()  # noqa: E741
+    assert [r.text for r in l[:2]] == ["L0.0 L0.1 L0.2 L0.3", "L1.0 L1.1 L1.2 L1.3"] and l[12].text == "R0.4 R0.5 R0.6 R0.7" and len(l) == 24
+    assert columns.lines_of(df).where("page = 1").count() == 12
+
+
+def test_heading_spans(spark):
+    pages = [(1, i, "text\nmore") for i in range(12)]
+    for i in (0, 2, 5):
+        pages[i] = (1, i, "A Theory of Everything\nBy A. Author\nAbstract. We show.")
+    df = spark.createDataFrame([*pages, (2, 0, "A Theory\nabstract"), (3, 0, None)], "doc_id bigint, page_index int, text string")
+    assert got(boundaries.heading_spans(df)) == [(1, 0, 4), (1, 5, 11)]
