@@ -171,7 +171,7 @@ def author_entities(parsed: DataFrame) -> DataFrame:
     longer = full.select("surname", F.col("given").alias("long"))
     short = full.where(F.length("given") <= 4).join(longer, "surname").where((F.length("long") > F.length("given")) & F.expr("startswith(long, given)"))
     short = short.groupBy("surname", "given").agg(F.min("long").alias("lo_long"), F.max("long").alias("hi_long")).where("lo_long = hi_long").select("surname", "given", F.col("lo_long").alias("long"))
-    whole = whole.join(short, ["surname", "given"], "left").withColumn("given", F.coalesce("long", "given")).drop("long")
+    whole = stage(whole.join(short, ["surname", "given"], "left").withColumn("given", F.coalesce("long", "given")).drop("long"), "whole")
     full = whole.groupBy("surname", "given").agg(F.min(F.when(F.col("middle") != "", F.col("middle"))).alias("lo"), F.max(F.when(F.col("middle") != "", F.col("middle"))).alias("hi"), F.max((F.col("middle") == "").cast("int")).alias("bare"))
     # with one middle initial, spellings with and without it are one person; with several, the bare one is its own
     one = F.when(F.col("lo") == F.col("hi"), F.col("lo"))
@@ -299,7 +299,8 @@ def find(holdings: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFrame
     both = pairs.select(F.col("a").alias("token"), F.col("b").alias("right")).unionAll(pairs.select(F.col("b").alias("token"), F.col("a").alias("right")))
     jfixes = both.join(known.withColumnRenamed("token", "right"), "right", "left_semi").join(known, "token", "left_anti")
     jfixes = stage(jfixes.groupBy("token").agg(F.min("right").alias("right"), F.count("*").alias("k")).where("k = 1").select("token", "right"), "jfixes")
-    return author_entities(parsed_names(authors, fixes)), journal_links(journals, registry, jfixes)
+    # staged: the parts of a name are asked for many times
+    return author_entities(stage(parsed_names(authors, fixes), "parsed")), journal_links(journals, registry, jfixes)
 
 
 def members(entities: DataFrame, journals: DataFrame) -> DataFrame:
