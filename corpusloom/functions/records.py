@@ -103,8 +103,13 @@ def partial_date(value: Column) -> Column:
     ``start`` and ``end`` are numbers yyyymmdd; a month ends on day 31 and a
     year on December 31, so that they order as intervals. NULL if none is found.
     """
-    t = F.regexp_replace(F.lower(text(value)), r"(\d)(?:st|nd|rd|th)\b", "$1")
-    t = F.trim(F.regexp_replace(t, r"\s+", " "))
+    plain = F.regexp_replace(F.lower(text(value)), r"(\d)(?:st|nd|rd|th)\b", "$1")
+    plain = F.trim(F.regexp_replace(plain, r"\s+", " "))
+    # bound to a name, so that the text is cleaned once and not for each pattern
+    return F.get(F.transform(F.array(plain), _dated), F.lit(0))
+
+
+def _dated(t: Column) -> Column:
     dashed = F.translate(t, "/.", "--")
     num = lambda pattern, i, src=dashed: F.regexp_extract(src, pattern, i).try_cast("int")
     full, ym = r"\b((?:19|20)\d{2})-(\d{1,2})-(\d{1,2})\b", r"\b((?:19|20)\d{2})-(\d{1,2})\b"
@@ -119,14 +124,17 @@ def partial_date(value: Column) -> Column:
         y.alias("year"),
     )
     none = F.lit(None).cast("int")
-    return (
-        F.when(day_ok(num(full, 2), num(full, 3)), made(num(full, 1), num(full, 2), num(full, 3)))
-        .when(num(ym, 2).between(1, 12), made(num(ym, 1), num(ym, 2), none))
-        .when(day_ok(month(dmy, 2), num(dmy, 1, t)), made(num(dmy, 3, t), month(dmy, 2), num(dmy, 1, t)))
-        .when(day_ok(month(mdy, 1), num(mdy, 2, t)), made(num(mdy, 3, t), month(mdy, 1), num(mdy, 2, t)))
-        .when(month(my, 1).isNotNull(), made(num(my, 2, t), month(my, 1), none))
-        .when(num(r"\b((?:19|20)\d{2})\b", 1, t).isNotNull(), made(num(r"\b((?:19|20)\d{2})\b", 1, t), none, none))
+    parts = (
+        F.when(day_ok(num(full, 2), num(full, 3)), F.array(num(full, 1), num(full, 2), num(full, 3)))
+        .when(num(ym, 2).between(1, 12), F.array(num(ym, 1), num(ym, 2), none))
+        .when(day_ok(month(dmy, 2), num(dmy, 1, t)), F.array(num(dmy, 3, t), month(dmy, 2), num(dmy, 1, t)))
+        .when(day_ok(month(mdy, 1), num(mdy, 2, t)), F.array(num(mdy, 3, t), month(mdy, 1), num(mdy, 2, t)))
+        .when(month(my, 1).isNotNull(), F.array(num(my, 2, t), month(my, 1), none))
+        .when(num(r"\b((?:19|20)\d{2})\b", 1, t).isNotNull(), F.array(num(r"\b((?:19|20)\d{2})\b", 1, t), none, none))
     )
+    # bound to a name, so that the parts are found once and not for each field
+    bound = F.transform(F.array(parts), lambda p: F.when(p.isNotNull(), made(F.get(p, F.lit(0)), F.get(p, F.lit(1)), F.get(p, F.lit(2)))))
+    return F.get(bound, F.lit(0))
 
 
 def completeness(m: Column) -> Column:

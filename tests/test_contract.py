@@ -3,6 +3,7 @@ import sys
 from pathlib import Path
 
 import duckdb
+import pandas as pd
 import pytest
 
 ROOT = Path(__file__).resolve().parent.parent
@@ -28,7 +29,7 @@ def test_entry(spark):
 
 def rows(frame):
     def one(v):
-        if v is None or v != v:
+        if v is None or v is pd.NA or v != v:
             return "NULL"
         if isinstance(v, float) or type(v).__name__ in ("Decimal", "float64"):
             return f"{float(v):.8g}"
