@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 import statistics
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -20,6 +21,13 @@ NOTE_LIKE = r"(?i)^\s*(?:\[\^\d{1,4}\]:|\d{1,4}[\]).,:;-]?\s+|[ivxlcdm]{1,7}[\])
 LEGAL_SIGNAL = r"(?i)\b(?:v\.|u\.s\.|f\.\d|s\. ct\.|id\.|supra|infra)"
 SHORT_CITE = r"(?i)\b(?:id\.|ibid\.|supra|infra)"
 AUTHOR_MARKERS = ("*", "†", "‡", "§", "¶")
+#: What follows a number that is part of a wrapped citation and no label.
+FRAGMENT = (
+    r"(?i)^(?:\(?[0-9,\s–—-]+\)?\.?\s*$|at\s+[0-9]|[0-9]+[–—-][0-9]+\s*\(?(?:19|20)[0-9]{2}\)?\.?\s*$|[0-9]+,\s*[0-9]+\s*\([^)]+\)|\([0-9]+(?:st|nd|rd|th)\s+Cir\."
+    r"|(?:U\.S\.?|F\.\s*(?:2d|3d|Supp\.?\s*(?:2d|3d)?)|S\.\s*Ct\.?)\s+(?:at\s+)?[0-9]|[0-9]+\s*\(\s*(?:[0-9]+(?:st|nd|d|rd|th)\s+Cir\.|(?:19|20)[0-9]{2}))"
+)
+#: Costs of missing labels between two notes, of any other break, and of counting from 1 again; a note opened is worth 1.
+MISSING, ANY_BREAK, AGAIN = (0.0, 0.5, 1.5, 2.5), 3.0, 1.5
 #: Missing labels a document may have, and the share of its span they may be beyond that.
 GAP_TOLERANCE, GAP_SHARE = 2, 0.05
 
@@ -149,21 +157,58 @@ def note_lines(docs: DataFrame) -> DataFrame:
     return l.select("pdf_id", "page_index", "line", "page", F.trim(F.regexp_replace("l.text", r"[\s\x{00A0}]+", " ")).alias("text"))
 
 
+def opened(numbers: list[int | None]) -> list[int]:
+    """Note of every line (0 before the first), for the numbers the lines of a document begin with.
+
+    Numbers of wrapped citations stand between labels, so labels are the chain
+    of most notes less its breaks, over the whole document; the start counts as
+    label 0. Linear: a chain is gone on with from the best end at each of the
+    few labels before, or after a break from the best end of all.
+    """
+    places = [i for i, v in enumerate(numbers) if v is not None]
+    total, parent = [0.0] * len(places), [-1] * len(places)
+    ends: dict[int, int] = {}
+    top = -1
+    for k, i in enumerate(places):
+        n = numbers[i]
+        total[k] = 1 - (MISSING[n - 1] if 1 <= n <= len(MISSING) else ANY_BREAK)
+        ways = [(total[j] + 1 - cost, j) for gap, cost in enumerate(MISSING, 1) if (j := ends.get(n - gap)) is not None]
+        if top >= 0:
+            ways.append((total[top] + 1 - (AGAIN if n == 1 else ANY_BREAK), top))
+        for value, j in ways:
+            if value > total[k]:
+                total[k], parent[k] = value, j
+        if n not in ends or total[k] > total[ends[n]]:
+            ends[n] = k
+        if top < 0 or total[k] > total[top]:
+            top = k
+    out = [0] * len(numbers)
+    while top >= 0:
+        out[places[top]] = 1
+        top = parent[top]
+    return list(accumulate(out))
+
+
+@F.pandas_udf(ArrayType(IntegerType()))
+def note_numbers(numbers: pd.Series) -> pd.Series:
+    return numbers.map(lambda x: opened([None if v is None or v != v else int(v) for v in x]))
+
+
 def segmented(lines: DataFrame, size: int = 8000) -> DataFrame:
     """(pdf_id, note_no, label, page_start, page_end, text): lines gathered under the markers they follow.
 
-    A marker opens a note where it may continue the numbers before it: label n
-    after n - 1, up to a few missing, or 1 at the start. Lines before the first
-    marker belong to no note. Parts beyond ``size`` characters of a note are
-    skipped, which is the bound of the field.
+    A marker opens a note where it belongs to the best chain of labels of its
+    document (``opened``); what looks like the rest of a citation is no marker.
+    Lines before the first marker belong to no note. Parts beyond ``size``
+    characters of a note are skipped, which is the bound of the field.
     """
-    w = Window.partitionBy("pdf_id").orderBy("page_index", "line")
-    label = F.regexp_extract("text", r"^([0-9]{1,4})[\]).,:;-]?\s+\S", 1)
-    marked = lines.where("text <> ''").withColumn("n", F.when(label != "", label.cast("int")))
-    # the marker before it, for the rule of continuation
-    marked = marked.withColumn("before", F.last("n", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    opens = F.col("n").isNotNull() & (F.col("before").isNull() | F.col("n").between(F.col("before") + 1, F.col("before") + 4))
-    marked = marked.withColumn("opens", F.coalesce(opens, F.lit(False)).cast("int")).withColumn("note_no", F.sum("opens").over(w)).where("note_no > 0")
+    start = r"^([0-9]{1,4})[\]).,:;-]?\s+(\S.*)$"
+    label, rest = F.regexp_extract("text", start, 1), F.regexp_extract("text", start, 2)
+    marked = lines.where("text <> ''").withColumn("n", F.when((label != "") & ~rest.rlike(FRAGMENT), label.cast("int")))
+    whole = marked.groupBy("pdf_id").agg(F.sort_array(F.collect_list(F.struct("page_index", "line", "page", "text", "n"))).alias("l"))
+    whole = whole.withColumn("note", note_numbers(F.transform("l", lambda x: x["n"])))
+    each = F.transform("l", lambda x, i: F.struct(F.col("note")[i].alias("note_no"), (F.col("note")[i] - F.when(i > 0, F.col("note")[F.greatest(i - 1, F.lit(0))]).otherwise(0)).alias("opens"), x.alias("x")))
+    marked = whole.select("pdf_id", F.inline(each)).where("note_no > 0").select("pdf_id", F.col("note_no").cast("bigint").alias("note_no"), "opens", "x.*")
     body = F.when(F.col("opens") == 1, F.regexp_replace("text", r"^[0-9]{1,4}[\]).,:;-]?\s+", "")).otherwise(F.col("text"))
     g = marked.groupBy("pdf_id", "note_no").agg(F.max(F.when(F.col("opens") == 1, F.col("n"))).alias("label"), F.min("page").alias("page_start"), F.max("page").alias("page_end"), F.sort_array(F.collect_list(F.struct("page_index", "line", body.alias("t")))).alias("parts"))
     text = F.aggregate("parts", F.lit(""), lambda acc, x: F.when(F.length(acc) + F.length(x["t"]) > size, acc).when(acc == "", x["t"]).otherwise(F.concat(acc, F.lit(" "), x["t"])))

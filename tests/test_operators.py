@@ -118,6 +118,15 @@ def test_segments(spark):
     assert got(s, "pdf_id", "label", "page_start", "page_end", "text") == [(1, 1, 3, 3, "See the report of 1999."), (1, 2, 4, 4, "Id. at 7. 84 Bost. L. Rev. 2"), (2, 5, 1, 1, "Late start")]
 
 
+def test_segments_with_wrapped_citations(spark):
+    texts = ["1 See Smith,", "112 Tarn. App. 4", "2 Id.", "1965) (holding", "3 Reed v. Roe,", "445 (1963)", "4 See", "5 Corb. L. Rev. 2", "4, 348 (1979).", "5 Id.", "6 See id.", "30 After lost pages", "31 Id.", "32 Id.", "33 Id.", "1 Second part", "2 Id."]
+    df = spark.createDataFrame([(1, i // 4, i % 4, i // 4, t) for i, t in enumerate(texts)], "pdf_id bigint, page_index int, line int, page int, text string")
+    s = notes.segmented(df).orderBy("note_no").collect()
+    assert [r.label for r in s] == [1, 2, 3, 4, 5, 6, 30, 31, 32, 33, 1, 2]
+    assert [r.text for r in s[:3]] == ["See Smith, 112 Tarn. App. 4", "Id. 1965) (holding", "Reed v. Roe, 445 (1963)"]
+    assert notes.opened([]) == [] and notes.opened([None, 5, None]) == [0, 1, 1] and notes.opened([1, 4, 2]) == [1, 1, 2]
+
+
 # -------------------------------------------------------------------- layout
 def test_layout(spark):
     rows = [(1, 0, 1, 800.0, 14, i, f"body line {i}" if i < 9 else f"{i} See id. at 4", 40.0 + 50 * i, 11.0 if i < 9 else 8.0) for i in range(14)]
