@@ -142,13 +142,21 @@ def line_features(texts, sizes, pages, fonts, note: bool) -> np.ndarray:
         for i in range(at + 1, end):
             if lengths[i] <= 40 and is_page_number(texts[i].strip(), page):
                 out[i] |= 4
+        # a header may stand below a stamp, or at the foot of the page
+        for i in {at + 1, end - 2, end - 1}:
+            if at < i < end:
+                edge = unspaced(texts[i].strip())
+                if not out[i] & 4 and has_page_number(edge, page):
+                    out[i] |= 8
+                if titled(edge):
+                    out[i] |= 32
         at = end
     return out
 
 
 def seed_labels(bits: np.ndarray) -> np.ndarray:
     has = lambda *names: np.logical_and.reduce([(bits >> FEATURES.index(n)) & 1 == 1 for n in names])
-    return np.select([has("is_number"), has("first", "has_number", "titled") & ~has("note"), has("ended", "short")], [NUMBER, HEADER, BREAK], BODY)
+    return np.select([has("is_number"), has("has_number", "titled") & ~has("note"), has("ended", "short")], [NUMBER, HEADER, BREAK], BODY)
 
 
 #: Lines that one array of the model holds.
@@ -163,6 +171,10 @@ class LineModel:
         n = counts.sum(axis=1, keepdims=True)
         on = np.clip((counts @ bits + 0.5) / (n + 1.0), 1e-4, 1 - 1e-4)
         self.emit = np.log(on) @ bits.T + np.log(1 - on) @ (1 - bits.T)
+        # headers that are not the first line: by what a line looks like, wherever it stands
+        looks = np.log(on)[:, 2:] @ bits.T[2:] + np.log(1 - on)[:, 2:] @ (1 - bits.T[2:])
+        every = np.arange(512, dtype=np.int64)
+        self.moved = (seed_labels(every) == HEADER) & (every & 1 == 0) & (looks[HEADER] > looks[BODY])
         self.start = np.log((steps[4] + 1) / (steps[4].sum() + 4))
         self.step = np.log((steps[:4] + 1) / (steps[:4].sum(axis=1, keepdims=True) + 4))
 
@@ -177,6 +189,7 @@ class LineModel:
             step = max(1, CELLS >> int(power))
             for at in range(0, len(group), step):
                 self._label(group[at : at + step], bits, sizes, starts, out)
+        out[self.moved[bits]] = HEADER
         return out
 
     def _label(self, here, bits, sizes, starts, out) -> None:

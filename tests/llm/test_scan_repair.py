@@ -99,3 +99,13 @@ def test_viterbi_equals_brute_force():
         if n:
             assert np.isclose(score(got[at : at + n]), max(map(score, itertools.product(range(4), repeat=n))))
         at += n
+
+
+def test_headers_that_are_not_the_first_line(spark):
+    header = lambda n: f"{n} CORMOOR LAW REVIEW [Vol. 36:1]"
+    plain = [(i, [page(n, [header(n), *TEXT, TEXT[i % 3], f"{n}"]) for n in (5, 6, 7)], "x") for i in range(12)]
+    moved = (60, [page(8, ["received in the library of the court", header(8), *TEXT]), page(9, ["9", header(9), *TEXT]), page(10, [*TEXT, "CORMOOR LAW REVIEW 10"]), page(11, [*TEXT, "1 1  C O R M O O R  L A W  R E V I E W", "11"])], "x")
+    parts = S.find(spark.createDataFrame([*plain, moved], DOCS), spark.createDataFrame([], NOTES))
+    got = {(r.page_no, r.pos, r.kind) for r in S.found(parts).where("pdf_id = 60").collect()}
+    assert got == {(8, 1, "header"), (9, 0, "page_number"), (9, 1, "header"), (10, 3, "header"), (11, 3, "header"), (11, 4, "page_number")}
+    assert S.found(parts).where("pdf_id < 60").count() == 12 * 3 * 2
