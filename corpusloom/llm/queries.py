@@ -28,8 +28,8 @@ def p1_sample(spark: SparkSession, d: str) -> DataFrame:
 def p1_report(spark: SparkSession, d: str) -> DataFrame:
     """Targets, plans and what was drawn, for every plan and family."""
     stats, report = _audit(spark, d)
-    drawn = sampling.sample(stats, report).groupBy("config_id", "platform_family").agg(F.count("*").alias("drawn"))
-    return report.drop("fam").join(drawn, ["config_id", "platform_family"], "left").fillna(0, ["drawn"])
+    drawn = sampling.sample(stats, report).groupBy("config_id", sampling.family_key(F.col("platform_family")).alias("fam")).agg(F.count("*").alias("drawn"))
+    return report.join(drawn, ["config_id", "fam"], "left").drop("fam").fillna(0, ["drawn"])
 
 
 def _scans(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, dict]:

@@ -93,13 +93,16 @@ def set_targets(share: np.ndarray, available: np.ndarray, size: int, floor: int)
 
 
 def calibrate(stats: DataFrame, configs: DataFrame, targets: DataFrame) -> DataFrame:
-    """Report, one row per plan and target family.
+    """Report, one row per plan and row of its targets.
 
     config_id, platform_family, target_share, sample_size, floor_per_family,
     seed, available, target (share x size), planned, probability, reason:
     ``below_floor`` / ``below_target`` where fewer units exist than wanted,
     ``raised`` / ``lowered`` where others' floors or gaps moved the plan, else
-    ``met``. Plans and targets are configuration; only they and the counts per
+    ``met``. Spellings of one family are calibrated as one with the sum of their
+    shares: available, planned and probability are the family's in each of its
+    rows, target the row's own. A row that names no family has no units. Plans
+    and targets are configuration; only they and the counts per
     family come to the driver.
     """
     spark = stats.sparkSession
@@ -117,15 +120,21 @@ def calibrate(stats: DataFrame, configs: DataFrame, targets: DataFrame) -> DataF
             continue
         plan = plans[config_id]
         size, floor = int(plan.sample_size or 0), int(plan.floor_per_family or 0)
-        family = sorted({f.fam: f for f in family if f.fam}.values(), key=lambda r: r.fam)
-        share = np.array([max(0.0, float(f.target_share or 0)) for f in family])
-        have = np.array([available.get(f.fam, 0) for f in family], dtype=float)
+        merged: dict = {}
+        for f in family:
+            if f.fam:
+                merged[f.fam] = merged.get(f.fam, 0) + max(0, f.target_share or 0)
+        keys = sorted(merged)
+        share = np.array([float(merged[k]) for k in keys])
+        have = np.array([available.get(k, 0) for k in keys], dtype=float)
         planned = set_targets(share, have, size, floor)
         p, _ = newton_tilt(np.full(len(have), max(size, 1) / max(have.sum(), 1)), have, planned)
-        for f, h, n, q in zip(family, have, planned, p):
-            target = (f.target_share or 0) * size
-            reason = "below_floor" if h < floor else "below_target" if h < target else "raised" if n >= target + 1 else "lowered" if n <= target - 1 else "met"
-            rows.append((config_id, f.platform_family, f.fam, float(f.target_share or 0), size, floor, int(plan.seed or 0), int(h), float(target), int(n), float(q), reason))
+        of = {k: (int(h), int(n), float(q)) for k, h, n, q in zip(keys, have, planned, p)}
+        for f in sorted(family, key=lambda r: (r.fam or "", r.platform_family or "")):
+            h, n, q = of.get(f.fam, (0, 0, 0.0))
+            target, whole = (f.target_share or 0) * size, merged.get(f.fam, 0) * size
+            reason = "below_floor" if h < floor else "below_target" if h < target else "raised" if n >= whole + 1 else "lowered" if n <= whole - 1 else "met"
+            rows.append((config_id, f.platform_family, f.fam, float(f.target_share or 0), size, floor, int(plan.seed or 0), h, float(target), n, q, reason))
     schema = "config_id int, platform_family string, fam string, target_share double, sample_size int, floor_per_family int, seed bigint, available bigint, target double, planned int, probability double, reason string"
     return spark.createDataFrame(rows, schema)
 
@@ -177,7 +186,8 @@ def sample(stats: DataFrame, report: DataFrame, block: int = BLOCK) -> DataFrame
     units of a family meet in further rounds until one is left, which is drawn
     or not so that the family's sum stays whole.
     """
-    plan = F.broadcast(report.where("planned > 0").select("config_id", "platform_family", "fam", "seed", "available", "planned", "probability"))
+    # spellings of one family are drawn for once, under the smallest
+    plan = F.broadcast(report.where("planned > 0").groupBy("config_id", "fam", "seed", "available", "planned", "probability").agg(F.min("platform_family").alias("platform_family")))
     u = units(stats).join(plan, "fam").select("config_id", "platform_family", F.col("pdf_id").alias("unit"), F.col("probability").alias("p"), "available", "seed", "planned")
     rand = lambda salt: (F.xxhash64("seed", "config_id", "unit", F.lit(salt)).bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53))
     u = u.withColumn("u", rand(1)).withColumn("v", rand(2))

@@ -60,3 +60,16 @@ def test_newton_and_empty(spark):
     empty = S.calibrate(t[0].limit(0), t[1], t[2])
     assert [(r.planned, r.reason) for r in empty.collect()] == [(0, "below_floor")]
     assert S.sample(t[0].limit(0), empty).count() == 0 and S.calibrate(t[0], t[1].limit(0), t[2].limit(0)).count() == 0
+
+
+def test_every_row_of_the_targets_is_reported(spark, tmp_path):
+    from corpusloom.llm import queries
+
+    t = tables(spark, [("Ojs", 60), ("drupal", 40)], [(1, 50, 2, 7)], [(1, "ojs", 0.3), (1, "O.J.S.", 0.3), (1, "drupal", 0.3), (1, None, 0.05), (1, "--", 0.05)])
+    for name, df in zip(("doc_stats", "audit_configs", "family_targets"), t):
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    report = {r.platform_family: r for r in queries.p1_report(spark, str(tmp_path)).collect()}
+    assert set(report) == {"ojs", "O.J.S.", "drupal", None, "--"}
+    assert {r.platform_family for r in queries.p1_found(spark, str(tmp_path)).collect()} == {None, "--"}
+    assert report["ojs"].planned == report["ojs"].drawn == report["O.J.S."].drawn and report["ojs"].planned + report["drupal"].planned == 50 and report[None].drawn == 0
+    assert queries.p1_sample(spark, str(tmp_path)).count() == 50
