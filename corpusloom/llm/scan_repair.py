@@ -2,9 +2,13 @@
 
 A hidden Markov model labels the lines of every page as running header, page
 number, body or body that ends a paragraph. Its emissions are log-linear in
-layout features (place on the page, the page's own number, type size, capitals,
-end of sentence, length); its parameters are counted over all lines from seed
-labels and smoothed. Broken words and misrecognised characters are judged
+layout features (edge of the page, the page's own number, the same letters at
+the edge of another page, type size, capitals, end of sentence, length). Sure
+lines are seeds and counted over all documents; lines that may or may not be
+headers are left open and shared out by expectation maximisation over the
+pattern counts. The labels of the best path are the result. A header inside a
+note is told by two Markov chains over classes of words, that of headers and
+that of text, counted in the same pass. Broken words and misrecognised characters are judged
 against the corpus's own words: every word has a *skeleton* under a homomorphism
 that makes the usual confusions of recognition equal (rn = m, cl = d, ii = u,
 1 = l ...), so that one equi-join finds the word meant, however many of its
@@ -14,7 +18,8 @@ parameters, a fixed number, reach the driver.
 Defined results: NULL pages, line lists and texts have no lines and nothing is
 found in them; an empty line is body; a document or a note given twice is
 reported once; a hyphen at the end of the last line counts as broken where what
-stands before it is no word of the corpus; empty tables give empty results.
+stands before it is no word of the corpus; the rest of a broken word is sought
+on the same and the next page that has lines; empty tables give empty results.
 Other columns are ignored.
 """
 
@@ -32,7 +37,8 @@ from pyspark.sql import functions as F
 from corpusloom.session import broadcast_if_small, stage
 
 HEADER, NUMBER, BODY, BREAK = range(4)
-FEATURES = ["first", "last", "is_number", "has_number", "small", "titled", "ended", "short", "note"]
+FEATURES = ["edge", "is_number", "has_number", "recurs", "small", "titled", "ended", "short", "note"]
+EDGE, IS_NUMBER, HAS_NUMBER, RECURS, SMALL, TITLED, ENDED, SHORT, NOTE = (1 << i for i in range(9))
 HYPHENS = "-‐­‑¬"
 
 # What recognition takes for what. Equal images mean confusable
@@ -64,6 +70,8 @@ _EDGE = re.compile(r"^[\[(]?([0-9OIl]{1,6})\b|\b([0-9OIl]{1,6})[\])]?\.?$")
 _ENDED = re.compile(r"[.?!:][\"'”’)\]]*(?:[0-9]{1,3}|\[[0-9]{1,3}\])?$")
 #: Characters after which no sentence has ended.
 _PLAIN = frozenset("abcdefghijklmnopqrstuvwxyz,;-")
+#: First characters with which no page number begins.
+_NO_FIGURE = frozenset("abefghjknqrstuwyzABCDEFGHJKLMNQRSTUVWXYZ(")
 _PIECE = re.compile(rf"([\w†ﬁﬂ'’:/.|-]*[\w†ﬁﬂ|])[{HYPHENS}]$")
 _FIRST = re.compile(r"^[\W_]*?([\w†ﬁﬂ|][\w†ﬁﬂ'’|-]*)")
 _BROKEN = re.compile(rf"([\w†ﬁﬂ'’:/.|-]*[\w†ﬁﬂ|])[{HYPHENS}] +([\w†ﬁﬂ|][\w†ﬁﬂ'’|-]*)")
@@ -78,7 +86,7 @@ def roman(n: int) -> str:
 
 def is_page_number(text: str, page: int | None) -> bool:
     """Whether the line is nothing but the number of its page, however dressed."""
-    if page is None or not text or len(text) > 40 or not (m := _LIKE_NUMBER.fullmatch(text)):
+    if page is None or not text or not (m := _LIKE_NUMBER.fullmatch(text)):
         return False
     return _is_number(re.sub(r"\s", "", m[1]), page)
 
@@ -97,8 +105,9 @@ def unspaced(text: str) -> str:
     return re.sub(r"\s{2,}", " ", re.sub(r"(?<=\S) (?=\S)", "", text))
 
 
-def has_page_number(text: str, page: int | None) -> bool:
-    return page is not None and any((a or b).translate(_DIGITS) == str(page) for a, b in _EDGE.findall(text))
+def has_page_number(text: str, page: int | None, note: bool = False) -> bool:
+    """Whether a line begins or ends with the number of its page; what a note begins with is its label."""
+    return page is not None and any((b if note else a or b).translate(_DIGITS) == str(page) for a, b in _EDGE.findall(text))
 
 
 def titled(text: str) -> bool:
@@ -112,51 +121,59 @@ def _middle(values: np.ndarray):
     return np.sort(values)[len(values) // 2]
 
 
+_NO_LETTER = re.compile(r"[\W\d_]+")
+
+
 def line_features(texts, sizes, pages, fonts, note: bool) -> np.ndarray:
     """Bits of FEATURES for the lines of one document's body or notes, flat in page order."""
     n = len(texts)
     lengths = np.fromiter(map(len, texts), dtype=np.int64, count=n)
-    out = np.full(n, 256 if note else 0, dtype=np.int16)
+    out = np.full(n, NOTE if note else 0, dtype=np.int16)
     if not n:
         return out
     known = fonts[~np.isnan(fonts)]
     if len(known):
-        out[fonts < _middle(known) - 0.25] |= 16
-    out[lengths < 0.72 * _middle(lengths)] |= 128
+        out[fonts < _middle(known) - 0.25] |= SMALL
+    out[lengths < 0.72 * _middle(lengths)] |= SHORT
     # a mark of a note may follow the end of a sentence
-    out[np.fromiter((t[-1:] in ".?!" and t != "" or (t[-1:] not in _PLAIN and _ENDED.search(t[-12:]) is not None) for t in texts), dtype=bool, count=n)] |= 64
-    at = 0
-    for size, page in zip(sizes, pages):
-        if not size:
-            continue
+    out[np.fromiter((t[-1:] in ".?!" and t != "" or (t[-1:] not in _PLAIN and _ENDED.search(t[-12:]) is not None) for t in texts), dtype=bool, count=n)] |= ENDED
+    at, letters, owned = 0, [], []
+    for leaf, (size, page) in enumerate(zip(sizes, pages)):
         end = at + size
-        out[at] |= 1
-        out[end - 1] |= 2
-        head = unspaced(texts[at].strip())
-        if is_page_number(head, page):
-            out[at] |= 4
-        elif has_page_number(head, page):
-            out[at] |= 8
-        if titled(head):
-            out[at] |= 32
-        for i in range(at + 1, end):
-            if lengths[i] <= 40 and is_page_number(texts[i].strip(), page):
-                out[i] |= 4
-        # a header may stand below a stamp, or at the foot of the page
-        for i in {at + 1, end - 2, end - 1}:
-            if at < i < end:
-                edge = unspaced(texts[i].strip())
-                if not out[i] & 4 and has_page_number(edge, page):
-                    out[i] |= 8
-                if titled(edge):
-                    out[i] |= 32
+        edges = range(at, end) if size <= 4 else (at, at + 1, end - 2, end - 1)
+        own = set()
+        for i in edges:
+            edge = unspaced(texts[i].strip())
+            bits = EDGE | (TITLED if titled(edge) else 0)
+            if is_page_number(edge, page):
+                bits |= IS_NUMBER
+            elif has_page_number(edge, page, note):
+                bits |= HAS_NUMBER
+            out[i] |= bits
+            if key := _NO_LETTER.sub("", edge.lower()):
+                letters.append((i, leaf, key))
+                own.add(key)
+        owned.append(own)
+        for i in range(at + 2, end - 2):
+            if texts[i][:1] not in _NO_FIGURE and is_page_number(texts[i].strip(), page):
+                out[i] |= IS_NUMBER
         at = end
+    for i, leaf, key in letters:
+        # the headers of left and right pages differ, so that of the next page or the one after counts
+        if any(key in owned[k] for k in (leaf - 2, leaf - 1, leaf + 1, leaf + 2) if 0 <= k < len(owned)):
+            out[i] |= RECURS
     return out
 
 
+#: Label of lines that are no seeds.
+OPEN = 4
+
+
 def seed_labels(bits: np.ndarray) -> np.ndarray:
-    has = lambda *names: np.logical_and.reduce([(bits >> FEATURES.index(n)) & 1 == 1 for n in names])
-    return np.select([has("is_number"), has("has_number", "titled") & ~has("note"), has("ended", "short")], [NUMBER, HEADER, BREAK], BODY)
+    """Labels of lines that are sure: what carries its page's number and recurs is a header, what is one of both is open."""
+    has = lambda mask: (bits & mask) == mask
+    sure = has(HAS_NUMBER | TITLED | RECURS) & ~has(NOTE)
+    return np.select([has(IS_NUMBER), sure, has(HAS_NUMBER) | has(RECURS), has(ENDED | SHORT)], [NUMBER, HEADER, OPEN, BREAK], BODY)
 
 
 #: Lines that one array of the model holds.
@@ -166,17 +183,32 @@ CELLS = 1 << 17
 class LineModel:
     """Log probabilities: start (4), step (4 x 4), and per feature and state of being set (4 x 9)."""
 
-    def __init__(self, counts: np.ndarray, steps: np.ndarray):
+    def __init__(self, counts: np.ndarray, steps: np.ndarray, rounds: int = 20, rarest: float = 1e-4, lost: float = 1e-3, made: float = 1e-6):
+        """counts: lines by seed label or OPEN (5) and bits; steps: from seed to seed, the last rows being the starts of body and notes.
+
+        Open lines are shared out over the labels, feature by feature, in
+        ``rounds`` rounds of expectation maximisation. No step is taken for
+        rarer than ``rarest``; no feature is lost more rarely than ``lost`` nor
+        found where it is strange more rarely than ``made``.
+        """
         bits = (np.arange(512)[:, None] >> np.arange(9)) & 1
-        n = counts.sum(axis=1, keepdims=True)
-        on = np.clip((counts @ bits + 0.5) / (n + 1.0), 1e-4, 1 - 1e-4)
-        self.emit = np.log(on) @ bits.T + np.log(1 - on) @ (1 - bits.T)
-        # headers that are not the first line: by what a line looks like, wherever it stands
-        looks = np.log(on)[:, 2:] @ bits.T[2:] + np.log(1 - on)[:, 2:] @ (1 - bits.T[2:])
-        every = np.arange(512, dtype=np.int64)
-        self.moved = (seed_labels(every) == HEADER) & (every & 1 == 0) & (looks[HEADER] > looks[BODY])
-        self.start = np.log((steps[4] + 1) / (steps[4].sum() + 4))
-        self.step = np.log((steps[:4] + 1) / (steps[:4].sum(axis=1, keepdims=True) + 4))
+        sure = counts[:4].astype(float)
+        whole = sure.copy()
+        for _ in range(rounds):
+            n = whole.sum(axis=1, keepdims=True)
+            on = np.clip((whole @ bits + 0.5) / (n + 1.0), made, 1 - lost)
+            # a page number is nothing without its number
+            on[NUMBER, FEATURES.index("is_number")] = 1 - made
+            self.emit = np.log(on) @ bits.T + np.log(1 - on) @ (1 - bits.T)
+            way = self.emit + np.log((n + 1) / (n.sum() + 4))
+            share = np.exp(way - way.max(axis=0))
+            whole = sure + counts[OPEN] * share / share.sum(axis=0)
+        part = lambda table: np.log(np.maximum(rarest, (table + 1) / (table.sum(axis=-1, keepdims=True) + 4)))
+        self.start, self.step = part(steps[4:]), part(steps[:4])
+
+    def prefers(self, bits: int, label: int) -> bool:
+        """Whether a line of these bits, wherever it stands, is rather of ``label`` than text."""
+        return self.emit[label, bits] > max(self.emit[BODY, bits], self.emit[BREAK, bits])
 
     def label(self, bits: np.ndarray, sizes: list[int]) -> np.ndarray:
         """Viterbi over every page; pages of like length go together as one array."""
@@ -189,7 +221,6 @@ class LineModel:
             step = max(1, CELLS >> int(power))
             for at in range(0, len(group), step):
                 self._label(group[at : at + step], bits, sizes, starts, out)
-        out[self.moved[bits]] = HEADER
         return out
 
     def _label(self, here, bits, sizes, starts, out) -> None:
@@ -197,7 +228,7 @@ class LineModel:
         places = starts[here][:, None] + np.minimum(np.arange(longest), sizes[here][:, None] - 1)
         live = np.arange(longest) < sizes[here][:, None]
         emit = self.emit.T[bits[places]]
-        score, back = self.start + emit[:, 0], np.zeros((len(here), longest, 4), dtype=np.int8)
+        score, back = self.start[(bits[places[:, 0]] & NOTE) // NOTE] + emit[:, 0], np.zeros((len(here), longest, 4), dtype=np.int8)
         for t in range(1, longest):
             ways = score[:, :, None] + self.step
             back[:, t] = ways.argmax(axis=1)
@@ -234,14 +265,12 @@ def _sides(row) -> Iterator[tuple]:
 
 
 STUDY = (
-    "kind string, pdf_id bigint, place string, sizes array<int>, numbers array<int>, bits array<smallint>, ends array<int>, pieces array<string>, nexts array<array<string>>, next_at array<array<int>>, "
+    "kind string, pdf_id bigint, place string, sizes array<int>, numbers array<int>, bits array<smallint>, ends array<int>, pieces array<string>, firsts array<string>, "
     "i int, j int, n bigint, word string, clean bigint, scan bigint, clean_edge bigint, scan_edge bigint"
 )
 STUDY_COLUMNS = [c.rsplit(" ", 1)[0] for c in STUDY.split(", ")]
 #: Distinct words a worker holds before it hands its counts on.
 WORDS = 400_000
-#: Lines looked at for the rest of a broken word, and how many of them with text may stand between.
-AHEAD = 12
 _TOKEN = re.compile(r"[^\W_]+(?:['’-]+[^\W_]+)*")
 _LINE_FIRST = re.compile(r"(?m)^(?:[^\w\n]|_)*([^\W_]+(?:['’-]+[^\W_]+)*)")
 _SPACES = frozenset(" \t\n\r\f\v")
@@ -277,15 +306,17 @@ def study(flats: DataFrame) -> DataFrame:
     """One pass over all lines; rows of three kinds.
 
     ``doc``: bits of FEATURES of a document's body or notes, its lines that end
-    at a hyphen and the first words of the lines after them. ``count`` and
-    ``step``: lines by seed label and bits, and steps between seed labels.
+    at a hyphen and, where there are any, the first words of its lines. ``count``
+    and ``step``: lines by seed label and bits, and steps between seed labels.
+    ``head`` and ``tail``: steps between the classes of words in sure headers,
+    and in the first lines of notes on a page, which go on from the page before.
     ``word``: how often each word stands inside (clean, scan) and at the edges
     (clean_edge, scan_edge) of lines of print and of scans, combined per worker;
     a last word before a hyphen is a fragment and not counted.
     """
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        emit, step = np.zeros((4, 512), dtype=np.int64), np.zeros((5, 4), dtype=np.int64)
+        emit, step, chains = np.zeros((5, 512), dtype=np.int64), np.zeros((7, 5), dtype=np.int64), np.zeros((2, CLASSES, CLASSES), dtype=np.int64)
         # inside and at the edge, of print and of scans
         words = [Counter(), Counter(), Counter(), Counter()]
 
@@ -302,11 +333,20 @@ def study(flats: DataFrame) -> DataFrame:
                 for place, texts, sizes, pages, bits in _sides(row):
                     seeds = seed_labels(bits)
                     np.add.at(emit, (seeds, bits), 1)
-                    first = (bits & 1) == 1
-                    np.add.at(step[4], seeds[first], 1)
+                    long = np.asarray(sizes, dtype=np.int64)
+                    first = np.zeros(len(bits), dtype=bool)
+                    first[(np.cumsum(long) - long)[long > 0]] = True
+                    np.add.at(step[4 + (place == "note")], seeds[first], 1)
                     inner = ~first[1:]
-                    np.add.at(step, (seeds[:-1][inner], seeds[1:][inner]), 1)
-                    ends, pieces, nexts, places = [], [], [], []
+                    np.add.at(step, (np.where(seeds[:-1] < OPEN, seeds[:-1], 6)[inner], seeds[1:][inner]), 1)
+                    for i in np.flatnonzero(first & (seeds > NUMBER) & (seeds < OPEN) if place == "note" else seeds == HEADER):
+                        page = pages[np.searchsorted(np.cumsum(long), i, side="right")]
+                        own = unspaced(texts[i].strip()).split()
+                        # a line that begins with a label goes on with nothing
+                        if own and not (place == "note" and _LABEL.match(own[0])):
+                            path = [FROM, *word_classes(own, page), TO]
+                            np.add.at(chains[int(place == "note")], (path[:-1], path[1:]), 1)
+                    ends, pieces = [], []
                     scanned = [bool(x) for x, size in zip(row.scanned, sizes) for _ in range(size)]
                     kinds = set(scanned)
                     for scan in kinds:
@@ -323,30 +363,30 @@ def study(flats: DataFrame) -> DataFrame:
                         # a fragment: the last word, which may be the first as well
                         words[scanned[i] + 2 * (len(got) == 1)][got[-1]] -= 1
                         if m := _PIECE.search(t.rstrip()):
-                            after = [(w[1], j) for j in range(i + 1, min(len(texts), i + 1 + AHEAD)) if (w := _FIRST.search(texts[j]))]
                             ends.append(i)
                             pieces.append(m[1])
-                            nexts.append([w for w, _ in after])
-                            places.append([j for _, j in after])
-                    docs.append(("doc", row.pdf_id, place, sizes, pages, bits, ends, pieces, nexts, places))
-            yield _study_rows(pd.DataFrame(docs, columns=STUDY_COLUMNS[:10]))
+                    firsts = [w[1] if (w := _FIRST.search(t)) else "" for t in texts] if ends else []
+                    docs.append(("doc", row.pdf_id, place, sizes, pages, bits, ends, pieces, firsts))
+            yield _study_rows(pd.DataFrame(docs, columns=STUDY_COLUMNS[:9]))
             if sum(map(len, words)) > WORDS:
                 yield counted()
         yield counted()
-        for kind, table in (("count", emit), ("step", step)):
+        # steps from and to open lines are not counted
+        step = step[:6, :4]
+        for kind, table in (("count", emit), ("step", step), ("head", chains[0]), ("tail", chains[1])):
             i, j = np.nonzero(table)
             yield _study_rows(pd.DataFrame({"kind": kind, "i": i, "j": j, "n": table[i, j]}))
 
     return stage(flats.mapInPandas(read, STUDY), "study")
 
 
-def fitted(studied: DataFrame) -> LineModel:
-    """The model with its parameters counted over all lines."""
-    counts, steps = np.zeros((4, 512)), np.zeros((5, 4))
-    # at most 4 x 512 + 5 x 4 rows, whatever the corpus
-    for kind, i, j, n in studied.where("kind in ('count', 'step')").groupBy("kind", "i", "j").agg(F.sum("n").alias("n")).collect():
-        (counts if kind == "count" else steps)[i, j] = n
-    return LineModel(counts, steps)
+def fitted(studied: DataFrame) -> tuple[LineModel, HeaderModel]:
+    """The models with their parameters counted over all lines."""
+    tables = {"count": np.zeros((5, 512)), "step": np.zeros((6, 4)), "head": np.zeros((CLASSES, CLASSES)), "tail": np.zeros((CLASSES, CLASSES))}
+    # at most as many rows as these tables have cells, whatever the corpus
+    for kind, i, j, n in studied.where("kind in ('count', 'step', 'head', 'tail')").groupBy("kind", "i", "j").agg(F.sum("n").alias("n")).collect():
+        tables[kind][i, j] = n
+    return LineModel(tables["count"], tables["step"]), HeaderModel(tables["head"], tables["tail"])
 
 
 def word_types(studied: DataFrame) -> DataFrame:
@@ -355,12 +395,24 @@ def word_types(studied: DataFrame) -> DataFrame:
     return studied.where("kind = 'word'").groupBy("word").agg(*sums)
 
 
-MARKS = "pdf_id bigint, place string, page_index int, page_no int, pos int, what string, piece string, nexts array<string>, next_pages array<int>, next_index array<int>, next_pos array<int>"
+MARKS = "pdf_id bigint, place string, page_index int, page_no int, pos int, what string, piece string, next string, next_page int, next_index int, next_pos int"
+MARK_COLUMNS = [c.split()[0] for c in MARKS.split(", ")]
+_PLACES = {"page_index": "Int64", "page_no": "Int64", "pos": "Int64", "next_page": "Int64", "next_index": "Int64", "next_pos": "Int64"}
 
 
 def line_marks(studied: DataFrame, model: LineModel) -> DataFrame:
-    """Headers, page numbers and ends of lines at hyphens, with the words that may continue them."""
+    """Headers, page numbers and ends of lines at hyphens, with the word that begins the next line of text."""
+    return studied.where("kind = 'doc'").select("pdf_id", "place", "sizes", "numbers", "bits", "ends", "pieces", "firsts").mapInPandas(_marks(model, False), MARKS)
 
+
+def later_words(studied: DataFrame, model: LineModel, asked: DataFrame) -> DataFrame:
+    """For the pieces ``asked`` (pdf_id, place, page_index, pos) the words that begin the other lines they may go on with."""
+    own = asked.groupBy("pdf_id", "place").agg(F.collect_set(F.struct("page_index", "pos")).alias("asked"))
+    docs = studied.where("kind = 'doc'").select("pdf_id", "place", "sizes", "numbers", "bits", "ends", "pieces", "firsts").join(own, ["pdf_id", "place"])
+    return docs.mapInPandas(_marks(model, True), MARKS)
+
+
+def _marks(model: LineModel, later: bool):
     def mark(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
@@ -375,75 +427,116 @@ def line_marks(studied: DataFrame, model: LineModel) -> DataFrame:
                 index = np.repeat(np.arange(len(sizes)), sizes)
                 pos = np.arange(len(bits)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 page = lambda i: None if pages[index[i]] < 0 else int(pages[index[i]])  # noqa: B023,E731
-                for i in np.flatnonzero(labels <= NUMBER):
-                    # an exact check follows the model: header and page number carry the number of their own page
-                    what = ("header" if row.place == "body" and bits[i] & 8 else "") if labels[i] == HEADER else "page_number" if bits[i] & 4 else ""
-                    if what:
-                        out.append((row.pdf_id, row.place, int(index[i]), page(i), int(pos[i]), what, None, None, None, None, None))
-                for i, piece, words, at in zip(row.ends, row.pieces, row.nexts, row.next_at):
-                    if labels[i] <= NUMBER:
+                if not later:
+                    for i in np.flatnonzero(labels <= NUMBER):
+                        out.append((row.pdf_id, row.place, int(index[i]), page(i), int(pos[i]), "header" if labels[i] == HEADER else "page_number", None, None, None, None, None))
+                wanted = {(a["page_index"], a["pos"]) for a in row.asked} if later else None
+                for i, piece in zip(row.ends, row.pieces):
+                    if labels[i] <= NUMBER or (later and (index[i], pos[i]) not in wanted):
                         continue
-                    after = [(w, k) for w, k in zip(words, at) if labels[k] > NUMBER][:4]
-                    out.append((row.pdf_id, row.place, int(index[i]), page(i), int(pos[i]), "piece", piece, [w for w, _ in after], [page(k) for _, k in after], [int(index[k]) for _, k in after], [int(pos[k]) for _, k in after]))
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in MARKS.split(", ")]).astype({"page_no": "Int64"})
+                    end = _next_page_end(index, i)
+                    small, found = piece[-1:].islower(), 0
+                    for k in range(i + 1, end):
+                        word = row.firsts[k]
+                        # the rest of a word in small letters begins with no capital
+                        if labels[k] <= NUMBER or not word or (small and word[0].isupper()):
+                            continue
+                        found += 1
+                        if not later or found > 1:
+                            out.append((row.pdf_id, row.place, int(index[i]), page(i), int(pos[i]), "piece", piece, word, page(k), int(index[k]), int(pos[k])))
+                        if not later:
+                            break
+                    if not found and not later:
+                        out.append((row.pdf_id, row.place, int(index[i]), page(i), int(pos[i]), "piece", piece, "", page(i), int(index[i]), int(pos[i])))
+            yield pd.DataFrame(out, columns=MARK_COLUMNS).astype(_PLACES)
+
+    return mark
 
-    return studied.where("kind = 'doc'").select("pdf_id", "place", "sizes", "numbers", "bits", "ends", "pieces", "nexts", "next_at").mapInPandas(mark, MARKS)
+
+def _next_page_end(index: np.ndarray, i: int) -> int:
+    """Where the next page that has lines ends."""
+    end = int(np.searchsorted(index, index[i], side="right"))
+    return int(np.searchsorted(index, index[end], side="right")) if end < len(index) else end
 
 
 # ------------------------------------------------------------------ the notes
 #: A stretch set with a space after every letter.
 _SPACED = re.compile(r"(?:\S(?:\s+|$)){8,}")
+_LABEL = re.compile(r"\[?\d{1,3}[\]).,:]?$|[*†‡§¶]")
+#: Classes of words: the page's number; other figures; capitals; a capital first; the same before a colon, before another
+#: mark; up to three small letters; more; before a mark; marks alone. Each before and after the page's number has come,
+#: then the place before the first word and the one behind the last.
+_KINDS = 10
+FROM, TO, CLASSES = 2 * _KINDS, 2 * _KINDS + 1, 2 * _KINDS + 2
 
 
-def running_header(text: str, page: int | None) -> int:
-    """Length of a running header of that page at the start of ``text``, or 0."""
-    if page is None:
-        return 0
-    n = str(page)
-    figure = lambda w: w.strip("[](). ").translate(_DIGITS)
-    words = list(re.finditer(r"\S+", text[:400]))
-    if not words:
-        return 0
-    if (m := _SPACED.match(text)) and has_page_number(unspaced(m[0].strip()), page):
-        return m.end()
-    if figure(words[0][0]) == n and len(words) > 1:
-        # number first: a journal in capitals with its volume, or names and a title
-        rest = text[words[0].end() :]
-        if m := re.match(r"\s+[A-Z][A-Z&'’ .,-]+\[Vo[l1]\. ?[\dOl]+:[\dOl]+\]?", rest):
-            return words[0].end() + m.end()
-        if m := re.match(r"\s+[A-Z][\w'’†-]+(?: (?:&|and) [A-Z][\w'’†-]+)* / ", rest):
-            return words[0].end() + m.end() + _title_end(rest[m.end() :])
-        if m := re.match(r"\s{2,}(?:[A-Z][\w'’†.-]*|of|and|&|the|for|at|in|on)(?: (?:[A-Z][\w'’†.-]*|of|and|&|the|for|at|in|on))*", rest):
-            return words[0].end() + m.end()
+def word_class(word: str, page: int | None) -> int:
+    bare = word.strip("[]().,:; ")
+    if page is not None and (bare.translate(_DIGITS) == str(page)) and any(c.isdigit() or c in "lI" for c in bare):
         return 0
-    for w in words[1:20]:
-        if figure(w[0]) == n:
-            head = text[: w.start()]
-            if re.match(r"\[?\d{4}\] ", head) or " — " in head or " / Vo" in head or re.match(r"[A-Z][\w'’†-]+: [A-Z]", head):
-                if titled(re.sub(r"[\d()\[\]]", " ", head)):
-                    return w.end()
-    return 0
-
-
-def _title_end(text: str) -> int:
-    """Where a title in capitals ends: before the first word that does not belong to it."""
-    small = {"of", "the", "a", "and", "in", "after", "owes", "toward", "for", "on", "to", "&", "at"}
-    end = 0
-    for w in re.finditer(r"\S+", text):
-        if not (w[0][0].isupper() or w[0].lower() in small) or w[0][0].isdigit():
-            break
-        end = w.end()
-    return end
+    letters = [c for c in bare if c.isalpha()]
+    if not letters:
+        return 1 if any(c.isdigit() for c in bare) else 9
+    if any(c.isdigit() for c in bare) and len(letters) < 3:
+        return 1
+    if len(letters) > 1 and all(c.isupper() for c in letters):
+        return 2
+    ends = word[-1] if word[-1] in ".,:;)?!]" else ""
+    if letters[0].isupper():
+        return 4 if ends == ":" else 5 if ends else 3
+    return 8 if ends else 6 if len(letters) <= 3 else 7
+
+
+def word_classes(words: list[str], page: int | None) -> list[int]:
+    out, seen = [], 0
+    for w in words:
+        c = word_class(w, page)
+        out.append(c + seen)
+        if c == 0:
+            seen = _KINDS
+    return out
+
+
+class HeaderModel:
+    """Two Markov chains over classes of words: headers, and text that goes on from the page before."""
+
+    def __init__(self, head: np.ndarray, tail: np.ndarray):
+        part = lambda t: np.log((t + 0.1) / (t.sum(axis=1, keepdims=True) + 0.1 * CLASSES))
+        # without a header there is nothing to tell
+        self.head, self.tail = (part(head), part(tail)) if head.sum() else (None, None)
+        # figures of the own page stand in text by chance, before and after alike
+        self.text = None if self.head is None else part(tail + 0.5)
+
+    def length(self, text: str, page: int | None) -> int:
+        """Characters of ``text`` that are the running header of that page, or 0."""
+        if self.head is None or page is None or not text:
+            return 0
+        places = [(m[0], m.end()) for m in re.finditer(r"\S+", text)]
+        if m := _SPACED.match(text):
+            # a stretch of letters is words, behind the last of which a header may end
+            inner = unspaced(m[0].strip()).split()
+            places = [(w, 0) for w in inner[:-1]] + [(inner[-1], m.end())] + [(w, e) for w, e in places if e > m.end()]
+        path = [FROM, *word_classes([w for w, _ in places], page)]
+        steps = self.head[path[:-1], path[1:]] - self.text[path[:-1], path[1:]]
+        gain = np.cumsum(steps) + self.head[path[1:], TO]
+        # behind the header text begins anew, with the words counted as if none had come
+        plain = [c % _KINDS for c in path[1:]]
+        after = np.append(self.text[FROM, plain[1:]] - self.text[path[1:-1], path[2:]], 0.0)
+        gain = np.where([e > 0 for _, e in places], gain + after, -np.inf)
+        # a number alone is no header
+        gain[0] = -np.inf
+        best = int(gain.argmax())
+        return places[best][1] if gain[best] > 0 else 0
 
 
 _TAIL = re.compile(r"(?:(?<=\s)|^)((?:[-–—·]\s*|\[|\()?(?:(?:Page|p\.|pg\.)\s*)?([0-9OIl]+(?:\s[0-9OIl])*|[ivxlcdm]+)(?:\s+of\s+[0-9OIl]+)?(?:\s*[-–—·]|\]|\))?\.?)$", re.I)
 
 
-def number_at_end(text: str, page: int | None) -> int:
-    """Length of the page's own number at the end of ``text``, or 0."""
-    if page is None or not (m := _TAIL.search(text[-60:])):
+def number_at_end(text: str, page: int | None, model: LineModel) -> int:
+    """Length of the page's own number at the end of ``text``, or 0; as a line of its own it has to be one to the model."""
+    if page is None or not (m := _TAIL.search(text)):
         return 0
-    return len(m[1]) if _is_number(re.sub(r"\s", "", m[2]), page) else 0
+    return len(m[1]) if _is_number(re.sub(r"\s", "", m[2]), page) and model.prefers(NOTE | EDGE | SHORT | IS_NUMBER, NUMBER) else 0
 
 
 def note_rows(sidecars: DataFrame) -> DataFrame:
@@ -453,35 +546,36 @@ def note_rows(sidecars: DataFrame) -> DataFrame:
     return n.dropDuplicates(["pdf_id", "ordinal", "page_start"])
 
 
-def note_marks(notes: DataFrame) -> DataFrame:
+def note_marks(notes: DataFrame, models: tuple[LineModel, HeaderModel]) -> DataFrame:
     """Headers, page numbers and broken words of notes; piece and its continuation stand in the text."""
 
     def mark(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
             for r in frame.itertuples(index=False):
-                kinds, plain = note_text(r.text, r.pages, r.texts)
+                kinds, plain = note_text(r.text, r.pages, r.texts, models)
                 if pd.isna(r.ordinal) or pd.isna(r.page_start):
                     continue
                 where = (r.pdf_id, "sidecar", 0, int(r.page_start), int(r.ordinal))
-                out += [(*where, k, None, None, None, None, None) for k in kinds]
-                out += [(*where, "piece", m[1], [m[2]], [int(r.page_start)], [0], [int(r.ordinal)]) for m in _BROKEN.finditer(plain)]
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in MARKS.split(", ")])
+                out += [(*where, k, None, None, None, None, None) for k in sorted(kinds)]
+                out += [(*where, "piece", m[1], m[2], int(r.page_start), 0, int(r.ordinal)) for m in _BROKEN.finditer(plain)]
+            yield pd.DataFrame(out, columns=MARK_COLUMNS).astype(_PLACES)
 
     return notes.mapInPandas(mark, MARKS)
 
 
-def note_text(text, pages, texts) -> tuple[set[str], str]:
+def note_text(text, pages, texts, models: tuple[LineModel, HeaderModel]) -> tuple[set[str], str]:
     """Kinds found in a note's text, and the text without its headers and page numbers."""
     texts = [t or "" for t in texts] if texts is not None and len(texts) else [text or ""]
     pages = [None if p is None or p != p else int(p) for p in pages] if pages is not None and len(pages) == len(texts) else [None] * len(texts)
     kinds, plain = set(), []
     for k, (t, page) in enumerate(zip(texts, pages)):
         t = t.strip()
-        if k and (n := running_header(t, page)):
+        # between two parts of a note a page ends and another begins
+        if k and (n := models[1].length(t, page)):
             kinds.add("header")
             t = t[n:].strip()
-        if k < len(texts) - 1 and (n := number_at_end(t, page)):
+        if k < len(texts) - 1 and (n := number_at_end(t, page, models[0])):
             kinds.add("page_number")
             t = t[: len(t) - n].strip()
         plain.append(t)
@@ -491,8 +585,7 @@ def note_text(text, pages, texts) -> tuple[set[str], str]:
 # ------------------------------------------------------------------ the words
 def words_of(text: Column) -> Column:
     """Words of a text in lower case, without apostrophes and hyphens at their ends."""
-    trimmed = F.transform(F.split(F.lower(text), r"[^\p{L}\p{N}†|'’-]+"), lambda w: F.trim(w, F.lit("'’-")))
-    return F.filter(trimmed, lambda w: w != "")
+    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}†|]+(?:['’-]+[\p{L}\p{N}†|]+)*"), F.lit(0))
 
 
 def page_lines(docs: DataFrame) -> DataFrame:
@@ -518,67 +611,84 @@ def misread_words(types: DataFrame) -> DataFrame:
     return out.select("word", F.col("r.word").alias("meant"))
 
 
+#: Verdicts on a piece before a hyphen and a word after it.
+BROKEN, COMPOUND, LIKELY_COMPOUND, LIKELY_BROKEN, NONE = range(5)
+
+
 def judge_pairs(pairs: DataFrame, types: DataFrame) -> DataFrame:
     """(piece, next, verdict, meant) of distinct pairs of a piece before a hyphen and a word after it.
 
-    ``broken``: one word in two; ``compound``: divided at its own hyphen;
-    ``none``: nothing is known of either. ``meant`` is the whole word.
+    BROKEN: one word in two; COMPOUND: divided at its own hyphen; the likely
+    ones where only the parts are known, or nothing is. ``meant`` is the whole
+    word.
     """
     known = types.select("word", (F.col("clean") + F.col("scan")).alias("n"))
     low = lambda c: F.lower(F.regexp_replace(c, r"^.*[/:.]", ""))
     p, x = low(F.col("piece")), F.lower("next")
-    asked = F.array(*[F.struct(F.lit(role).alias("role"), word.alias("word")) for role, word in (("joined", F.concat(p, x)), ("compound", F.concat(p, F.lit("-"), x)), ("piece", p), ("next", x))])
+    roles = {"joined": F.concat(p, x), "compound": F.concat(p, F.lit("-"), x), "piece": p, "next": x}
+    asked = F.array(*[F.struct(F.lit(role).alias("role"), word.alias("word")) for role, word in roles.items()])
     q = pairs.select("piece", "next", F.explode(asked).alias("a")).select("piece", "next", "a.role", "a.word")
-    q = stage(q, "asked")
-    got = q.join(known, "word", "left").groupBy("piece", "next").agg(*[F.max(F.when(F.col("role") == r, F.coalesce("n", F.lit(0)))).alias(f"n_{r}") for r in ("joined", "compound", "piece", "next")], F.max(F.when(F.col("role") == "joined", F.col("word"))).alias("joined"))
+    counts = [F.max(F.when(F.col("role") == r, F.col("n"))).alias(f"n_{r}") for r in roles]
+    got = q.join(known, "word", "left").groupBy("piece", "next").agg(*counts).fillna(0)
+    got = stage(got, "judged-pairs")
+    # only what is no word as it stands is looked up by its image
     images = known.where((F.col("n") >= 3) & F.col("word").rlike(r"^[a-z'’-]{4,}$")).groupBy(skeleton(F.col("word")).alias("sk")).agg(F.max(F.struct("n", "word")).alias("r"))
-    image = q.where(F.col("role").isin("joined", "compound")).withColumn("sk", skeleton(F.col("word"))).join(images, "sk")
+    unknown = got.where("n_joined = 0 and n_compound = 0 and next <> ''").select("piece", "next", F.explode(F.array(F.struct(F.lit("joined").alias("role"), roles["joined"].alias("word")), F.struct(F.lit("compound").alias("role"), roles["compound"].alias("word")))).alias("a"))
+    image = unknown.select("piece", "next", "a.role", skeleton(F.col("a.word")).alias("sk")).join(images, "sk")
     image = image.groupBy("piece", "next").agg(F.max(F.when(F.col("role") == "joined", F.col("r.word"))).alias("by_image"), F.max(F.when(F.col("role") == "compound", F.col("r.word"))).alias("compound_image"))
     got = got.join(image, ["piece", "next"], "left")
-    url = F.col("piece").rlike(r"://|^www\.")
     verdict = (
-        F.when((F.col("n_joined") > 0) & (F.col("n_joined") >= F.col("n_compound")) & (F.col("next") != ""), "broken")
-        .when(F.col("n_compound") > 0, "compound")
-        .when(F.col("by_image").isNotNull() & (F.col("next") != ""), "broken")
-        .when(F.col("compound_image").isNotNull() | url, "compound")
-        .when((F.col("next") == "") & (F.col("n_piece") == 0), "broken")
-        .when((F.col("n_piece") > 1) & (F.col("n_next") > 1) | (F.col("next") == ""), "compound")
-        .otherwise("none")
+        F.when((F.col("n_joined") > 0) & (F.col("n_joined") >= F.col("n_compound")) & (F.col("next") != ""), BROKEN)
+        .when(F.col("n_compound") > 0, COMPOUND)
+        .when(F.col("by_image").isNotNull(), BROKEN)
+        .when(F.col("compound_image").isNotNull() | F.col("piece").rlike(r"://|^www\."), COMPOUND)
+        .when((F.col("next") == "") & (F.col("n_piece") == 0), BROKEN)
+        .when((F.col("n_piece") > 1) & (F.col("n_next") > 1) | (F.col("next") == ""), LIKELY_COMPOUND)
+        .when(F.col("next").rlike(r"^\p{Ll}"), LIKELY_BROKEN)
+        .otherwise(NONE)
     )
-    return got.select("piece", "next", verdict.alias("verdict"), F.when(verdict == "broken", F.when(F.col("n_joined") > 0, F.col("joined")).otherwise(F.col("by_image"))).alias("meant"))
+    return got.select("piece", "next", verdict.alias("verdict"), F.when(verdict == BROKEN, F.when(F.col("n_joined") > 0, roles["joined"]).otherwise(F.col("by_image"))).alias("meant"))
 
 
-def judged(marks: DataFrame, types: DataFrame) -> DataFrame:
-    """The pieces of ``marks`` with the word that continues each, for those that are broken words."""
+def judged(marks: DataFrame, types: DataFrame, studied: DataFrame, model: LineModel) -> DataFrame:
+    """The pieces of ``marks`` that are broken words, with the words that continue them.
+
+    The next line of text decides where its word completes the piece or its
+    compound; only for the other pieces all lines up to the end of the next page
+    are asked, the nearest that does so decides, and if there is none, the first
+    line.
+    """
     ref = ["pdf_id", "place", "page_index", "page_no", "pos"]
-    pieces = marks.where("what = 'piece'")
-    each = pieces.select(*ref, "piece", F.posexplode(F.when(F.size("nexts") > 0, F.arrays_zip("nexts", "next_pages", "next_index", "next_pos")).otherwise(F.array(F.struct(F.lit("").alias("nexts"), F.col("page_no").alias("next_pages"), F.col("page_index").alias("next_index"), F.col("pos").alias("next_pos"))))).alias("k", "x"))
-    each = stage(each.select(*ref, "piece", "k", F.col("x.nexts").alias("next"), F.col("x.next_pages").alias("next_page"), F.col("x.next_index").alias("next_index"), F.col("x.next_pos").alias("next_pos")), "pieces")
-    verdicts = judge_pairs(each.select("piece", "next").distinct(), types)
-    each = each.join(verdicts, ["piece", "next"])
-    # the nearest line whose word completes the piece; else, when no line does and the first is no compound, the first
-    rank = F.when(F.col("verdict") == "broken", F.col("k")).when((F.col("verdict") == "compound") & (F.col("k") == 0), F.lit(50)).when((F.col("verdict") == "none") & (F.col("k") == 0) & F.col("next").rlike(r"^\p{Ll}"), F.lit(90)).otherwise(F.lit(99))
-    keep = F.struct(rank.alias("rank"), "next", "next_page", "next_index", "next_pos", "verdict", "meant")
-    # a note may hold several broken words, a line ends in one
-    best = each.groupBy(*ref, "piece").agg(F.min(keep).alias("b"))
-    return best.where("b.rank < 50 or b.rank = 90").select(*ref, "piece", "b.next", "b.next_page", "b.next_index", "b.next_pos", "b.meant")
+    told = [*ref, "piece", "next", "next_page", "next_index", "next_pos"]
+    judge = lambda each: each.join(judge_pairs(each.select("piece", "next").distinct(), types), ["piece", "next"])
+    first = stage(judge(marks.where("what = 'piece'").select(*told)), "pieces")
+    sure = F.col("verdict") <= COMPOUND
+    left = first.where(~sure & (F.col("place") != "sidecar") & (F.col("next") != ""))
+    later = stage(later_words(studied, model, left.select("pdf_id", "place", "page_index", "pos")).select(*told), "later")
+    order = F.struct("next_index", "next_pos", "verdict", "next", "next_page", "meant")
+    at = ["pdf_id", "place", "page_index", "pos"]
+    later = stage(judge(later).where(sure).groupBy(*at).agg(F.min(order).alias("b")).select(*at, "b.*"), "completed")
+    alone = first.where(F.col("verdict").isin(BROKEN, LIKELY_BROKEN)).join(later.select(*at), at, "left_anti")
+    done = later.where(F.col("verdict") == BROKEN).join(left.select(*ref, "piece").distinct(), at)
+    out = [*ref, "piece", "next", "next_page", "next_index", "next_pos", "meant"]
+    return alone.select(*out).unionAll(done.select(*out))
 
 
 def find(docs: DataFrame, sidecars: DataFrame) -> dict[str, DataFrame]:
     """All marks of both tables: ``lines`` and ``notes`` (marks), ``broken``, ``misread`` (with the word meant)."""
     docs = docs.select("pdf_id", "pages")
     studied = study(flat(docs))
-    model = fitted(studied)
+    models = fitted(studied)
     notes = note_rows(sidecars.select("pdf_id", "notes"))
-    marks = stage(line_marks(studied, model).unionAll(note_marks(notes)), "marks")
+    marks = stage(line_marks(studied, models[0]).unionAll(note_marks(notes, models)), "marks")
     lines = page_lines(docs)
     types = stage(word_types(studied), "types")
     wrong = stage(misread_words(types), "misread")
-    broken = stage(judged(marks, types), "broken")
+    broken = stage(judged(marks, types, studied, models[0]), "broken")
     small = broadcast_if_small(wrong)
     ref = ["pdf_id", "place", "page_index", "page_no", "pos"]
-    scans = lines.where("scanned and text is not null").select(*ref, F.explode(F.array_distinct(words_of(F.col("text")))).alias("word"))
-    noted = notes.where("source <> 'text' and text is not null").select("pdf_id", F.lit("sidecar").alias("place"), F.lit(0).alias("page_index"), F.col("page_start").alias("page_no"), F.col("ordinal").alias("pos"), F.explode(F.array_distinct(words_of(F.col("text")))).alias("word"))
+    scans = lines.where("scanned and text is not null").select(*ref, F.explode(words_of(F.col("text"))).alias("word"))
+    noted = notes.where("source <> 'text' and text is not null").select("pdf_id", F.lit("sidecar").alias("place"), F.lit(0).alias("page_index"), F.col("page_start").alias("page_no"), F.col("ordinal").alias("pos"), F.explode(words_of(F.col("text"))).alias("word"))
     # staged, or the anti-join below would be pushed under this join, onto every word of the scans
     misread = stage(scans.unionAll(noted).join(small, "word").select(*ref, "word", "meant"), "found")
     # the halves of broken words are fragments, judged below with the whole word
@@ -589,7 +699,7 @@ def find(docs: DataFrame, sidecars: DataFrame) -> dict[str, DataFrame]:
     halves = broken.where("meant is not null")
     a = halves.where(~F.expr("startswith(meant, lower(regexp_replace(piece, '^.*[/:.]', '')))")).select(*ref, F.lower("piece").alias("word"), "meant")
     b = halves.where(~F.expr("endswith(meant, lower(next))")).select("pdf_id", "place", F.col("next_index").alias("page_index"), F.col("next_page").alias("page_no"), F.col("next_pos").alias("pos"), F.lower("next").alias("word"), "meant")
-    return {"marks": marks, "broken": broken, "misread": misread.unionAll(a).unionAll(b), "model": model, "wrong": wrong}
+    return {"marks": marks, "broken": broken, "misread": misread.unionAll(a).unionAll(b), "models": models, "wrong": wrong}
 
 
 # --------------------------------------------------------------- the repaired text
@@ -639,7 +749,7 @@ def paragraphs(texts, pages, labels, joins: set[int], note: bool) -> Iterator[tu
 
 def repaired_lines(docs: DataFrame, parts: dict[str, DataFrame]) -> DataFrame:
     """Paragraphs of body and notes: headers and page numbers left out, broken words joined, misread words corrected."""
-    flats, model = flat(docs.select("pdf_id", "pages")), parts["model"]
+    flats, model = flat(docs.select("pdf_id", "pages")), parts["models"][0]
     joins = parts["broken"].where("place <> 'sidecar'").groupBy("pdf_id").agg(F.collect_list(F.struct("place", "page_index", "pos")).alias("joins"))
     # the words of one document that are misread
     fixes = parts["misread"].where("place <> 'sidecar'").groupBy("pdf_id").agg(F.collect_set(F.struct("word", "meant")).alias("fixes"))
@@ -668,13 +778,13 @@ def repaired_notes(sidecars: DataFrame, parts: dict[str, DataFrame]) -> DataFram
     joins = parts["broken"].where("place = 'sidecar'").groupBy(*ref).agg(F.collect_set(F.struct("piece", "next")).alias("joins"))
     fixes = parts["misread"].where("place = 'sidecar'").groupBy(*ref).agg(F.collect_set(F.struct("word", "meant")).alias("fixes"))
     notes = note_rows(sidecars.select("pdf_id", "notes")).withColumnRenamed("page_start", "page_no").withColumnRenamed("ordinal", "pos")
-    rows = notes.join(joins, ref, "left").join(fixes, ref, "left")
+    rows, models = notes.join(joins, ref, "left").join(fixes, ref, "left"), parts["models"]
 
     def repair(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
             for r in frame.itertuples(index=False):
-                plain = note_text(r.text, r.pages, r.texts)[1]
+                plain = note_text(r.text, r.pages, r.texts, models)[1]
                 pairs = {(j["piece"], j["next"]) for j in r.joins} if r.joins is not None else set()
                 plain = _BROKEN.sub(lambda m: m[1] + ("" if (m[1], m[2]) in pairs else "-") + m[2], plain)  # noqa: B023
                 meant = {f["word"]: f["meant"] for f in r.fixes} if r.fixes is not None else {}

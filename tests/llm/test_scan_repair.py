@@ -22,7 +22,9 @@ def page(n, body, note=(), source="text"):
 @pytest.fixture(scope="module")
 def parts(spark):
     header = lambda n: f"{n} CORMOOR LAW REVIEW [Vol. 36:1]"
-    plain = [(i, [page(n, [header(n), *TEXT, TEXT[i % 3], f"{n}"], ["1 See the statute of the tribunal on the procedure."]) for n in (5, 6, 7)], "x") for i in range(12)]
+    other = lambda n: f"{n}   Cormoor Law Review"
+    notes = ["1 See the statute of the tribunal on the procedure.", "tribunal on the procedure.", "such a long-term plan of the court."]
+    plain = [(i, [page(n, [(header, other)[i % 2](n), *TEXT, TEXT[i % 3], f"{n}"], [notes[i % 3]]) for n in (5, 6, 7)], "x") for i in range(12)]
     scan = (50, [
         page(8, [header(8), "The court found tbe covenant in the 1ight of the stat-", "8."], source="ocr"),
         page(9, [header(9), "ute and of the long-", "term plan for the tri-", "Page 9 of 9"], source="ocr"),
@@ -71,12 +73,25 @@ def test_page_numbers():
 
 
 def test_headers_of_notes():
-    cut = lambda t, n: t[S.running_header(t, n) :].strip()
+    """The chains tell headers of the kinds they have counted, whatever their words, from text that goes on."""
+    head, tail = np.zeros((S.CLASSES, S.CLASSES)), np.zeros((S.CLASSES, S.CLASSES))
+
+    def count(table, text, n):
+        path = [S.FROM, *S.word_classes(S.unspaced(text).split(), n), S.TO]
+        np.add.at(table, (path[:-1], path[1:]), 10)
+
+    for line in ("211  Liszerizand / Concurrent Negligence of Law", "1984] TOWARD A THEORY OF STATUTE (VISZIBEVAND) 211", "Belcairn Law Review / Vol. 59 (1977) 211", "211   B E L C A I R N   L A W   R E V I E W", "Fenmilawill: What the Article Owes 211"):
+        count(head, line, 211)
+    for line in ("trespass within the guard.", "Theory of the trespass.", "Rev. 1108, 1467 (1997).", "2016).", "Cir. 2020) (holding that the plan was long)", "Legislature, 54 Quil. L. Rev. 646, 343 (1963)."):
+        count(tail, line, 211)
+    model = S.HeaderModel(head, tail)
+    cut = lambda t, n: t[model.length(t, n) :].strip()
     assert cut("416  Galselafoft / What the Defendant Owes the Chapter urrent permit", 416) == "urrent permit"
     assert cut("1973] WHAT THE DEFENDANT OWES THE CHAPTER (GALSELAFOFT) 415 Theory of", 415) == "Theory of"
     assert cut("Holcairn Law Review / Vol. 59 (1977) 270 its nurse", 270) == "its nurse"
     assert cut("3 9 2     B E L C A I R N     L A W     R E V I E W such harm", 392) == "such harm"
     assert cut("9 Corg. L. Rev. 1590, 1230 (1951).", 9) == "9 Corg. L. Rev. 1590, 1230 (1951)." and cut("the 12 rules", 12) == "the 12 rules"
+    assert S.HeaderModel(head * 0, tail).length("211   Belcairn Law Review", 211) == 0 and model.length("", 3) == 0 and model.length("x", None) == 0
 
 
 def test_skeleton_is_a_homomorphism(spark):
@@ -90,12 +105,12 @@ def test_viterbi_equals_brute_force():
     import itertools
 
     rng = np.random.default_rng(4)
-    model = S.LineModel(rng.integers(0, 50, (4, 512)).astype(float), rng.integers(0, 9, (5, 4)).astype(float))
+    model = S.LineModel(rng.integers(0, 50, (5, 512)).astype(float), rng.integers(0, 9, (6, 4)).astype(float))
     bits, sizes = rng.integers(0, 512, 14), [5, 0, 3, 6]
     got, at = model.label(bits, sizes), 0
     for n in sizes:
         b = bits[at : at + n]
-        score = lambda s: model.start[s[0]] + sum(model.emit[x, y] for x, y in zip(s, b)) + sum(model.step[x, y] for x, y in zip(s, s[1:]))  # noqa: B023,E731
+        score = lambda s: model.start[int(b[0] & S.NOTE > 0)][s[0]] + sum(model.emit[x, y] for x, y in zip(s, b)) + sum(model.step[x, y] for x, y in zip(s, s[1:]))  # noqa: B023,E731
         if n:
             assert np.isclose(score(got[at : at + n]), max(map(score, itertools.product(range(4), repeat=n))))
         at += n
@@ -109,3 +124,25 @@ def test_headers_that_are_not_the_first_line(spark):
     got = {(r.page_no, r.pos, r.kind) for r in S.found(parts).where("pdf_id = 60").collect()}
     assert got == {(8, 1, "header"), (9, 0, "page_number"), (9, 1, "header"), (10, 3, "header"), (11, 3, "header"), (11, 4, "page_number")}
     assert S.found(parts).where("pdf_id < 60").count() == 12 * 3 * 2
+
+
+def test_the_model_decides(spark):
+    """Headers that are no seeds, since nothing like them stands on the pages around, are the model's; so are lines that only recur."""
+    plain = [(i, [page(n, [f"{n} CORMOOR LAW REVIEW [Vol. 36:1]", *TEXT, TEXT[i % 3], f"{n}"]) for n in (5, 6, 7)], "x") for i in range(12)]
+    lone = (70, [page(8, ["Halvemond: Essays On Leases 8", *TEXT]), page(9, ["1984] ANOTHER TITLE (HALVEMOND) 9", *TEXT])], "x")
+    parts = S.find(spark.createDataFrame([*plain, lone], DOCS), spark.createDataFrame([], NOTES))
+    assert {(r.page_no, r.pos, r.kind) for r in S.found(parts).where("pdf_id = 70").collect()} == {(8, 0, "header"), (9, 0, "header")}
+    lines = ["Halvemond: Essays On Leases 8", *TEXT]
+    bits = S.line_features(lines, [4], [8], np.full(4, np.nan), False)
+    assert S.seed_labels(bits).tolist() == [S.OPEN, S.BODY, S.BODY, S.BODY]
+
+
+def test_the_rest_of_a_word_far_below(spark):
+    """Lines put between the halves of a word, however many, do not hide its rest on the next page."""
+    plain = [(i, [page(n, [*TEXT]) for n in (5, 6, 7)], "x") for i in range(12)]
+    between = [f"Share this page number {w} with the friends of it" for w in "abcdefghijklmnopqrst"]
+    far = (80, [page(1, [TEXT[0], "in the light of the legis-", *between]), page(2, ["lature had passed"])], "x")
+    parts = S.find(spark.createDataFrame([*plain, far], DOCS), spark.createDataFrame([], NOTES))
+    assert {(r.page_no, r.pos, r.kind) for r in S.found(parts).where("pdf_id = 80").collect()} == {(1, 1, "hyphen")}
+    broken = parts["broken"].where("pdf_id = 80").collect()
+    assert [(r.next, r.next_page, r.meant) for r in broken] == [("lature", 2, "legislature")]
