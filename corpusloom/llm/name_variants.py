@@ -1,11 +1,13 @@
 """Variant spellings of the names of people, institutions and journals.
 
-Distinct tokens of all names are joined within one edit by metric-space
-partitioning; a token that looks like a typing error takes the place of its
-best-attested neighbour. Over corrected tokens a name has a structured key
+Whole names, each in one order of its words, are joined within one edit by
+metric-space partitioning. Where two joined names differ in one word and one of
+the two words is a typing error by what is attested for both, the better one
+takes its place in all names. Over corrected words a name has a structured key
 (surname, given name through nicknames, middle initial; or the kind, place and
 subjects of an institution), and variants meet in equi-joins on these keys.
-Initials and missing middle names are resolved where exactly one person fits.
+Initials and missing middle names are resolved where exactly one person fits,
+by least and greatest fitting persons, so that no surname is joined with itself.
 Journals are aligned word by word, with abbreviations, to the registry's names,
 a table of fixed size.
 
@@ -22,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.operators.metric_join import radius_join, within_one
+from corpusloom.llm.metric_join import radius_join, within_one
 from corpusloom.session import stage
 
 # Titles, kinds of institutions with their abbreviations, abbreviations
@@ -68,24 +70,60 @@ def author_names(holdings: DataFrame) -> DataFrame:
 
 
 def token_table(names: DataFrame) -> DataFrame:
-    """(token, spellings, n): in how many spellings and rows each word of three or more letters stands."""
+    """(token, spellings, n): in how many spellings and rows each word of two or more letters stands."""
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.replace("name", F.lit("’"), F.lit("'"))), F.lit(r"[\p{L}]+(?:'[\p{L}]+)*"), F.lit(0)))
-    each = names.select("n", F.explode(words).alias("token")).where(F.length("token") >= 3)
+    each = names.select("n", F.explode(words).alias("token")).where(F.length("token") >= 2)
     return each.groupBy("token").agg(F.count("*").alias("spellings"), F.sum("n").alias("n"))
 
 
+def name_forms(name: str, journal: bool = False) -> set[str]:
+    """The strings by which a whole name is compared.
+
+    A person is surname and given name, and surname and initial, since others
+    may have typed no more; an institution or journal is its words in order of
+    their letters and, since an error may change that, of their letters read
+    backwards. Names of several long words may be either.
+    """
+    tokens, out = name_tokens(name), set()
+    kind, surname, given = ("journal", "", "") if journal else _parts(name)
+    if kind == "person":
+        out = {f"{surname} {g}" for g in (given, given[:1]) if g} or {surname}
+    if kind in ("institution", "journal") or len([t for t in tokens if len(t) >= 4 and t not in TITLES]) >= 4:
+        words = [w for w in tokens if w not in SMALL or journal]
+        out |= {" ".join(sorted(words)), " ".join(sorted(words, key=lambda w: w[::-1]))}
+    return out - {""}
+
+
+def whole_names(names: DataFrame, journal: bool = False) -> DataFrame:
+    """(word): the forms of all names."""
+
+    @F.pandas_udf("array<string>")
+    def forms(name: pd.Series) -> pd.Series:
+        return name.map(lambda n: sorted(name_forms(n, journal)))
+
+    return names.select(F.explode(forms("name")).alias("word")).distinct()
+
+
+def differing_words(pairs: DataFrame) -> DataFrame:
+    """(x, y), both ways: the words in which two joined names differ, where it is one each and no initial."""
+    a, b = F.split("a", " "), F.split("b", " ")
+    d = pairs.select(F.array_except(a, b).alias("x"), F.array_except(b, a).alias("y")).where("size(x) = 1 and size(y) = 1").select(F.get("x", F.lit(0)).alias("x"), F.get("y", F.lit(0)).alias("y"))
+    d = d.where("length(x) >= 2 and length(y) >= 2").distinct()
+    return d.unionAll(d.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct()
+
+
 def corrections(tokens: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(token, right): tokens that are typing errors of a neighbour in more spellings.
+    """(token, right): words that are typing errors of a word in more spellings.
 
-    A neighbour must be attested by more spellings, and so much more that two
-    real names one edit apart stay two. Known given names, nicknames and kinds
-    of institutions are never errors.
+    ``pairs`` (x, y) are words in which joined names differ. The right word must
+    be attested by more spellings, and so much more that two real names one edit
+    apart stay two. Known given names, nicknames and kinds of institutions are
+    never errors, and win over an unknown word of as many spellings.
     """
     sure = sorted({*NICKNAMES, *_NICK, *_KIND, *(g[:3] for g in NICKNAMES)})
     t = tokens.select(F.col("token").alias("x"), F.col("spellings").alias("sx"), F.col("n").alias("nx"))
-    both = pairs.select(F.col("a").alias("x"), F.col("b").alias("y")).unionAll(pairs.select(F.col("b").alias("x"), F.col("a").alias("y")))
-    j = both.join(t, "x").join(t.select(F.col("x").alias("y"), F.col("sx").alias("sy"), F.col("nx").alias("ny")), "y")
-    better = (F.col("sy") > F.col("sx")) & ((F.col("sx") <= 1) | (F.col("sx") * 4 <= F.col("sy")))
+    j = pairs.join(t, "x").join(t.select(F.col("x").alias("y"), F.col("sx").alias("sy"), F.col("nx").alias("ny")), "y")
+    better = ((F.col("sy") > F.col("sx")) & ((F.col("sx") <= 1) | (F.col("sx") * 4 <= F.col("sy")))) | ((F.col("sy") == F.col("sx")) & F.col("y").isin(sure))
     return j.where(better & ~F.col("x").isin(sure)).groupBy("x").agg(F.max(F.struct("sy", "ny", "y")).alias("b")).select(F.col("x").alias("token"), F.col("b.y").alias("right"))
 
 
@@ -104,6 +142,31 @@ _DEGREES = re.compile(r"(?:[,\s]+(?:Ph\.?\s?D|J\.?\s?D|M\.?\s?D|LL\.?\s?M|S\.?J\
 PARSED = "kind string, surname string, given string, first string, middle string, key string"
 
 
+def _is_institution(tokens: list[str]) -> bool:
+    return any(t in _KIND and len(t) > 2 for t in tokens) and len(tokens) >= 3 and len([t for t in tokens if t not in SMALL]) >= 3
+
+
+def _split_person(name: str) -> tuple[list[str], list[str]]:
+    """Words of the given names and of the surname of a person."""
+    body = _DEGREES.sub("", name).strip(" ,")
+    if "," in body:
+        last, _, rest = body.partition(",")
+        front, back = name_tokens(rest), name_tokens(last)
+    else:
+        words = name_tokens(body)
+        front, back = words[:-1], words[-1:]
+    # particles and double surnames stay with the surname
+    return [t for t in front if t not in TITLES], [t for t in back if t not in TITLES]
+
+
+def _parts(name: str) -> tuple[str, str, str]:
+    """(kind, surname, first given name as typed)."""
+    if _is_institution(name_tokens(name)):
+        return "institution", "", ""
+    front, back = _split_person(name)
+    return ("person", " ".join(back), front[0] if front else "") if back else ("other", "", "")
+
+
 def parse_name(name: str, right: dict[str, str]) -> tuple:
     """(kind, surname, given, initial, middle initial, key).
 
@@ -112,21 +175,12 @@ def parse_name(name: str, right: dict[str, str]) -> tuple:
     """
     fix = lambda w: right.get(w, w)
     tokens = [fix(t) for t in name_tokens(name)]
-    kind = next((_KIND[t] for t in tokens if t in _KIND and (len(t) > 2)), None)
-    if kind and len(tokens) >= 3 and (len([t for t in tokens if t not in SMALL]) >= 3):
+    if _is_institution(tokens):
         small = lambda t: t in SMALL or (len(t) <= 4 and t not in _KIND and any(within_one(t, w) for w in ("for", "and", "the", "law")))
         words = sorted({_KIND.get(t, t) for t in tokens if not small(t)})
         return "institution", "", "", "", "", "i:" + " ".join(words)
-    body = _DEGREES.sub("", name).strip(" ,")
-    if "," in body:
-        last, _, rest = body.partition(",")
-        front, back = name_tokens(rest), name_tokens(last)
-    else:
-        words = name_tokens(body)
-        front, back = words[:-1], words[-1:]
-    front = [t for t in front if t not in TITLES]
-    # particles and double surnames stay with the surname
-    surname = " ".join(fix(t) for t in back if t not in TITLES)
+    front, back = _split_person(name)
+    surname = " ".join(fix(t) for t in back)
     if not surname:
         return "other", "", "", "", "", "o:" + name.lower()
     if not front:
@@ -168,8 +222,8 @@ def author_entities(parsed: DataFrame) -> DataFrame:
     whole = people.where("given <> '' and given not like '%|%'")
     # short forms such as "Nic" stand for the full name they begin
     full = whole.groupBy("surname", "given").agg(F.min(F.when(F.col("middle") != "", F.col("middle"))).alias("lo"), F.max(F.when(F.col("middle") != "", F.col("middle"))).alias("hi"), F.max((F.col("middle") == "").cast("int")).alias("bare"))
-    longer = full.select("surname", F.col("given").alias("long"))
-    short = full.where(F.length("given") <= 4).join(longer, "surname").where((F.length("long") > F.length("given")) & F.expr("startswith(long, given)"))
+    starts = F.transform(F.sequence(F.lit(2), F.least(F.lit(4), F.length("given") - 1)), lambda n: F.left("given", n))
+    short = full.where(F.length("given") > 2).select("surname", F.col("given").alias("long"), F.explode(starts).alias("given"))
     short = short.groupBy("surname", "given").agg(F.min("long").alias("lo_long"), F.max("long").alias("hi_long")).where("lo_long = hi_long").select("surname", "given", F.col("lo_long").alias("long"))
     whole = stage(whole.join(short, ["surname", "given"], "left").withColumn("given", F.coalesce("long", "given")).drop("long"), "whole")
     full = whole.groupBy("surname", "given").agg(F.min(F.when(F.col("middle") != "", F.col("middle"))).alias("lo"), F.max(F.when(F.col("middle") != "", F.col("middle"))).alias("hi"), F.max((F.col("middle") == "").cast("int")).alias("bare"))
@@ -184,18 +238,22 @@ def author_entities(parsed: DataFrame) -> DataFrame:
     entity = F.concat(F.lit("p:"), "surname", F.lit(","), "given", F.lit(","), "middle")
     home = full.select("surname", "given", F.coalesce(one, F.lit("")).alias("sole_middle"), F.coalesce(F.col("lo") != F.col("hi"), F.lit(False)).alias("several"))
     direct = whole.join(home, ["surname", "given"]).withColumn("middle", F.when(F.col("several"), F.col("middle")).otherwise(F.col("sole_middle"))).select("name", entity.alias("entity"))
-    # the rest: initials, ambiguous nicknames and bare surnames, matched by surname and a candidate
+    # the rest: initials, ambiguous nicknames and bare surnames. Of the persons of a surname with an initial or a given
+    # name, the least and the greatest are enough to know whether it is one
     rest = people.where("given = '' or given like '%|%'").select("name", "surname", "first", "middle", F.when(F.col("given") != "", F.split("given", r"\|")).alias("givens"))
-    p = persons.select("surname", F.col("given").alias("g"), F.col("middle").alias("m"), F.substring("given", 1, 1).alias("i"), "sole")
-    keyed = rest.withColumn("i", F.explode(F.when(F.col("givens").isNotNull(), F.array_distinct(F.transform("givens", lambda g: F.substring(g, 1, 1)))).otherwise(F.array("first"))))
-    fits = keyed.join(p, ["surname", "i"])
-    named = F.col("givens").isNull() | F.array_contains("givens", F.col("g"))
+    who = F.concat(F.lit("p:"), "surname", F.lit(","), "given", F.lit(","), "middle")
+    named = F.explode(F.array(F.concat(F.lit("i:"), F.substring("given", 1, 1)), F.concat(F.lit("g:"), "given")))
+    p = stage(persons.select("surname", named.alias("by"), "middle", who.alias("who"), (F.col("sole") & (F.col("middle") == "")).alias("bare")), "known")
+    ends = lambda *what: [f.alias(n + k) for n, c in what for f, k in ((F.min(c), "_lo"), (F.max(c), "_hi"))]
+    # any of them; those with a middle initial; those without one who are alone with their given name
+    any_one = p.groupBy("surname", "by").agg(*ends(("a", F.col("who")), ("c", F.when(F.col("bare"), F.col("who")))))
+    same = p.groupBy("surname", "by", "middle").agg(*ends(("b", F.col("who"))))
+    asked = F.explode(F.when(F.col("givens").isNotNull(), F.transform("givens", lambda g: F.concat(F.lit("g:"), g))).otherwise(F.array(F.concat(F.lit("i:"), "first"))))
+    fits = rest.withColumn("by", asked).join(any_one, ["surname", "by"]).join(same, ["surname", "by", "middle"], "left")
     # a middle initial that is given has to agree; a sole person without one may have one
-    middle = (F.col("middle") == "") | (F.col("m") == F.col("middle")) | (F.col("sole") & (F.col("m") == ""))
-    exact = (F.col("m") == F.col("middle")).cast("int")
-    fits = fits.where(named & middle).withColumn("exact", exact)
-    who = F.concat(F.lit("p:"), "surname", F.lit(","), "g", F.lit(","), "m")
-    by = fits.groupBy("name").agg(F.min(who).alias("lo"), F.max(who).alias("hi"), F.min(F.when(F.col("exact") == 1, who)).alias("elo"), F.max(F.when(F.col("exact") == 1, who)).alias("ehi"))
+    plain = F.col("middle") == ""
+    lo, hi = (F.when(plain, F.col(f"a_{k}")).otherwise((F.least if k == "lo" else F.greatest)(f"b_{k}", f"c_{k}")) for k in ("lo", "hi"))
+    by = fits.groupBy("name").agg(F.min(lo).alias("lo"), F.max(hi).alias("hi"), F.min("b_lo").alias("elo"), F.max("b_hi").alias("ehi")).where("lo is not null")
     sure = F.when(F.col("lo") == F.col("hi"), F.col("lo")).when(F.col("elo") == F.col("ehi"), F.col("elo"))
     resolved = by.select("name", sure.alias("entity")).where("entity is not null")
     lonely = rest.join(by.select("name"), "name", "left_anti").where("first <> ''").select("name", F.concat(F.lit("q:"), "surname", F.lit(","), F.coalesce(F.array_join("givens", "|"), F.col("first")), F.lit(","), "middle").alias("entity"))
@@ -292,12 +350,10 @@ def find(holdings: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFrame
     authors, journals = stage(author_names(holdings), "authors"), stage(spellings(holdings.select(F.col("journal").alias("name"))), "journals")
     listed = registry.select(F.trim("journal_name").alias("name")).where("name <> ''").distinct().withColumn("n", F.lit(1).cast("bigint"))
     tokens = stage(token_table(authors), "tokens")
-    fixes = stage(corrections(tokens, radius_join(tokens.select(F.col("token").alias("word")))), "fixes")
-    jtokens = stage(token_table(journals.unionAll(listed)), "jtokens")
+    fixes = stage(corrections(tokens, differing_words(radius_join(stage(whole_names(authors), "forms")))), "fixes")
     known = token_table(listed).select("token")
-    pairs = radius_join(jtokens.select(F.col("token").alias("word")))
-    both = pairs.select(F.col("a").alias("token"), F.col("b").alias("right")).unionAll(pairs.select(F.col("b").alias("token"), F.col("a").alias("right")))
-    jfixes = both.join(known.withColumnRenamed("token", "right"), "right", "left_semi").join(known, "token", "left_anti")
+    pairs = differing_words(radius_join(stage(whole_names(journals.unionAll(listed), True), "jforms")))
+    jfixes = pairs.select(F.col("x").alias("token"), F.col("y").alias("right")).join(known.withColumnRenamed("token", "right"), "right", "left_semi").join(known, "token", "left_anti")
     jfixes = stage(jfixes.groupBy("token").agg(F.min("right").alias("right"), F.count("*").alias("k")).where("k = 1").select("token", "right"), "jfixes")
     # staged: the parts of a name are asked for many times
     return author_entities(stage(parsed_names(authors, fixes), "parsed")), journal_links(journals, registry, jfixes)

@@ -37,3 +37,20 @@ def test_parse():
     assert N.parse_name("Kalpasenoft, Abigail L.", {}) == ("person", "kalpasenoft", "abigail", "a", "l", "")
     assert N.parse_name("Dick Misfemeboft, Ph.D.", {})[:3] == ("person", "misfemeboft", "richard")
     assert N.parse_name("J. D. Benvagehand", {}) == ("person", "benvagehand", "", "j", "d", "")
+
+
+def test_one_surname_in_a_third_of_the_names(spark):
+    """Initials of a hot surname fit many persons and are linked to none; every full name is linked to its own turned form."""
+    given = ["Ab" + a + b + "el" for a in "cdfghklm" for b in "nprstvwx"]
+    names = [n for g in given for n in (f"{g} Hotname", f"Hotname, {g}")] + ["A. Hotname", "Hotname, A."] + [f"Zo{a}{b}a Coldname{a}{b}" for a in "cdfghklm" for b in "nprstvwx"]
+    holdings = spark.createDataFrame([(None, n, "x", "y") for n in names], HOLD)
+    e, j = N.find(holdings, spark.createDataFrame([], "journal_name string"))
+    links = {(r.name_a, r.name_b) for r in N.found(e, j).collect()}
+    # names one edit apart, each in two spellings, stay two
+    assert links == {(f"{g} Hotname", f"Hotname, {g}") for g in given}
+
+
+def test_forms_of_whole_names():
+    assert N.name_forms("Kalpasenoft, Abby L.") == N.name_forms("Prof. Abby L. Kalpasenoft, Ph.D.") == {"kalpasenoft abby", "kalpasenoft a"}
+    assert N.name_forms("Center for Arbitration and Antitrust Law, Visbawotand") == N.name_forms("Visbawotand Center for Antitrust & Arbitration Law")
+    assert N.name_forms("") == N.name_forms("; -") == set()
