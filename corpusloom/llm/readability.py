@@ -5,7 +5,8 @@ over them five classic formulas (Flesch-Kincaid, Gunning fog, SMOG, Coleman-
 Liau, automated readability) give school grades from lengths of sentences and
 words and from syllables, which hyphenation-style rules count. The estimate is
 the median of the grades, and cut points fitted on a bounded sample of graded
-documents put it on the scale of the labels.
+documents put it on the scale of the labels. Which texts are English is told by
+letters, see ``language``.
 
 Defined results: NULL, empty and blank texts have no words and no grade; texts
 that are not English or have fewer than ``least_words`` words are not graded by
@@ -22,21 +23,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm import language
+from corpusloom.llm.language import WordScores
 from corpusloom.session import stage
 
 LEAST_WORDS = 40
-#: Least share of English function words, less those of other languages, of an English text.
-ENGLISH_SHARE = 0.08
 #: Most graded documents the cut points are fitted on.
 MAX_LABELS = 5000
 #: Grades that separate the levels where nothing is labelled.
 DEFAULT_CUTS = (9.0, 14.0, 20.0)
 
-# Function words of English that other languages do not share.
-ENGLISH = "the|of|and|to|that|with|this|which|from|by|was|are|is|for|each|every|any|such|its|their|on|at|not|be|as|it"
-FOREIGN = "der|die|das|und|nicht|ist|ein|eine|den|von|mit|des|dem|el|la|los|las|que|del|por|una|con|para|le|les|et|dans|est|une|du|pour|qui|il|di|che|della|per|non|sono|gli|do|da|em|os|um|uma|het|een|van|niet|og|och"
-
-
 # hyphenation-style rules on single words: vowels that are not spoken, and vowels that are spoken apart
 _SILENT = [
     (re.compile(r"(?<=[a-z]{2}[^aeiouytd])ed$"), "d"),  # fin-ished, but need-ed
@@ -58,7 +54,6 @@ _MARK = re.compile(r"(?<=[a-z][.!?,;:])(?:[0-9]{1,3}|\[[0-9]{1,3}\])(?=\s|$)")
 _ENDED = re.compile(r"[.!?][\"'”’)\]]*$")
 _DIGIT = re.compile(r"\d")
 _STOP = re.compile(r"[.!?](?=\s|$)")
-_OWN, _OTHER = frozenset(ENGLISH.split("|")), frozenset(FOREIGN.split("|"))
 #: Words whose counts a Python worker remembers.
 WORDS = 300_000
 
@@ -89,12 +84,6 @@ class WordTable(dict):
 _TABLE = WordTable()
 
 
-def english_share(counts: Counter, total: int) -> float:
-    """Share of English function words less that of other languages' ones; words in lower case."""
-    own, other = sum(counts[w] for w in _OWN), sum(counts[w] for w in _OTHER)
-    return (own - other) / max(1, total)
-
-
 def prose(text: str) -> list[str]:
     """Sentences of prose: several words in lower case and no figures, ended or items of a list."""
     out = []
@@ -108,14 +97,14 @@ def prose(text: str) -> list[str]:
 FEATURES = "n_words int, english double, sentences int, words int, syllables int, complex_words int, chars int"
 
 
-def text_features(text: str | None) -> tuple:
+def text_features(text: str | None, scores: WordScores) -> tuple:
     if not text:
         return 0, 0.0, 0, 0, 0, 0, 0
     # words between white space that have a letter or figure
     counts = Counter(text.lower().split())
     n_words = counts.total() - sum(k for w, k in counts.items() if not (w[0].isalnum() or w[-1].isalnum() or any(c.isalnum() for c in w)))
-    share = english_share(counts, n_words)
-    if share <= ENGLISH_SHARE:
+    share = language.score(counts, scores)
+    if share <= 0:
         return n_words, share, 0, 0, 0, 0, 0
     sentences = prose(text)
     n = len(sentences) if sentences else max(1, len(_STOP.findall(text)))
@@ -131,7 +120,7 @@ def text_features(text: str | None) -> tuple:
     return n_words, share, n, words, syllables_, complex_words, chars
 
 
-def features(documents: DataFrame) -> DataFrame:
+def features(documents: DataFrame, scores: WordScores) -> DataFrame:
     """doc_id with FEATURES; those of prose are 0 for texts that are not English.
 
     An Arrow UDF that counts every distinct word once per worker: regular
@@ -141,7 +130,7 @@ def features(documents: DataFrame) -> DataFrame:
 
     @F.pandas_udf(FEATURES)
     def count(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([text_features(t) for t in texts], columns=[c.split()[0] for c in FEATURES.split(", ")])
+        return pd.DataFrame([text_features(t, scores) for t in texts], columns=[c.split()[0] for c in FEATURES.split(", ")])
 
     return documents.select("doc_id", count("text").alias("_f")).select("doc_id", "_f.*")
 
@@ -195,9 +184,10 @@ def levels(documents: DataFrame, labels: DataFrame, least_words: int = LEAST_WOR
     bound = bound.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels)
     # staged, or the filter below would be pushed under the join and grade every document
     known = stage(documents.select("doc_id", "text").join(F.broadcast(bound), "doc_id"), "graded")
-    known = grade(features(known)).where(is_english()).join(F.broadcast(bound), "doc_id")
+    scores = language.fitted(documents)
+    known = grade(features(known, scores)).where(is_english()).join(F.broadcast(bound), "doc_id")
     cuts = fit_cuts([(r.grade, r.level) for r in known.select("grade", "level").collect()])
-    out = grade(features(documents).where(is_english() & (F.col("n_words") >= least_words)))
+    out = grade(features(documents, scores).where(is_english() & (F.col("n_words") >= least_words)))
     level = F.lit(1)
     for c in cuts:
         level = level + F.coalesce(F.col("grade") > c, F.lit(False)).cast("int")
@@ -205,7 +195,7 @@ def levels(documents: DataFrame, labels: DataFrame, least_words: int = LEAST_WOR
 
 
 def is_english() -> Column:
-    return F.col("english") > ENGLISH_SHARE
+    return F.col("english") > 0
 
 
 def profile(graded: DataFrame) -> DataFrame:
