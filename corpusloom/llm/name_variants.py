@@ -88,7 +88,7 @@ def name_forms(name: str, journal: bool = False) -> set[str]:
     kind, surname, given = ("journal", "", "") if journal else _parts(name)
     if kind == "person":
         out = {f"{surname} {g}" for g in (given, given[:1]) if g} or {surname}
-    if kind in ("institution", "journal") or len([t for t in tokens if len(t) >= 4 and t not in TITLES]) >= 4:
+    if kind in ("institution", "journal") or len([t for t in tokens if len(t) >= 3 and t not in TITLES and t not in SMALL]) >= 4:
         words = [w for w in tokens if w not in SMALL or journal]
         out |= {" ".join(sorted(words)), " ".join(sorted(words, key=lambda w: w[::-1]))}
     return out - {""}
