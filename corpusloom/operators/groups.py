@@ -18,11 +18,11 @@ def star_edges(keys: DataFrame, node: str, key: str) -> DataFrame:
     return keys.join(low, key).where(F.col(node) > F.col("dst")).select(F.col(node).alias("src"), "dst")
 
 
-def duplicate_reasons(pdfs: DataFrame) -> DataFrame:
-    """Groups of PDFs by shared hash, title with first text, or versioned name.
+def duplicate_members(pdfs: DataFrame) -> DataFrame:
+    """(path, canonical_path, reasons, group_size): every PDF that has copies, by shared hash, title with first text, or versioned name.
 
-    canonical_path, duplicates (paths, joined), reasons, group_size. Canonical
-    is the newest, then larger, then longer, then smaller path.
+    Canonical is the newest, then larger, then longer, then smaller path. One row
+    per member and aggregates only, since a group may hold a third of all PDFs.
     """
     stem = F.regexp_replace(F.regexp_replace("path", r"^.*/", ""), r"\.[A-Za-z0-9]{1,5}$", "")
     base = F.regexp_replace(stem, r"-[0-9]+$", "")
@@ -31,15 +31,17 @@ def duplicate_reasons(pdfs: DataFrame) -> DataFrame:
         F.struct(F.lit("title_first_text").alias("reason"), F.when(F.col("title_key").isNotNull() & F.col("first_text_hash").isNotNull(), F.concat_ws("\x01", "title_key", "first_text_hash")).alias("k")),
         F.struct(F.lit("versioned_name").alias("reason"), F.when(F.col("journal_domain").isNotNull(), F.concat_ws("\x01", F.col("journal_domain"), base)).alias("k")),
     )
-    keys = stage(pdfs.select("pdf_id", F.explode(k).alias("x")).where("x.k is not null and x.k <> ''").select("pdf_id", "x.reason", F.concat_ws("\x02", "x.reason", "x.k").alias("key")), "dupkeys")
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    roots = stage(components(star_edges(keys, "pdf_id", "key")), "duproots")
-    why = keys.join(shared, "key").join(roots, F.col("pdf_id") == F.col("id")).groupBy("root").agg(F.array_join(F.array_sort(F.collect_set("reason")), "|").alias("reasons"))
-    m = pdfs.join(roots, F.col("pdf_id") == F.col("id")).select("root", "path", F.struct(F.coalesce("mtime", F.lit(0.0)), F.coalesce("size", F.lit(0)), F.coalesce("page_count", F.lit(0))).alias("rank"))
-    w = Window.partitionBy("root").orderBy(F.desc("rank"), "path")
-    m = m.withColumn("rn", F.row_number().over(w))
-    g = m.groupBy("root").agg(F.max(F.when(F.col("rn") == 1, F.col("path"))).alias("canonical_path"), F.array_join(F.array_sort(F.collect_list(F.when(F.col("rn") > 1, F.col("path")))), "|").alias("duplicates"), F.count("*").alias("group_size"))
-    return g.join(why, "root").select("canonical_path", "duplicates", "reasons", "group_size")
+    keys = pdfs.select("pdf_id", F.explode(k).alias("x")).where("x.k is not null and x.k <> ''")
+    keys = stage(keys.select("pdf_id", "x.reason", F.xxhash64("x.reason", "x.k").alias("k1"), F.xxhash64(F.lit(7), "x.reason", "x.k").alias("k2")), "dupkeys")
+    low = keys.groupBy("k1", "k2").agg(F.min("pdf_id").alias("dst"), F.max("pdf_id").alias("top")).where("dst < top").drop("top")
+    tied = stage(keys.join(low, ["k1", "k2"]).select("pdf_id", "reason", "dst"), "duptied")
+    roots = components(tied.where("pdf_id > dst").select(F.col("pdf_id").alias("src"), "dst")).withColumnRenamed("id", "pdf_id")
+    why = tied.join(roots, "pdf_id").groupBy("root").agg(F.array_join(F.array_sort(F.collect_set("reason")), "|").alias("reasons"))
+    rank = F.struct(F.coalesce("mtime", F.lit(0.0)).alias("mtime"), F.coalesce("size", F.lit(0)).alias("size"), F.coalesce("page_count", F.lit(0)).alias("pages"))
+    m = stage(pdfs.join(roots, "pdf_id").select("root", "path", rank.alias("rank")), "dupmembers")
+    best = m.groupBy("root").agg(F.max("rank").alias("best"), F.count("*").alias("group_size"))
+    first = m.join(best, "root").where(F.col("rank") == F.col("best")).groupBy("root", "group_size").agg(F.min("path").alias("canonical_path"))
+    return m.join(first, "root").join(why, "root").select("path", "canonical_path", "reasons", "group_size")
 
 
 def domain_medians(pdfs: DataFrame) -> DataFrame:
@@ -57,7 +59,7 @@ def volume_suspects(pdfs: DataFrame) -> DataFrame:
         F.when((F.col("median_size") > 0) & (F.col("size") > 5 * F.col("median_size")) & (F.col("size") > 10 * 1024 * 1024), "size"),
         F.when((F.col("page_count") > 150) & (F.col("median_pages") > 0) & (F.col("median_pages") < 40), "pages"),
     )
-    j = pdfs.join(F.broadcast(m), "journal_domain").withColumn("why", F.filter(why, lambda x: x.isNotNull()))
+    j = pdfs.join(m, "journal_domain").withColumn("why", F.filter(why, lambda x: x.isNotNull()))
     return j.where(F.size("why") > 0).select("pdf_id", F.array_join("why", "|").alias("reasons"))
 
 
@@ -76,7 +78,7 @@ def registry_index(registry: DataFrame) -> DataFrame:
 def infer_journals(rows: DataFrame, index: DataFrame) -> DataFrame:
     """rows (host, contexts, ...) with ``journal``: the one of the host that a context names, else the host's only one, else a label."""
     per_host = index.groupBy("host").agg(F.collect_set(F.struct("slug", "journal")).alias("_known"))
-    j = rows.join(F.broadcast(per_host), "host", "left")
+    j = rows.join(per_host, "host", "left")
     known = F.coalesce("_known", F.expr("array()").cast("array<struct<slug:string,journal:string>>"))
     named = F.array_distinct(F.transform(F.filter(known, lambda k: F.array_contains("contexts", k["slug"])), lambda k: k["journal"]))
     every = F.array_distinct(F.transform(known, lambda k: k["journal"]))
@@ -121,8 +123,17 @@ def rank_by(rows: DataFrame, key: str, weights: dict[str, float]) -> DataFrame:
     for c, w in weights.items():
         total = total + F.lit(w) * F.coalesce(F.col(c), F.lit(0)) / F.col(f"_{c}")
     scored = rows.join(F.broadcast(top)).select(key, F.round(total, 6).alias("score"))
-    # a rank over few rows, one per journal or site
-    return scored.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), key))).select("rank", key, "score")
+    return ranked(scored, [F.desc("score"), F.col(key)]).select("rank", key, "score")
+
+
+def ranked(rows: DataFrame, order: list) -> DataFrame:
+    """rows with ``rank``, their place in the order: sorted by ranges, each of which counts on from those before it."""
+    parts = stage(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges")
+    # one row per partition of the sort
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = parts.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", before.alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return parts.join(offsets, "_part").withColumn("rank", (F.col("_before") + place).cast("int")).drop("_part", "_before")
 
 
 def spread(rows: DataFrame, group: str, order: list[str], key: str) -> DataFrame:
@@ -142,34 +153,26 @@ def versioned_names(rows: DataFrame, group: str, path: str, key: str) -> DataFra
     return r.withColumn("n", n).select(key, F.concat("stem", F.when(F.col("n") > 1, F.concat(F.lit("__v"), F.col("n"))).otherwise(""), "ext").alias("name"))
 
 
-def allocate(availability: dict[str, int], size: int, floor: int) -> dict[str, int]:
-    """Whole quotas of groups: floors, then in proportion to what is left, largest remainder first, then spill-over."""
-    names = sorted(k for k, n in availability.items() if n > 0)
-    target = min(size, sum(availability.values()))
-    quota = dict.fromkeys(names, 0)
-    if not names or target <= 0:
-        return quota
-    if floor * len(names) <= target:
-        quota = {k: min(floor, availability[k]) for k in names}
-    else:
-        while sum(quota.values()) < target:
-            for k in names:
-                if sum(quota.values()) < target and quota[k] < availability[k]:
-                    quota[k] += 1
-    room = {k: availability[k] - quota[k] for k in names}
-    left, total = target - sum(quota.values()), sum(room.values())
-    if left > 0 and total:
-        raw = {k: left * room[k] / total for k in names}
-        for k in names:
-            quota[k] += min(room[k], int(raw[k]))
-        spare = target - sum(quota.values())
-        # one more for the largest remainders, then whatever still fits where most room is left
-        for k in sorted(names, key=lambda k: (int(raw[k]) - raw[k], k)):
-            if spare > 0 and quota[k] < availability[k]:
-                quota[k] += 1
-                spare -= 1
-        for k in sorted(names, key=lambda k: (quota[k] - availability[k], k)):
-            take = min(spare, availability[k] - quota[k])
-            quota[k] += take
-            spare -= take
-    return quota
+def quotas(counts: DataFrame, group: str, size: int, floor: int) -> DataFrame:
+    """(group, quota): ``size`` places shared out over groups with ``n`` members, each group first up to ``floor``.
+
+    The places of the floors are handed out in turns, as far as ``size`` goes; the
+    others in proportion to the members left, whole parts first and then one
+    each for the largest remainders. Ties go by name. One row per group.
+    """
+    n = counts.where("n > 0").select(group, F.col("n").cast("bigint").alias("n"))
+    target = n.agg(F.least(F.lit(size), F.coalesce(F.sum("n"), F.lit(0))).alias("target"))
+    turns = n.where(F.lit(floor) > 0).select(group, F.explode(F.sequence(F.lit(1), F.least(F.lit(max(floor, 1)), F.col("n").cast("int")))).alias("turn"))
+    turns = turns.withColumn("at", F.row_number().over(Window.orderBy("turn", group))).join(F.broadcast(target)).where("at <= target").groupBy(group).agg(F.count("*").alias("base"))
+    got = n.join(turns, group, "left").select(group, F.coalesce("base", F.lit(0)).alias("base"), (F.col("n") - F.coalesce("base", F.lit(0))).alias("room")).join(F.broadcast(target))
+    every = Window.partitionBy()
+    got = got.withColumns({"left": F.col("target") - F.sum("base").over(every), "total": F.greatest(F.lit(1), F.sum("room").over(every))})
+    got = got.withColumns({"whole": F.expr("left * room div total"), "part": F.expr("left * room % total")})
+    got = got.withColumns({"spare": F.col("left") - F.sum("whole").over(every), "at": F.row_number().over(Window.orderBy(F.desc("part"), group))})
+    return got.select(group, (F.col("base") + F.col("whole") + (F.col("at") <= F.col("spare")).cast("int")).alias("quota")).where("quota > 0")
+
+
+def drawn(rows: DataFrame, group: str, key: str, quota: DataFrame, seed: int) -> DataFrame:
+    """(group, key): of every group as many rows as its quota, in a seeded order that any engine can repeat (MD5 of seed and key)."""
+    w = Window.partitionBy(group).orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), key)
+    return rows.join(quota, group).withColumn("_at", F.row_number().over(w)).where("_at <= quota").select(group, key)

@@ -6,10 +6,12 @@ largest group that any window or grouped function sees.
 
 from __future__ import annotations
 
-import math
-import statistics
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from itertools import accumulate
+from statistics import median
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +32,12 @@ FRAGMENT = (
 MISSING, ANY_BREAK, AGAIN = (0.0, 0.5, 1.5, 2.5), 3.0, 1.5
 #: Missing labels a document may have, and the share of its span they may be beyond that.
 GAP_TOLERANCE, GAP_SHARE = 2, 0.05
+# When a label at an end of a list stands apart (members there have to be, times the median step or half the
+# members, least distance, share of the greater label), what a chain of labels pays, what a candidate and a note are worth.
+APART = {"steps": (4, 5, 8, 0.15), "members": (3, 0.5, 5, 0.25)}
+CHAIN = {"late": 5.0, "upward": 10.0, "slack": 0.5, "again": 12.0, "missing": (0.0, 0.5, 1.5, 4.0, 4.0), "more": 2.0, "least": 0.1}
+CANDIDATE = {"base": 1.0, "marked": 2.0, "below": 1.25, "above": -1.25, "legal": 2.0, "other": 1.5, "low_half": 0.5, "top_fifth": -1.0}
+CONFIDENCE = {"base": 0.55, "long": (80, 0.2), "middling": (30, 0.1), "short": -0.1, "context": 0.1, "no_context": -0.15, "pages": 0.05, "flag": -0.1}
 
 
 def notes_of(sidecars: DataFrame, *more: str) -> DataFrame:
@@ -44,31 +52,33 @@ def label_order(label: Column) -> Column:
     return F.struct(number.isNull().alias("text"), F.coalesce(number, F.lit(0)).alias("n"), label.alias("label"))
 
 
+def stands_apart(kept: list[int], outer: int, inner: int, rule: str, members: int) -> bool:
+    """Whether the outermost label of a sorted list is a stray by one of the rules of APART."""
+    least_members, factor, least, share = APART[rule]
+    distance, scale = abs(kept[outer] - kept[inner]), max(kept[outer], kept[inner])
+    if rule == "members":
+        return distance > max(least, int(members * factor)) and distance > share * scale
+    rest = sorted(set(kept) - {kept[outer]})
+    usual = max(1, int(median(np.diff(rest)))) if len(rest) > 1 else distance
+    return len(rest) > 1 and distance >= max(least, factor * usual) and distance > share * scale
+
+
 def trim_outliers(labels: list[int]) -> list[int]:
     """Sorted distinct labels without isolated ones at either end.
 
-    A label goes while its distance to the next one dominates the median step
-    of the rest; short sequences fall back to a fixed rule. A fixpoint over the
-    whole list, hence no window.
+    The distance of an outermost label to its neighbour is held against the
+    usual step of the others and, where that says nothing, against the number of
+    labels. At the lower end what is not positive goes as well. Every label that
+    goes changes what the next is held against, hence no window.
     """
     kept = sorted(set(labels))
-    if len(kept) < 3:
+    if len(kept) < min(n for n, *_ in APART.values()):
         return kept
-
-    def far(jump: int, size: int, rest: list[int]) -> bool:
-        steps = [b - a for a, b in zip(rest, rest[1:])]
-        return bool(steps) and jump >= max(8, 5 * max(1, int(statistics.median(steps)))) and jump > size * 0.15
-
-    while len(kept) >= 4 and far(kept[-1] - kept[-2], kept[-1], kept[:-1]):
-        kept.pop()
-    bound = max(5, len(kept) // 2)
-    while len(kept) >= 3 and kept[-1] - kept[-2] > bound and kept[-1] - kept[-2] > kept[-1] * 0.25:
-        kept.pop()
-    while len(kept) >= 4 and (kept[0] <= 0 or far(kept[1] - kept[0], kept[1], kept[1:])):
-        kept.pop(0)
-    bound = max(5, len(kept) // 2)
-    while len(kept) >= 3 and (kept[0] <= 0 or (kept[1] - kept[0] > bound and kept[1] - kept[0] > kept[1] * 0.25)):
-        kept.pop(0)
+    for outer, inner in ((-1, -2), (0, 1)):
+        for rule, (least_members, *_) in APART.items():
+            members = len(kept)
+            while len(kept) >= least_members and ((outer == 0 and kept[0] <= 0) or stands_apart(kept, outer, inner, rule, members)):
+                del kept[outer]
     return kept
 
 
@@ -134,11 +144,16 @@ def junk_signals(notes: DataFrame) -> DataFrame:
 
 def note_confidence() -> Column:
     """Score of a note by length, context, pages and flags, within 0 and 1."""
+    c = CONFIDENCE
     size = F.length(F.trim(F.coalesce("text", F.lit(""))))
-    score = F.lit(0.55) + F.when(size >= 80, 0.2).when(size >= 30, 0.1).otherwise(-0.1) + F.when(F.coalesce("context_body", F.lit("")) != "", 0.1).otherwise(-0.15)
-    score = score + F.when(F.col("page_end") > F.col("page_start"), 0.05).otherwise(0.0)
-    flags = F.size(F.filter(F.coalesce("flags", F.array().cast("array<string>")), lambda f: f.isin("ambiguous_context", "missing_context")))
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), score - 0.1 * flags))
+    flagged = F.size(F.array_intersect(F.coalesce("flags", F.array().cast("array<string>")), F.array(F.lit("ambiguous_context"), F.lit("missing_context"))))
+    parts = [
+        F.when(size >= c["long"][0], c["long"][1]).when(size >= c["middling"][0], c["middling"][1]).otherwise(c["short"]),
+        F.when(F.coalesce("context_body", F.lit("")) != "", c["context"]).otherwise(c["no_context"]),
+        F.when(F.col("page_end") > F.col("page_start"), c["pages"]).otherwise(0.0),
+        flagged * c["flag"],
+    ]
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), sum(parts, F.lit(c["base"]))))
 
 
 def merged_labels(notes: DataFrame) -> DataFrame:
@@ -194,88 +209,125 @@ def note_numbers(numbers: pd.Series) -> pd.Series:
     return numbers.map(lambda x: opened([None if v is None or v != v else int(v) for v in x]))
 
 
-def segmented(lines: DataFrame, size: int = 8000) -> DataFrame:
+def numbered(lines: DataFrame) -> DataFrame:
+    """lines with ``n``: the number a line begins with, unless what follows makes it the rest of a citation; empty lines left out."""
+    start = r"^([0-9]{1,4})[\]).,:;-]?\s+(\S.*)$"
+    label, rest = F.regexp_extract("text", start, 1), F.regexp_extract("text", start, 2)
+    return lines.where("text <> ''").withColumn("n", F.when((label != "") & ~rest.rlike(FRAGMENT), label.cast("int")))
+
+
+def segmented(lines: DataFrame) -> DataFrame:
     """(pdf_id, note_no, label, page_start, page_end, text): lines gathered under the markers they follow.
 
     A marker opens a note where it belongs to the best chain of labels of its
     document (``opened``); what looks like the rest of a citation is no marker.
-    Lines before the first marker belong to no note. Parts beyond ``size``
-    characters of a note are skipped, which is the bound of the field.
+    Lines before the first marker belong to no note.
     """
-    start = r"^([0-9]{1,4})[\]).,:;-]?\s+(\S.*)$"
-    label, rest = F.regexp_extract("text", start, 1), F.regexp_extract("text", start, 2)
-    marked = lines.where("text <> ''").withColumn("n", F.when((label != "") & ~rest.rlike(FRAGMENT), label.cast("int")))
-    whole = marked.groupBy("pdf_id").agg(F.sort_array(F.collect_list(F.struct("page_index", "line", "page", "text", "n"))).alias("l"))
+    whole = numbered(lines).groupBy("pdf_id").agg(F.sort_array(F.collect_list(F.struct("page_index", "line", "page", "text", "n"))).alias("l"))
     whole = whole.withColumn("note", note_numbers(F.transform("l", lambda x: x["n"])))
     each = F.transform("l", lambda x, i: F.struct(F.col("note")[i].alias("note_no"), (F.col("note")[i] - F.when(i > 0, F.col("note")[F.greatest(i - 1, F.lit(0))]).otherwise(0)).alias("opens"), x.alias("x")))
     marked = whole.select("pdf_id", F.inline(each)).where("note_no > 0").select("pdf_id", F.col("note_no").cast("bigint").alias("note_no"), "opens", "x.*")
     body = F.when(F.col("opens") == 1, F.regexp_replace("text", r"^[0-9]{1,4}[\]).,:;-]?\s+", "")).otherwise(F.col("text"))
     g = marked.groupBy("pdf_id", "note_no").agg(F.max(F.when(F.col("opens") == 1, F.col("n"))).alias("label"), F.min("page").alias("page_start"), F.max("page").alias("page_end"), F.sort_array(F.collect_list(F.struct("page_index", "line", body.alias("t")))).alias("parts"))
-    text = F.aggregate("parts", F.lit(""), lambda acc, x: F.when(F.length(acc) + F.length(x["t"]) > size, acc).when(acc == "", x["t"]).otherwise(F.concat(acc, F.lit(" "), x["t"])))
+    text = F.array_join(F.filter(F.col("parts.t"), lambda t: t != ""), " ")
     return g.select("pdf_id", "note_no", "label", "page_start", "page_end", F.regexp_replace(text, r"(?<=[A-Za-z0-9_])- (?=[a-z])", "").alias("text"))
 
 
 # ------------------------------------------------------------- label sequence
-def step_cost(delta: int) -> float:
-    """Cost of going from one label to the next one chosen."""
-    if delta <= 0:
-        return math.inf
-    return {1: 0.0, 2: 0.5, 3: 1.5}.get(delta, 4.0 if delta <= 5 else 4.0 + (delta - 5) * 2.0)
-
+def longest_path(worth: np.ndarray, entry: np.ndarray, ways: Callable[[int], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(value of the best path to each node, the node before or -1) over nodes in order.
 
-def best_sequence(labels: list[int], pages: list[int], tops: list[float], scores: list[float], restart: float = 12.0) -> list[int]:
+    A path is worth its nodes less ``entry`` of the first and what ``ways(i)``
+    says the step from each earlier node to node i costs.
+    """
+    total, before = worth - entry, np.full(len(worth), -1)
+    for i in range(1, len(worth)):
+        gain = total[:i] + worth[i] - ways(i)
+        j = int(gain.argmax())
+        if gain[j] > total[i]:
+            total[i], before[i] = gain[j], j
+    return total, before
+
+
+@dataclass(frozen=True)
+class ChainCosts:
+    """What a chain of labels pays; the defaults are those of CHAIN."""
+
+    late: float = CHAIN["late"]
+    upward: float = CHAIN["upward"]
+    slack: float = CHAIN["slack"]
+    again: float = CHAIN["again"]
+    missing: tuple[float, ...] = CHAIN["missing"]
+    more: float = CHAIN["more"]
+
+    def step(self, delta: np.ndarray) -> np.ndarray:
+        """Cost of going ``delta`` labels on; none go back."""
+        known = np.array([np.inf, *self.missing])
+        far = self.missing[-1] + self.more * (delta - len(self.missing))
+        return np.where(delta >= len(known), far, known[np.clip(delta, 0, len(known) - 1)])
+
+
+def best_sequence(labels: list[int], pages: list[int], tops: list[float], scores: list[float], costs: ChainCosts = ChainCosts()) -> list[int]:
     """Indexes of the best chain of label candidates in reading order.
 
-    Quadratic in the candidates of one document, by arrays: a chain pays for
-    starting late, for missing labels, for going up a page, and for starting
-    again at 1 or 2 on a later page.
+    A chain pays for starting late, for missing labels, for going up a page, and
+    for starting again at 1 or 2 on a later page. Of equal chains the one with
+    the greater last label wins, then the earlier. Quadratic in the candidates
+    of one document, by arrays.
     """
-    import numpy as np
-
-    n = len(labels)
-    if not n:
+    if not len(labels):
         return []
     value, page, top = np.array(labels), np.array(pages), np.array(tops, dtype=float)
-    total, parent = np.zeros(n), np.full(n, -1)
-    deltas = np.array([step_cost(d) for d in range(int(max(1, value.max() - min(0, value.min()))) + 1)])
-    for i in range(n):
-        total[i] = scores[i] - max(0.0, (value[i] - 1) * 5.0)
-        if not i:
-            continue
-        delta = value[i] - value[:i]
-        forward = deltas[np.clip(delta, 0, len(deltas) - 1)] + np.where((page[:i] == page[i]) & (top[i] < top[:i] - 0.5), 10.0, 0.0)
-        again = np.where((value[i] <= 2) & (page[:i] != page[i]), restart, np.inf)
-        ways = total[:i] + scores[i] - np.where(delta > 0, forward, again)
-        j = int(ways.argmax())
-        if ways[j] > total[i]:
-            total[i], parent[i] = ways[j], j
-    at = max(range(n), key=lambda k: (total[k], value[k]))
-    path = []
-    while at != -1:
-        path.append(int(at))
-        at = parent[at]
+
+    def ways(i: int) -> np.ndarray:
+        forward = costs.step(value[i] - value[:i]) + costs.upward * ((page[:i] == page[i]) & (top[i] < top[:i] - costs.slack))
+        if value[i] > 2:
+            return forward
+        return np.where(value[i] > value[:i], forward, np.where(page[:i] != page[i], costs.again, np.inf))
+
+    total, before = longest_path(np.array(scores, dtype=float), costs.late * np.maximum(0, value - 1), ways)
+    at, path = int(np.lexsort((-np.arange(len(value)), value, total))[-1]), []
+    while at >= 0:
+        path.append(at)
+        at = int(before[at])
     return path[::-1]
 
 
-def label_candidates(docs: DataFrame) -> DataFrame:
-    """Numbers that may be labels: at the start of body and note lines, with a score of their surroundings."""
-    p = docs.select("pdf_id", F.posexplode("pages").alias("page_index", "p"))
-    none = F.expr("array()")
-    side = lambda name, low: F.coalesce(F.transform(f"p.{name}_lines", lambda l: F.struct(l["text"].alias("text"), l["top"].alias("top"), F.lit(low).alias("low"))), none)
-    l = p.select("pdf_id", "page_index", F.col("p.height").alias("height"), F.posexplode(F.concat(side("body", False), side("note", True))).alias("line", "l"))  # noqa: E741
-    t = F.col("l.text")
-    c = l.where(t.rlike(r"^\s*[0-9]{1,4}[\]).,:;-]?\s+\S"))
-    score = F.when(t.rlike(r"^\s*[0-9]{1,4}[\]).,:;-]"), 2.0).otherwise(0.0) + 1.0 + F.when(F.col("l.low"), 1.25).otherwise(-1.25) + F.when(t.rlike(LEGAL_SIGNAL), 2.0).otherwise(1.5)
-    score = score + F.when(F.col("l.top") >= 0.5 * F.col("height"), 0.5).when(F.col("l.top") < 0.2 * F.col("height"), -1.0).otherwise(0.0)
-    return c.select("pdf_id", "page_index", "line", F.col("l.top").alias("top"), F.regexp_extract(t, r"^\s*([0-9]{1,4})", 1).cast("int").alias("label"), F.greatest(score, F.lit(0.1)).alias("score"))
+CANDIDATES = "array<struct<page_index:int,line:int,top:double,label:int,score:double>>"
 
 
-def solved_labels(candidates: DataFrame) -> DataFrame:
-    """(pdf_id, label, page_index, line) of the best chain of every document."""
+def candidate_lists(docs: DataFrame) -> DataFrame:
+    """(pdf_id, c): per document the numbers that may be labels, at the start of body and note lines, with a score of their surroundings; built inside the row."""
+    none = F.array().cast("array<struct<text:string,top:double,low:boolean>>")
+    side = lambda p, name, low: F.coalesce(F.transform(p[f"{name}_lines"], lambda l: F.struct(l["text"].alias("text"), l["top"].alias("top"), F.lit(low).alias("low"))), none)
+    w = CANDIDATE
 
-    def solve(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["page_index", "line"], kind="stable")
-        keep = best_sequence(frame["label"].tolist(), frame["page_index"].tolist(), frame["top"].fillna(0).tolist(), frame["score"].tolist())
-        return frame.iloc[keep][["pdf_id", "label", "page_index", "line"]]
+    def scored(l: Column, i: Column, page_index: Column, height: Column) -> Column:  # noqa: E741
+        t = l["text"]
+        parts = [
+            F.when(t.rlike(r"^\s*[0-9]{1,4}[\]).,:;-]"), w["marked"]).otherwise(0.0), F.when(l["low"], w["below"]).otherwise(w["above"]), F.when(t.rlike(LEGAL_SIGNAL), w["legal"]).otherwise(w["other"]),
+            F.when(l["top"] >= 0.5 * height, w["low_half"]).when(l["top"] < 0.2 * height, w["top_fifth"]).otherwise(0.0),
+        ]
+        label = F.regexp_extract(t, r"^\s*([0-9]{1,4})", 1).cast("int")
+        return F.struct(page_index.alias("page_index"), i.alias("line"), l["top"].alias("top"), label.alias("label"), F.greatest(sum(parts, F.lit(w["base"])), F.lit(CHAIN["least"])).alias("score"))
 
-    return candidates.groupBy("pdf_id").applyInPandas(solve, "pdf_id bigint, label int, page_index int, line int")
+    def page(p: Column, k: Column) -> Column:
+        lines = F.transform(F.concat(side(p, "body", False), side(p, "note", True)), lambda l, i: F.struct(l.alias("l"), i.alias("i")))
+        return F.transform(F.filter(lines, lambda x: x["l"]["text"].rlike(r"^\s*[0-9]{1,4}[\]).,:;-]?\s+\S")), lambda x: scored(x["l"], x["i"], k, p["height"]))
+
+    return docs.where("pages is not null").select("pdf_id", F.flatten(F.filter(F.transform("pages", page), lambda x: x.isNotNull())).cast(CANDIDATES).alias("c"))
+
+
+def solved_labels(candidates: DataFrame) -> DataFrame:
+    """(pdf_id, label, page_index, line) of the best chain of every document; no shuffle, since a document is a row."""
+
+    def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for pdf_id, own in zip(frame["pdf_id"], frame["c"]):
+                columns = [[x[k] for x in own] for k in ("label", "page_index", "top", "score", "line")]
+                keep = best_sequence(columns[0], columns[1], [0.0 if t is None else t for t in columns[2]], columns[3])
+                out += [(pdf_id, columns[0][i], columns[1][i], columns[4][i]) for i in keep]
+            yield pd.DataFrame(out, columns=["pdf_id", "label", "page_index", "line"])
+
+    return candidates.where("size(c) > 0").mapInPandas(solve, "pdf_id bigint, label int, page_index int, line int")

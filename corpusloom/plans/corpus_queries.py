@@ -118,7 +118,7 @@ def note_segments(spark: SparkSession, d: str) -> DataFrame:
 
 def solved_labels(spark: SparkSession, d: str) -> DataFrame:
     """The best chain of labels of every document."""
-    return N.solved_labels(N.label_candidates(_docs(spark, d)))
+    return N.solved_labels(N.candidate_lists(_docs(spark, d)))
 
 
 def note_contexts(spark: SparkSession, d: str) -> DataFrame:
@@ -145,14 +145,14 @@ def failure_taxonomy(spark: SparkSession, d: str) -> DataFrame:
 
 def token_scores(spark: SparkSession, d: str) -> DataFrame:
     """Tokens of gathered notes against those of sidecars, by document."""
-    gold, pred = (x.select("pdf_id", "label", "text").dropDuplicates(["pdf_id", "label"]) for x in _evaluated(spark, d))
+    gold, pred = (x.groupBy("pdf_id", "label").agg(F.min_by("text", "seq").alias("text")) for x in _evaluated(spark, d))
     s = E.token_scores(gold, pred, ["pdf_id", "label"])
     return s.groupBy("pdf_id").agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn"))
 
 
 def duplicate_groups(spark: SparkSession, d: str) -> DataFrame:
-    """Groups of copies with the canonical file and the reasons."""
-    return G.duplicate_reasons(table(spark, d, "pdf_records"))
+    """Every file that has copies, with the canonical file and the reasons of its group."""
+    return G.duplicate_members(table(spark, d, "pdf_records"))
 
 
 def domain_medians(spark: SparkSession, d: str) -> DataFrame:
@@ -274,14 +274,20 @@ _L = "p AS (SELECT pdf_id, unnest(pages) AS p, generate_subscripts(pages, 1) - 1
 _PB = "pb AS (SELECT pdf_id, extractor_version, number, min(page_start) AS first_page, max(greatest(page_start, coalesce(page_end, page_start))) AS last_page FROM n WHERE number IS NOT NULL AND coalesce(page_start, 0) > 0 GROUP BY ALL)"
 _LIKE, _LEGAL = (p.replace("'", "''") for p in (N.NOTE_LIKE, N.LEGAL_SIGNAL))
 _CUT = f"""k AS (SELECT *, CAST(coalesce(regexp_matches(text, '{_LIKE}'), false) AS INT) AS lk, CAST(coalesce(regexp_matches(text, '{_LEGAL}'), false) AS INT) AS lg, row_number() OVER (PARTITION BY pdf_id, page_index ORDER BY top, pos) AS rn FROM l WHERE height > 0)"""
-_SEG = r"""t AS (SELECT pdf_id, unnest(pages) AS p, generate_subscripts(pages, 1) - 1 AS page_index FROM extracted_docs),
+_SEG = (r"""t AS (SELECT pdf_id, unnest(pages) AS p, generate_subscripts(pages, 1) - 1 AS page_index FROM extracted_docs),
   u AS (SELECT pdf_id, page_index, p.page_number AS page, unnest(p.note_lines) AS l, generate_subscripts(p.note_lines, 1) - 1 AS line FROM t),
   v AS (SELECT pdf_id, page_index, line, page, trim(regexp_replace(l.text, '[\s\x{00A0}]+', ' ', 'g')) AS text FROM u),
-  m AS (SELECT *, TRY_CAST(nullif(regexp_extract(text, '^([0-9]{1,4})[\]).,:;-]?\s+\S', 1), '') AS INT) AS n FROM v WHERE text <> ''),
-  b AS (SELECT *, last_value(n IGNORE NULLS) OVER (PARTITION BY pdf_id ORDER BY page_index, line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM m),
-  o AS (SELECT *, CAST(coalesce(n IS NOT NULL AND (before IS NULL OR n BETWEEN before + 1 AND before + 4), false) AS INT) AS opens FROM b),
+  m AS (SELECT *, CASE WHEN NOT regexp_matches(regexp_extract(text, '^([0-9]{1,4})[\]).,:;-]?\s+(\S.*)$', 2), '""" + N.FRAGMENT + r"""') THEN TRY_CAST(nullif(regexp_extract(text, '^([0-9]{1,4})[\]).,:;-]?\s+\S', 1), '') AS INT) END AS n FROM v WHERE text <> ''),
+  lb AS (SELECT pdf_id, page_index, line, n, row_number() OVER (PARTITION BY pdf_id ORDER BY page_index, line) AS k FROM m WHERE n IS NOT NULL),
+  ls AS (SELECT pdf_id, list(n ORDER BY k) AS ns FROM lb GROUP BY 1),
+  dp AS (SELECT pdf_id, ns, 0 AS k, CAST([] AS DOUBLE[]) AS tot, CAST([] AS BIGINT[]) AS par FROM ls
+    UNION ALL SELECT pdf_id, ns, k + 1, list_append(tot, -b.v), list_append(par, b.j) FROM (
+      SELECT *, list_min(list_append(list_transform(range(1, k + 1), lambda j: {'v': -(tot[j] + 1 - (CASE WHEN ns[k + 1] - ns[j] BETWEEN 1 AND 4 THEN [0.0, 0.5, 1.5, 2.5][ns[k + 1] - ns[j]] WHEN ns[k + 1] = 1 THEN 1.5 ELSE 3.0 END)), 'w': CASE WHEN ns[k + 1] - ns[j] BETWEEN 1 AND 4 THEN ns[k + 1] - ns[j] ELSE 5 END, 'j': j}),
+        {'v': -(1 - (CASE WHEN ns[k + 1] BETWEEN 1 AND 4 THEN [0.0, 0.5, 1.5, 2.5][ns[k + 1]] ELSE 3.0 END)), 'w': 0, 'j': 0})) AS b FROM dp WHERE k < len(ns))),
+  pt AS (SELECT pdf_id, par, CAST(list_position(tot, list_max(tot)) AS BIGINT) AS k FROM dp WHERE k = len(ns) UNION ALL SELECT pdf_id, par, par[k] FROM pt WHERE par[k] > 0),
+  o AS (SELECT m.*, CAST(pt.k IS NOT NULL AS INT) AS opens FROM m LEFT JOIN lb USING (pdf_id, page_index, line) LEFT JOIN pt ON pt.pdf_id = m.pdf_id AND pt.k = lb.k),
   g AS (SELECT *, sum(opens) OVER (PARTITION BY pdf_id ORDER BY page_index, line ROWS UNBOUNDED PRECEDING) AS note_no FROM o),
-  s AS (SELECT pdf_id, CAST(note_no AS BIGINT) AS note_no, max(CASE WHEN opens = 1 THEN n END) AS label, min(page) AS page_start, max(page) AS page_end, regexp_replace(replace(regexp_replace(string_agg(CASE WHEN opens = 1 THEN regexp_replace(text, '^[0-9]{1,4}[\]).,:;-]?\s+', '') ELSE text END, ' ' ORDER BY page_index, line), '([A-Za-z0-9_])- ([a-z])', '\1' || chr(57344) || '\2', 'g'), chr(57344), ''), '^ +', '') AS text FROM g WHERE note_no > 0 GROUP BY pdf_id, note_no)"""
+  s AS (SELECT pdf_id, CAST(note_no AS BIGINT) AS note_no, max(CASE WHEN opens = 1 THEN n END) AS label, min(page) AS page_start, max(page) AS page_end, regexp_replace(replace(regexp_replace(string_agg(CASE WHEN opens = 1 THEN regexp_replace(text, '^[0-9]{1,4}[\]).,:;-]?\s+', '') ELSE text END, ' ' ORDER BY page_index, line), '([A-Za-z0-9_])- ([a-z])', '\1' || chr(57344) || '\2', 'g'), chr(57344), ''), '^ +', '') AS text FROM g WHERE note_no > 0 GROUP BY pdf_id, note_no)""")
 _GOLD = "gold AS (SELECT pdf_id, number AS label, idx AS seq, text FROM n WHERE extractor_version = '3.1' AND number IS NOT NULL), pred AS (SELECT pdf_id, label, note_no AS seq, text FROM s)"
 _MS = "c AS (SELECT pdf_id, label, sum(g) AS g, sum(p) AS p FROM (SELECT pdf_id, label, 1 AS g, 0 AS p FROM gold UNION ALL SELECT pdf_id, label, 0, 1 FROM pred) GROUP BY ALL), q AS (SELECT pdf_id, sum(least(g, p)) AS tp, sum(greatest(p - g, 0)) AS fp, sum(greatest(g - p, 0)) AS fn FROM c GROUP BY 1)"
 _ORD = "a1 AS (SELECT pdf_id, row_number() OVER (PARTITION BY pdf_id ORDER BY seq) AS i, label AS a FROM gold), b1 AS (SELECT pdf_id, row_number() OVER (PARTITION BY pdf_id ORDER BY seq) AS i, label AS b FROM pred), j AS (SELECT pdf_id, min(coalesce(CAST(a = b AS INT), 0)) AS same FROM a1 FULL OUTER JOIN b1 USING (pdf_id, i) GROUP BY 1)"
@@ -302,10 +308,10 @@ SQL = {
         g AS (SELECT *, CASE WHEN labels > 0 THEN list_filter(range(lo, hi + 1), lambda x: NOT list_contains(ls, x)) ELSE [] END AS gp, coalesce(hi - lo + 1, 1) AS span FROM d)
         SELECT pdf_id, extractor_version, CAST(labels AS INT) AS labels, CASE WHEN len(gp) = 0 THEN 'valid' WHEN len(gp) > 2 AND len(gp) / span > 0.05 THEN 'invalid' ELSE 'valid_with_gaps' END AS status, coalesce(lo, 0) AS low, coalesce(hi, 0) AS high, coalesce(array_to_string(gp, ','), '') AS gaps, round(len(gp) / span, 6) AS ratio FROM g""",
     "label_page_bounds": f"WITH {_N}, {_PB} SELECT * FROM pb",
-    "label_gap_pages": f"""WITH {_SEG}, n AS (SELECT pdf_id, 'lines' AS extractor_version, label AS number, page_start, page_end FROM s), {_PB}, w AS (SELECT *, lead(number) OVER (PARTITION BY pdf_id, extractor_version ORDER BY number) AS nx, lead(first_page) OVER (PARTITION BY pdf_id, extractor_version ORDER BY number) AS np FROM pb)
+    "label_gap_pages": f"""WITH RECURSIVE {_SEG}, n AS (SELECT pdf_id, 'lines' AS extractor_version, label AS number, page_start, page_end FROM s), {_PB}, w AS (SELECT *, lead(number) OVER (PARTITION BY pdf_id, extractor_version ORDER BY number) AS nx, lead(first_page) OVER (PARTITION BY pdf_id, extractor_version ORDER BY number) AS np FROM pb)
         SELECT pdf_id, extractor_version, number AS after_label, nx AS before_label, CAST(unnest(CASE WHEN greatest(1, last_page) <= np THEN range(greatest(1, last_page), np + 1) ELSE [CAST(greatest(1, last_page) AS BIGINT)] END) AS INT) AS page FROM w WHERE nx > number + 1""",
     "relabelled_notes": f"WITH {_N} SELECT pdf_id, extractor_version, CAST(idx AS INT) AS idx, label, CAST(row_number() OVER w AS INT) AS new_label, coalesce(number, -1) <> row_number() OVER w AS changed FROM n WINDOW w AS (PARTITION BY pdf_id, extractor_version ORDER BY page_start, page_end, ordinal, idx)",
-    "junk_notes": rf"""WITH {_SEG}, nt AS (SELECT pdf_id, 'lines' AS extractor_version, note_no AS idx, trim(coalesce(text, '')) AS t FROM s), c AS (SELECT *, count(*) OVER (PARTITION BY pdf_id, extractor_version, t) AS same, regexp_matches(t, '{N.SHORT_CITE}') AS cite FROM nt),
+    "junk_notes": rf"""WITH RECURSIVE {_SEG}, nt AS (SELECT pdf_id, 'lines' AS extractor_version, note_no AS idx, trim(coalesce(text, '')) AS t FROM s), c AS (SELECT *, count(*) OVER (PARTITION BY pdf_id, extractor_version, t) AS same, regexp_matches(t, '{N.SHORT_CITE}') AS cite FROM nt),
         js AS (SELECT *, CASE WHEN t = '' THEN 'empty_note' WHEN regexp_matches(t, '^[\[(-]*\s*[0-9]{{1,4}}\s*[\])-]*\.?$') THEN 'page_number_artifact' WHEN regexp_matches(t, '(?i)^\[?vol\.?\s*[0-9]+') THEN 'vol_issue_stamp' END AS stop FROM c)
         SELECT pdf_id, extractor_version, idx, signal FROM (SELECT *, stop AS signal FROM js WHERE stop IS NOT NULL UNION ALL SELECT *, 'suspiciously_short' FROM js WHERE stop IS NULL AND length(t) < 15 AND NOT cite UNION ALL SELECT *, 'duplicate_text' FROM js WHERE stop IS NULL AND same >= 3 AND length(t) >= 60 AND NOT cite)""",
     "note_confidences": f"""WITH {_N}, c AS (SELECT *, 0.55 + CASE WHEN length(trim(coalesce(text, ''))) >= 80 THEN 0.2 WHEN length(trim(coalesce(text, ''))) >= 30 THEN 0.1 ELSE -0.1 END + CASE WHEN coalesce(context_body, '') <> '' THEN 0.1 ELSE -0.15 END + CASE WHEN page_end > page_start THEN 0.05 ELSE 0 END
@@ -326,22 +332,37 @@ SQL = {
         SELECT pdf_id, CAST(page_index AS INT) AS page_index, arg_min(top, rn) AS cutoff FROM w WHERE n_lines >= 8 AND top / height >= 0.4 AND n8 >= 5 AND n <= greatest(8, floor(n_lines * 0.75)) AND s8 >= 5 AND l8 >= 2 GROUP BY ALL""",
     "page_text_density": """WITH d AS (SELECT pdf_id, len(pages) AS n_pages, unnest(list_distinct([0, CAST(floor(len(pages) / 4) AS INT), CAST(floor(len(pages) / 2) AS INT), CAST(floor(len(pages) * 3 / 4) AS INT), len(pages) - 1])) AS i, pages FROM extracted_docs WHERE len(pages) > 0)
         SELECT pdf_id, CAST(n_pages AS INT) AS n_pages, round(avg(coalesce(list_sum(list_transform(pages[i + 1].body_lines, lambda l: length(trim(coalesce(l.text, ''))))), 0)), 4) AS density FROM d GROUP BY ALL""",
-    "note_segments": f"WITH {_SEG} SELECT pdf_id, note_no, label, page_start, page_end, CAST(length(text) AS INT) AS chars, md5(text) AS text FROM s",
+    "note_segments": f"WITH RECURSIVE {_SEG} SELECT pdf_id, note_no, label, page_start, page_end, CAST(length(text) AS INT) AS chars, md5(text) AS text FROM s",
     "note_contexts": rf"""WITH {_N}, p AS (SELECT pdf_id, unnest(pages) AS p FROM extracted_docs), b0 AS (SELECT pdf_id, p.page_number AS bp, unnest(p.body_lines) AS l, generate_subscripts(p.body_lines, 1) - 1 AS pos FROM p), b AS (SELECT pdf_id, bp, pos, l.text AS text FROM b0),
         c0 AS (SELECT pdf_id, bp, pos, text, unnest(regexp_extract_all(text, '[A-Za-z][.,;:?!]?"?([0-9]{{1,4}})(?:\s|$)', 1)) AS label FROM b), c AS (SELECT pdf_id, bp, label, max(pos) AS pos, arg_max(text, pos) AS text FROM c0 GROUP BY ALL), z AS (SELECT pdf_id, bp, max(pos) AS pos, arg_max(text, pos) AS text FROM b GROUP BY ALL),
         m AS (SELECT DISTINCT pdf_id, label, page_start AS page, idx FROM n WHERE extractor_version = '3.1'),
         u AS (SELECT m.*, 1 AS rk, m.page AS cp, c.pos, c.text FROM m JOIN c ON c.pdf_id = m.pdf_id AND c.bp = m.page AND c.label = m.label UNION ALL SELECT m.*, 2, m.page - 1, c.pos, c.text FROM m JOIN c ON c.pdf_id = m.pdf_id AND c.bp = m.page - 1 AND c.label = m.label UNION ALL SELECT m.*, 3, m.page, z.pos, z.text FROM m JOIN z ON z.pdf_id = m.pdf_id AND z.bp = m.page),
         r AS (SELECT *, row_number() OVER (PARTITION BY pdf_id, label, page, idx ORDER BY rk) AS rn FROM u)
         SELECT pdf_id, label, page, CAST(idx AS INT) AS idx, cp AS context_page, CAST(pos AS INT) AS pos, md5(text) AS text, rk < 3 AS found FROM r WHERE rn = 1""",
-    "label_scores": f"WITH {_N}, {_SEG}, {_GOLD}, {_MS}, {_ORD}, x AS (SELECT q.*, same, {_PR} FROM q JOIN j USING (pdf_id)) SELECT pdf_id, tp, fp, fn, round(pr, 4) AS precision, round(rc, 4) AS recall, round(CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0.0 END, 4) AS f1, same = 1 AS same_order FROM x",
-    "failure_taxonomy": f"""WITH {_N}, {_SEG}, {_GOLD}, {_MS}, {_ORD}, tw AS (SELECT pdf_id, max(k) AS most FROM (SELECT pdf_id, label, count(*) AS k FROM pred GROUP BY ALL) GROUP BY 1), x AS (SELECT q.*, same, most FROM q JOIN j USING (pdf_id) LEFT JOIN tw USING (pdf_id))
+    "solved_labels": r"""WITH RECURSIVE t AS (SELECT pdf_id, unnest(pages) AS p, generate_subscripts(pages, 1) - 1 AS page_index FROM extracted_docs),
+        e AS (SELECT pdf_id, page_index, p.height AS height, list_concat(list_transform(coalesce(p.body_lines, []), lambda l: {'text': l.text, 'top': l.top, 'low': false}), list_transform(coalesce(p.note_lines, []), lambda l: {'text': l.text, 'top': l.top, 'low': true})) AS every FROM t),
+        l AS (SELECT pdf_id, page_index, height, unnest(every) AS l, generate_subscripts(every, 1) - 1 AS line FROM e),
+        cd AS (SELECT pdf_id, page_index, line, coalesce(l.top, 0) AS top, CAST(regexp_extract(l.text, '^\s*([0-9]{1,4})', 1) AS INT) AS label,
+          greatest(0.1, 1.0 + CASE WHEN regexp_matches(l.text, '^\s*[0-9]{1,4}[\]).,:;-]') THEN 2.0 ELSE 0.0 END + CASE WHEN l.low THEN 1.25 ELSE -1.25 END + CASE WHEN regexp_matches(l.text, '(?i)\b(?:v\.|u\.s\.|f\.\d|s\. ct\.|id\.|supra|infra)') THEN 2.0 ELSE 1.5 END + CASE WHEN l.top >= 0.5 * height THEN 0.5 WHEN l.top < 0.2 * height THEN -1.0 ELSE 0.0 END) AS score
+          FROM l WHERE regexp_matches(l.text, '^\s*[0-9]{1,4}[\]).,:;-]?\s+\S')),
+        ls AS (SELECT pdf_id, list({'n': label, 'p': page_index, 't': top, 's': CAST(score AS DOUBLE), 'l': line} ORDER BY page_index, line) AS c FROM cd GROUP BY 1),
+        dp AS (SELECT pdf_id, c, 0 AS k, CAST([] AS DOUBLE[]) AS tot, CAST([] AS BIGINT[]) AS par FROM ls
+          UNION ALL SELECT pdf_id, c, k + 1, list_append(tot, -b.v), list_append(par, b.j) FROM (
+            SELECT *, list_min(list_append(list_transform(range(1, k + 1), lambda j: {'v': -(tot[j] + c[k + 1].s - (CASE WHEN c[k + 1].n > c[j].n THEN
+                CASE c[k + 1].n - c[j].n WHEN 1 THEN 0.0 WHEN 2 THEN 0.5 WHEN 3 THEN 1.5 WHEN 4 THEN 4.0 ELSE 4.0 + (c[k + 1].n - c[j].n - 5) * 2.0 END + CASE WHEN c[j].p = c[k + 1].p AND c[k + 1].t < c[j].t - 0.5 THEN 10.0 ELSE 0.0 END
+                WHEN c[k + 1].n <= 2 AND c[j].p <> c[k + 1].p THEN 12.0 ELSE 1e12 END)), 'w': 1, 'j': j}), {'v': -(c[k + 1].s - 5.0 * greatest(0, c[k + 1].n - 1)), 'w': 0, 'j': 0})) AS b FROM dp WHERE k < len(c))),
+        en AS (SELECT pdf_id, c, par, list_max(list_transform(range(1, len(c) + 1), lambda j: {'v': tot[j], 'n': c[j].n, 'j': -j})) AS top FROM dp WHERE k = len(c)),
+        pt AS (SELECT pdf_id, c, par, -top.j AS k FROM en UNION ALL SELECT pdf_id, c, par, par[k] FROM pt WHERE par[k] > 0)
+        SELECT pdf_id, c[k].n AS label, CAST(c[k].p AS INT) AS page_index, CAST(c[k].l AS INT) AS line FROM pt""",
+    "label_scores": f"WITH RECURSIVE {_N}, {_SEG}, {_GOLD}, {_MS}, {_ORD}, x AS (SELECT q.*, same, {_PR} FROM q JOIN j USING (pdf_id)) SELECT pdf_id, tp, fp, fn, round(pr, 4) AS precision, round(rc, 4) AS recall, round(CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0.0 END, 4) AS f1, same = 1 AS same_order FROM x",
+    "failure_taxonomy": f"""WITH RECURSIVE {_N}, {_SEG}, {_GOLD}, {_MS}, {_ORD}, tw AS (SELECT pdf_id, max(k) AS most FROM (SELECT pdf_id, label, count(*) AS k FROM pred GROUP BY ALL) GROUP BY 1), x AS (SELECT q.*, same, most FROM q JOIN j USING (pdf_id) LEFT JOIN tw USING (pdf_id))
         SELECT pdf_id, 'missing_labels' AS failure FROM x WHERE fn > 0 UNION ALL SELECT pdf_id, 'extra_labels' FROM x WHERE fp > 0 UNION ALL SELECT pdf_id, 'repeated_labels' FROM x WHERE most > 1 UNION ALL SELECT pdf_id, 'order' FROM x WHERE fn = 0 AND fp = 0 AND same = 0""",
     "duplicate_groups": rf"""WITH RECURSIVE k AS (SELECT pdf_id, 'sha256' AS reason, lower(sha256) AS key FROM pdf_records WHERE coalesce(sha256, '') <> '' UNION ALL SELECT pdf_id, 'title_first_text', title_key || chr(1) || first_text_hash FROM pdf_records WHERE title_key IS NOT NULL AND first_text_hash IS NOT NULL
           UNION ALL SELECT pdf_id, 'versioned_name', journal_domain || chr(1) || regexp_replace({_STEM}, '-[0-9]+$', '') FROM pdf_records WHERE journal_domain IS NOT NULL),
         sh AS (SELECT reason, key FROM k GROUP BY ALL HAVING count(*) > 1), e AS (SELECT DISTINCT a.pdf_id AS a, b.pdf_id AS b FROM k a JOIN k b USING (reason, key) WHERE a.pdf_id <> b.pdf_id), r AS (SELECT a AS id, a AS root FROM e UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id),
         g AS (SELECT id, min(root) AS root FROM r GROUP BY id), why AS (SELECT root, string_agg(DISTINCT reason, '|' ORDER BY reason) AS reasons FROM k JOIN sh USING (reason, key) JOIN g ON g.id = k.pdf_id GROUP BY 1),
-        m AS (SELECT root, path, row_number() OVER (PARTITION BY root ORDER BY coalesce(mtime, 0) DESC, coalesce(size, 0) DESC, coalesce(page_count, 0) DESC, path) AS rn FROM pdf_records JOIN g ON g.id = pdf_id)
-        SELECT max(CASE WHEN rn = 1 THEN path END) AS canonical_path, string_agg(path, '|' ORDER BY path) FILTER (WHERE rn > 1) AS duplicates, any_value(reasons) AS reasons, count(*) AS group_size FROM m JOIN why USING (root) GROUP BY root""",
+        m AS (SELECT root, path, first_value(path) OVER (PARTITION BY root ORDER BY coalesce(mtime, 0) DESC, coalesce(size, 0) DESC, coalesce(page_count, 0) DESC, path) AS canonical_path, count(*) OVER (PARTITION BY root) AS group_size FROM pdf_records JOIN g ON g.id = pdf_id)
+        SELECT path, canonical_path, reasons, group_size FROM m JOIN why USING (root)""",
     "domain_medians": "SELECT journal_domain, count(*) AS n, coalesce(median(CASE WHEN size > 0 THEN size END), 0) AS median_size, coalesce(median(CASE WHEN page_count > 0 THEN page_count END), 0) AS median_pages FROM pdf_records GROUP BY 1",
     "volume_suspects": r"""WITH m AS (SELECT journal_domain, coalesce(median(CASE WHEN size > 0 THEN size END), 0) AS ms, coalesce(median(CASE WHEN page_count > 0 THEN page_count END), 0) AS mp FROM pdf_records GROUP BY 1 HAVING count(*) > 1),
         w AS (SELECT pdf_id, array_to_string(list_filter([CASE WHEN regexp_matches(lower(regexp_replace(path, '^.*/', '')), '(?:full|complete|entire)[-_ ]?(?:issue|volume)|^vol[0-9]+[-_.]') THEN 'filename' END, CASE WHEN ms > 0 AND size > 5 * ms AND size > 10485760 THEN 'size' END, CASE WHEN page_count > 150 AND mp > 0 AND mp < 40 THEN 'pages' END], lambda x: x IS NOT NULL), '|') AS reasons FROM pdf_records JOIN m USING (journal_domain))

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import records as R
@@ -12,7 +10,7 @@ from corpusloom.functions import urls as U
 from corpusloom.operators import groups as G
 from corpusloom.operators import html as H
 from corpusloom.operators import merge as M
-from corpusloom.session import shared_dir, table
+from corpusloom.session import staging_path, table
 from corpusloom.streaming import cooldown, events
 
 
@@ -40,7 +38,7 @@ def event_props(spark: SparkSession, d: str) -> DataFrame:
 def _drained(stream: DataFrame) -> DataFrame:
     """What a stream has written when its source is read to the end."""
     spark = stream.sparkSession
-    base = f"{shared_dir(spark).rstrip('/')}/loom-stream-{uuid.uuid4().hex}"
+    base = staging_path(spark, "stream")
     q = stream.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
@@ -88,12 +86,10 @@ def document_signals(spark: SparkSession, d: str) -> DataFrame:
 
 
 def quota_sample(spark: SparkSession, d: str) -> DataFrame:
-    """Fifty evaluated PDFs, shared out over platforms with a floor of three, by a seeded order."""
-    s = table(spark, d, "doc_stats").select("pdf_id", R.platform(F.col("platform_family")).alias("platform")).dropDuplicates(["pdf_id"])
-    n = {r[0]: r[1] for r in s.groupBy("platform").count().collect()}
-    quota = spark.createDataFrame(sorted(G.allocate(n, 50, 3).items()), "platform string, quota int")
-    w = Window.partitionBy("platform").orderBy(F.xxhash64("pdf_id", F.lit(7)), "pdf_id")
-    return s.join(F.broadcast(quota), "platform").withColumn("rn", F.row_number().over(w)).where("rn <= quota").select("platform", "pdf_id")
+    """Fifty evaluated PDFs, shared out over platforms with a floor of three, by a seeded order; a PDF's latest platform counts."""
+    s = table(spark, d, "doc_stats").select("pdf_id", "evaluated_at", R.platform(F.col("platform_family")).alias("platform"))
+    s = s.groupBy("pdf_id").agg(F.max_by("platform", F.struct("evaluated_at", "platform")).alias("platform"))
+    return G.drawn(s, "platform", "pdf_id", G.quotas(s.groupBy("platform").agg(F.count("*").alias("n")), "platform", 50, 3), 7)
 
 
 def page_links(spark: SparkSession, d: str) -> DataFrame:

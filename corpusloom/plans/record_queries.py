@@ -55,7 +55,7 @@ def metadata_quality(spark: SparkSession, d: str) -> DataFrame:
     miss = lambda c, name: F.sum((R.text(c) == "").cast("int")).alias(name)
     r = _runs(spark, d).groupBy(U.host(F.col("domain")).alias("host")).agg(F.count("*").alias("records"), F.round(F.avg(R.completeness(m)), 6).alias("complete"), miss(m["title"], "no_title"), miss(m["volume"], "no_volume"), miss(m["doi"], "no_doi"), F.sum((F.coalesce(F.size(m["authors"]), F.lit(0)) <= 0).cast("int")).alias("no_authors"))
     reg = table(spark, d, "registry").groupBy(U.host(F.col("host")).alias("host")).agg(F.max_by(R.platform(F.col("platform")), "seq").alias("platform"))
-    return r.join(F.broadcast(reg), "host", "left")
+    return r.join(reg, "host", "left")
 
 
 def error_classes(spark: SparkSession, d: str) -> DataFrame:

@@ -113,7 +113,7 @@ def alias_matches(spark: SparkSession, d: str) -> DataFrame:
     """Spellings of journals in holdings that exactly one journal of the registry has, but for marks and case."""
     reg = table(spark, d, "registry").select(plain_name(F.col("journal_name")).alias("key"), "journal_name").where("key <> ''").groupBy("key").agg(F.countDistinct("journal_name").alias("n"), F.min("journal_name").alias("journal")).where("n = 1").drop("n")
     h = table(spark, d, "holdings").where("trim(journal) <> ''").groupBy(F.trim("journal").alias("name")).agg(F.count("*").alias("holdings"))
-    return h.select("name", "holdings", plain_name(F.col("name")).alias("key")).join(F.broadcast(reg), "key").select("name", "holdings", "journal")
+    return h.select("name", "holdings", plain_name(F.col("name")).alias("key")).join(reg, "key").select("name", "holdings", "journal")
 
 
 def resumable_sites(spark: SparkSession, d: str) -> DataFrame:
@@ -125,16 +125,10 @@ def resumable_sites(spark: SparkSession, d: str) -> DataFrame:
 
 def sqrt_sample(spark: SparkSession, d: str) -> DataFrame:
     """Sixty files with quotas by the square root of a site's files, at most eight from one, by a seeded order."""
-    import math
-
-    r = table(spark, d, "pdf_records").select("journal_domain", "pdf_id")
-    n = {x[0]: max(1, round(100 * math.sqrt(x[1]))) for x in r.groupBy("journal_domain").count().collect() if x[0]}
-    quota = {k: min(8, v) for k, v in G.allocate(n, 60, 0).items()}
-    q = spark.createDataFrame(sorted(quota.items()), "journal_domain string, quota int")
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("journal_domain").orderBy(F.xxhash64("pdf_id", F.lit(11)), "pdf_id")
-    return r.join(F.broadcast(q), "journal_domain").withColumn("rn", F.row_number().over(w)).where("rn <= quota").select("journal_domain", "pdf_id")
+    r = table(spark, d, "pdf_records").select("journal_domain", "pdf_id").where("journal_domain <> ''")
+    n = r.groupBy("journal_domain").agg(F.greatest(F.lit(1), F.round(100 * F.sqrt(F.count("*")))).cast("bigint").alias("n"))
+    quota = G.quotas(n, "journal_domain", 60, 0).withColumn("quota", F.least(F.lit(8), "quota"))
+    return G.drawn(r, "journal_domain", "pdf_id", quota, 11)
 
 
 QUERIES = {
@@ -149,6 +143,16 @@ _LB = f"{C._L}, lb AS (SELECT *, TRY_CAST(nullif(regexp_extract(text, '^\\s*([0-
 _SQ = C.SQL["label_ordinality"]
 _PN = r"trim(regexp_replace(regexp_replace(replace(lower(strip_accents({})), '&', ' and '), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), '^\s*the ', ''))"
 
+
+
+def _quotas(counts: str, group: str, size: int, floor: int) -> str:
+    """Common tables up to ``quota`` over ``counts`` (group, n)."""
+    return f"""n0 AS (SELECT {group} AS g, n FROM {counts} WHERE n > 0), tg AS (SELECT least({size}, coalesce(sum(n), 0)) AS target FROM n0),
+        tu AS (SELECT g, unnest(range(1, least({floor}, n) + 1)) AS turn FROM n0), ta AS (SELECT g, row_number() OVER (ORDER BY turn, g) AS seat FROM tu), tb AS (SELECT g, count(*) AS base FROM ta, tg WHERE seat <= target GROUP BY 1),
+        qa AS (SELECT n0.g, coalesce(base, 0) AS base, n - coalesce(base, 0) AS room, target FROM n0 LEFT JOIN tb USING (g), tg), qb AS (SELECT *, target - sum(base) OVER () AS rest, greatest(1, sum(room) OVER ()) AS total FROM qa),
+        qc AS (SELECT *, (rest * room) // total AS whole, (rest * room) % total AS part FROM qb), quota AS (SELECT g, base + whole + CAST(row_number() OVER (ORDER BY part DESC, g) <= rest - sum(whole) OVER () AS INT) AS quota FROM qc)"""
+
+
 SQL = {
     "ascending_labels": f"WITH {_LB}, s AS (SELECT pdf_id, CAST(label > lag(label) OVER (PARTITION BY pdf_id ORDER BY page_index, pos) AS INT) AS rise FROM lb WHERE label IS NOT NULL) SELECT pdf_id, count(rise) AS steps, round(coalesce(avg(rise), 1.0), 6) AS share FROM s GROUP BY 1",
     "rising_blocks": f"""WITH {_LB}, s AS (SELECT *, CAST(lead(label) OVER (PARTITION BY pdf_id, page_index ORDER BY pos) > label AS INT) AS rise FROM lb WHERE label IS NOT NULL),
@@ -183,4 +187,9 @@ SQL = {
         SELECT name, holdings, journal FROM h JOIN g ON g.key = {_PN.format('h.name')} WHERE g.key <> ''""",
     "resumable_sites": f"""WITH d AS (SELECT DISTINCT {Q._host('seed_url')} AS host FROM run_records WHERE ok), g AS (SELECT {Q._host('url')} AS host, journal_name, {Q._t('status')} AS status FROM registry)
         SELECT host, status, count(DISTINCT journal_name) AS journals FROM g WHERE host <> '' AND host NOT IN (SELECT host FROM d WHERE host IS NOT NULL) GROUP BY ALL""",
+    "sqrt_sample": f"""WITH c AS (SELECT journal_domain, CAST(greatest(1, round(100 * sqrt(count(*)))) AS BIGINT) AS n FROM pdf_records WHERE journal_domain <> '' GROUP BY 1), {_quotas('c', 'journal_domain', 60, 0)},
+        r AS (SELECT journal_domain, pdf_id, row_number() OVER (PARTITION BY journal_domain ORDER BY md5('11:' || pdf_id), pdf_id) AS seat FROM pdf_records) SELECT journal_domain, pdf_id FROM r JOIN quota ON g = journal_domain WHERE seat <= least(8, quota)""",
+    "quota_sample": f"""WITH k AS (SELECT pdf_id, evaluated_at, platform_family AS platform, regexp_replace(lower(coalesce(platform_family, '')), '[^a-z0-9]+', '', 'g') AS k FROM doc_stats), x AS (SELECT pdf_id, evaluated_at, {Q._PLATFORM} AS p FROM k), s AS (SELECT pdf_id, arg_max(p, (evaluated_at, p)) AS platform FROM x GROUP BY 1),
+        c AS (SELECT platform, count(*) AS n FROM s GROUP BY 1), {_quotas('c', 'platform', 50, 3)},
+        r AS (SELECT platform, pdf_id, row_number() OVER (PARTITION BY platform ORDER BY md5('7:' || pdf_id), pdf_id) AS seat FROM s) SELECT platform, pdf_id FROM r JOIN quota ON g = platform WHERE seat <= quota""",
 }

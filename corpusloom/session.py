@@ -47,7 +47,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors share: ``spark.checkpoint.dir`` where it is set.
 
-    Only where it is unset (tests, a laptop) a temporary folder is used.
+    Only where it is unset and the session is local (tests, a laptop) a temporary
+    folder is used; on a cluster that is an error, since other machines do not
+    see it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -55,6 +57,8 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext._jsc.sc()
     if context.getCheckpointDir().isDefined():
         return context.getCheckpointDir().get()
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir is not set: a cluster needs a folder that all executors share")
     own = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
     spark.sparkContext.setCheckpointDir(own)
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
@@ -69,17 +73,33 @@ def _delete(spark: SparkSession, path: str) -> None:
         pass
 
 
+_staged: list[tuple[SparkSession, str]] = []
+
+
+def staging_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted by ``release`` or when the Python driver ends."""
+    if not _staged:
+        atexit.register(release)
+    path = f"{shared_dir(spark).rstrip('/')}/loom-{name}-{uuid.uuid4().hex}"
+    _staged.append((spark, path))
+    return path
+
+
+def release() -> None:
+    """Delete what was staged so far; results that were not written before can no longer be read."""
+    while _staged:
+        _delete(*_staged.pop())
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once into the shared folder and read it back.
 
-    Cuts the lineage and survives the loss of an executor; deleted when the
-    Python driver ends.
+    Cuts the lineage and survives the loss of an executor; stays until
+    ``release`` is called or the Python driver ends.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/loom-{name}-{uuid.uuid4().hex}"
+    path = staging_path(df.sparkSession, name)
     df.write.parquet(path)
-    atexit.register(_delete, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:

@@ -56,7 +56,7 @@ def within_bytes(df: DataFrame, size: str, newest: str, key: str, cap: int) -> D
     days = d.groupBy("_day").agg(F.sum(size).alias("_bytes"))
     # one row per day
     days = days.withColumn("_before", F.coalesce(F.sum("_bytes").over(Window.orderBy(F.desc("_day")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    d = d.join(F.broadcast(days), "_day")
+    d = d.join(days, "_day")
     run = F.col("_before") + F.sum(size).over(Window.partitionBy("_day").orderBy(F.desc(newest), key).rowsBetween(Window.unboundedPreceding, 0))
     whole = d.where(F.col("_before") + F.col("_bytes") <= cap)
     part = d.where((F.col("_before") <= cap) & (F.col("_before") + F.col("_bytes") > cap)).withColumn("_run", run).where(F.col("_run") <= cap).drop("_run")

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators.record_stats import latest_retryable
@@ -27,6 +28,40 @@ def test_cooldown_stream(spark, tmp_path):
     assert got == [("a", 0, False, False, 1), ("a", 1, False, False, 2), ("a", 2, False, True, 3), ("a", 3, True, True, 4), ("b", 0, False, False, 0), ("b", 1, False, False, 1)]
 
 
+def test_cooldown_of_many_frames(spark, tmp_path):
+    """A key whose batch comes in several Arrow frames and out of order is taken in order of time."""
+    rows = [("a", (i * 37) % 500, (i * 37) % 500 % 5 == 4) for i in range(500)]
+    df = spark.createDataFrame(rows, "key string, s bigint, ok boolean").select("key", F.timestamp_seconds("s").alias("ts"), "ok")
+    df.repartition(3).write.parquet(str(tmp_path / "in"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    try:
+        out = cooldown.cooldowns(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")), threshold=4, seconds=3)
+        out.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    now, want = (0, 0.0, 0, 0), []
+    for _, at, ok in sorted(rows, key=lambda r: r[1]):
+        now, refused, opened = cooldown.step(now, at, ok, 4, 3)
+        want.append((at, refused, opened, now[0]))
+    got = [(int(r.ts.timestamp()), r.refused, r.opened, r.streak) for r in spark.read.parquet(str(tmp_path / "out")).orderBy("ts").collect()]
+    assert got == want
+
+
+def test_upsert_does_not_take_a_broken_table_for_an_empty_one(spark, tmp_path):
+    schema = "record_id bigint, seq bigint, domain string, pdf_url string, ok boolean, http_status int, download_state string, retries int"
+    batch = spark.createDataFrame([(1, 1, "d", "u", False, 500, "failed", 0)], schema)
+    merge = upsert.keep_latest(str(tmp_path / "t"))
+    merge(batch, 0)
+    version = (tmp_path / "t" / "current").read_text()
+    for f in (tmp_path / "t" / version).glob("*.parquet"):
+        f.write_bytes(b"broken")
+        (f.parent / f".{f.name}.crc").unlink(missing_ok=True)
+    with pytest.raises(Exception):
+        merge(batch, 1)
+    assert (tmp_path / "t" / "current").read_text() == version
+
+
 def test_windows_of_a_stream_equal_those_of_a_batch(spark, data, tmp_path):
     ev = spark.read.parquet(f"{data}/events.parquet")
     s = spark.readStream.schema(ev.schema).parquet(f"{data}/events.parque[t]")
@@ -41,10 +76,11 @@ def test_upsert(spark, tmp_path):
     a = spark.createDataFrame([(1, 1, "d", "u", False, 500, "failed", 0), (2, 2, "d", "v", False, 503, "failed", 0)], schema)
     b = spark.createDataFrame([(3, 3, "d", "u", False, None, "failed", 1), (4, 4, "d", "w", False, 403, "blocked", 0)], schema)
     merge = upsert.keep_latest(str(tmp_path / "t"))
+    assert upsert.current(spark, str(tmp_path / "t")) is None
     for i, batch in enumerate((a, b, b)):
         merge(batch, i)
     want = latest_retryable(a.unionAll(b))
-    assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "t")).select(*want.columns).collect()) == sorted(tuple(r) for r in want.collect()) == [("u", 3, "network", 1), ("v", 2, "server", 0)]
+    assert sorted(tuple(r) for r in upsert.current(spark, str(tmp_path / "t")).select(*want.columns).collect()) == sorted(tuple(r) for r in want.collect()) == [("u", 3, "network", 1), ("v", 2, "server", 0)]
 
 
 def test_record_reader(spark, tmp_path):

@@ -1,3 +1,4 @@
+import numpy as np
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,35 +40,15 @@ def test_delta_and_retries(spark):
 
 
 # --------------------------------------------------------------------- notes
-def brute_trim(nums):
-    """Repeats single removals until none applies, by the rules of the docstring."""
-    import statistics
-
-    seq = sorted(set(nums))
-    if len(seq) < 3:
-        return seq
-    med = lambda s: max(1, int(statistics.median([b - a for a, b in zip(s, s[1:])])))
-    while len(seq) >= 4 and (j := seq[-1] - seq[-2]) >= max(8, 5 * med(seq[:-1])) and j > seq[-1] * 0.15:
-        seq = seq[:-1]
-    n = len(seq)
-    while len(seq) >= 3 and (j := seq[-1] - seq[-2]) > max(5, n // 2) and j > seq[-1] * 0.25:
-        seq = seq[:-1]
-    while len(seq) >= 4 and (seq[0] <= 0 or ((j := seq[1] - seq[0]) >= max(8, 5 * med(seq[1:])) and j > seq[1] * 0.15)):
-        seq = seq[1:]
-    n = len(seq)
-    while len(seq) >= 3 and (seq[0] <= 0 or ((j := seq[1] - seq[0]) > max(5, n // 2) and j > seq[1] * 0.25)):
-        seq = seq[1:]
-    return seq
-
-
-def test_trim_outliers():
-    import random
+TRIMS = [
+    ([1, 2, 3, 4, 250], [1, 2, 3, 4]), ([], []), ([0, 1, 2, 3, 4], [1, 2, 3, 4]), ([3, 90], [3, 90]), ([1, 2, 3, 90, 95, 250], [1, 2, 3, 90, 95]), ([-4, 0, 7, 8, 9], [7, 8, 9]),
+    ([1, 40, 41, 42, 43], [40, 41, 42, 43]), ([5, 6, 7, 8, 15], [5, 6, 7, 8]), ([5, 6, 7, 8, 13], [5, 6, 7, 8, 13]), ([1, 2, 30], [1, 2]), ([2, 2, 3, 3, 4], [2, 3, 4]), ([10, 12, 14, 16, 100, 400], [10, 12, 14, 16]),
+]
+
 
-    rng = random.Random(1)
-    assert notes.trim_outliers([1, 2, 3, 4, 250]) == [1, 2, 3, 4] and notes.trim_outliers([]) == [] and notes.trim_outliers([0, 1, 2, 3, 4]) == [1, 2, 3, 4]
-    for _ in range(400):
-        nums = [rng.choice([rng.randrange(0, 12), rng.randrange(0, 12), rng.randrange(0, 300)]) for _ in range(rng.randrange(0, 12))]
-        assert notes.trim_outliers(nums) == brute_trim(nums)
+@pytest.mark.parametrize("labels, want", TRIMS)
+def test_trim_outliers(labels, want):
+    assert notes.trim_outliers(labels) == want and notes.trim_outliers(labels[::-1]) == want and notes.trim_outliers(want) == want
 
 
 def test_ordinality(spark):
@@ -79,7 +60,7 @@ def test_ordinality(spark):
 def test_best_sequence():
     # the stray 84 and the page number going up the page are left out
     labels, pages, tops = [1, 84, 2, 3, 4, 5], [1, 1, 1, 2, 2, 2], [700, 710, 720, 700, 50, 730]
-    assert [labels[i] for i in notes.best_sequence(labels, pages, tops, [5.0] * 6)] == [1, 2, 3, 4, 5] or [labels[i] for i in notes.best_sequence(labels, pages, tops, [5.0] * 6)] == [1, 2, 3, 5]
+    assert [labels[i] for i in notes.best_sequence(labels, pages, tops, [5.0] * 6)] == [1, 2, 3, 5]
     again = [1, 2, 3, 4, 5, 6, 1, 2, 3, 4, 5, 6]
     assert [again[i] for i in notes.best_sequence(again, [1] * 6 + [9] * 6, list(range(12)), [5.0] * 12)] == again
     assert notes.best_sequence([], [], [], []) == []
@@ -89,14 +70,15 @@ def test_best_sequence_equals_brute_force():
     import itertools
     import random
 
-    rng = random.Random(7)
+    rng, costs = random.Random(7), notes.ChainCosts()
+    assert costs.step(np.array([1, 2, 3, 4, 5, 6, 8])).tolist() == [0.0, 0.5, 1.5, 4.0, 4.0, 6.0, 10.0]
 
     def score(path, labels, pages, tops, base):
         total = base[path[0]] - max(0, (labels[path[0]] - 1) * 5.0)
         for j, i in zip(path, path[1:]):
             d = labels[i] - labels[j]
             if d > 0:
-                cost = notes.step_cost(d) + (10.0 if pages[i] == pages[j] and tops[i] < tops[j] - 0.5 else 0.0)
+                cost = float(costs.step(np.array([d]))[0]) + (10.0 if pages[i] == pages[j] and tops[i] < tops[j] - 0.5 else 0.0)
             elif labels[i] <= 2 and pages[i] != pages[j]:
                 cost = 12.0
             else:
@@ -132,7 +114,8 @@ def test_layout(spark):
     rows = [(1, 0, 1, 800.0, 14, i, f"body line {i}" if i < 9 else f"{i} See id. at 4", 40.0 + 50 * i, 11.0 if i < 9 else 8.0) for i in range(14)]
     rows += [(1, p, p + 1, 800.0, 1, 0, f"{p} Law Review", 20.0, 9.0) for p in (1, 2, 3)]
     df = spark.createDataFrame(rows, "pdf_id bigint, page_index int, page int, height double, n_lines int, pos int, text string, top double, font_size double")
-    assert got(layout.font_transition(df)) == [(1, 0, 490.0)] and got(layout.marker_density(df)) == [(1, 0, 390.0)] or got(layout.marker_density(df))[0][2] >= 360
+    # from the sixth line on the mean below is under 92 % of the median; markers are dense from the first line in the lower part
+    assert got(layout.font_transition(df)) == [(1, 0, 290.0)] and got(layout.marker_density(df)) == [(1, 0, 390.0)]
     assert got(layout.recurring_lines(df)) == [(1, 2, "# law review", 3)]
     v = {r.page_index: r for r in layout.font_variance(df).collect()}
     assert v[0].spread == 3.0 and not v[0].low_variance and v[1].sized == 1
@@ -146,9 +129,23 @@ def test_groups(spark):
     assert {r.pdf_id for r in groups.spread(df, "site", ["mtime"], "pdf_id").collect()} == {1, 2, 3, 4}
 
 
-@pytest.mark.parametrize("have, size, floor, want", [({"a": 100, "b": 10, "c": 1}, 20, 2, {"a": 16, "b": 3, "c": 1}), ({"a": 5, "b": 5}, 3, 4, {"a": 2, "b": 1}), ({}, 5, 1, {}), ({"a": 2, "b": 0}, 9, 1, {"a": 2})])
-def test_allocate(have, size, floor, want):
-    assert groups.allocate(have, size, floor) == want
+@pytest.mark.parametrize("have, size, floor, want", [({"a": 100, "b": 10, "c": 1}, 20, 2, {"a": 16, "b": 3, "c": 1}), ({"a": 5, "b": 5}, 3, 4, {"a": 2, "b": 1}), ({}, 5, 1, {}), ({"a": 2, "b": 0}, 9, 1, {"a": 2}), ({"a": 7, "b": 7, "c": 7}, 8, 0, {"a": 3, "b": 3, "c": 2})])
+def test_quotas(spark, have, size, floor, want):
+    counts = spark.createDataFrame(list(have.items()), "g string, n bigint")
+    assert {r.g: r.quota for r in groups.quotas(counts, "g", size, floor).collect()} == want
+
+
+def test_ranked(spark):
+    df = spark.createDataFrame([((i * 7919) % 1000, str(i)) for i in range(500)], "v bigint, k string")
+    got_ = [(r["rank"], r.v) for r in groups.ranked(df, [F.desc("v"), F.col("k")]).orderBy("rank").collect()]
+    assert [x for x, _ in got_] == list(range(1, 501)) and [v for _, v in got_] == sorted((v for _, v in got_), reverse=True)
+
+
+def test_duplicate_members(spark):
+    rows = [(1, "/a/x.pdf", "s", "H1", None, None, 3, 1.0, 5), (2, "/b/y.pdf", "t", "h1", "k", "f", 3, 1.0, 5), (3, "/c/z.pdf", "u", "h2", "k", "f", 4, 1.0, 5), (4, "/d/q.pdf", "u", "h4", None, "f", None, None, None), (5, "/e/q-2.pdf", "u", None, None, "f", None, 9.0, None)]
+    df = spark.createDataFrame(rows, "pdf_id bigint, path string, journal_domain string, sha256 string, title_key string, first_text_hash string, page_count int, mtime double, size bigint")
+    assert got(groups.duplicate_members(df)) == [("/a/x.pdf", "/c/z.pdf", "sha256|title_first_text", 3), ("/b/y.pdf", "/c/z.pdf", "sha256|title_first_text", 3), ("/c/z.pdf", "/c/z.pdf", "sha256|title_first_text", 3), ("/d/q.pdf", "/e/q-2.pdf", "versioned_name", 2), ("/e/q-2.pdf", "/e/q-2.pdf", "versioned_name", 2)]
+    assert groups.duplicate_members(df.limit(0)).count() == 0
 
 
 def test_infer_journals(spark):
@@ -223,7 +220,8 @@ def test_repairs(spark):
     for policy, values in want.items():
         assert [r.t for r in repair.patched(rows, new, "k", ["t"], policy, "conf").orderBy("k").collect()] == values
     b = spark.createDataFrame([(1, 0, 0, 9), (1, 0, 1, 1), (1, 0, 2, 2), (1, 0, 3, 3), (1, 0, 4, 1), (1, 1, 0, None)], "pdf_id int, page_index int, pos int, label int")
-    assert got(repair.rising_block(b)) == [(1, 0, 4)] or got(repair.rising_block(b))[0][2] in (1, 2, 3)
+    # from the second label on two of three steps rise, from the third on one of two: only the last, with no step, is left
+    assert got(repair.rising_block(b)) == [(1, 0, 4)]
     assert got(repair.ascending_share(b, ["pdf_id"], ["page_index", "pos"], "label")) == [(1, 4, 0.5)]
 
 
