@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import records as R
 from corpusloom.functions import urls as U
 from corpusloom.functions.text import first_number
+from corpusloom.session import stage
 
 
 def placed(runs: DataFrame) -> DataFrame:
@@ -94,13 +95,27 @@ def failure_streaks(runs: DataFrame) -> DataFrame:
 
 
 def journal_summary(runs: DataFrame) -> DataFrame:
-    """Records, articles and the span of dates of every domain."""
-    r = runs.select(U.host(F.col("domain")).alias("domain"), "ok", R.article_key(F.col("metadata"), F.col("pdf_url"), F.col("page_url")).alias("k"), F.array(R.partial_date(F.col("metadata.date")), R.partial_date(F.col("metadata.year"))).alias("dates"))
-    dated = F.exists("dates", lambda x: x.isNotNull())
-    base = r.groupBy("domain").agg(F.count("*").alias("records"), F.sum(F.coalesce("ok", F.lit(False)).cast("int")).alias("downloaded"), F.countDistinct("k").alias("articles"), F.countDistinct(F.when(dated, F.col("k"))).alias("articles_with_date"))
-    each = r.select("domain", F.explode("dates").alias("x")).where("x is not null")
-    span = each.groupBy("domain").agg(F.min_by("x.normalized", F.struct("x.start", "x.normalized")).alias("earliest"), F.max_by("x.normalized", F.struct("x.end", "x.normalized")).alias("latest"))
-    return base.join(span, "domain", "left")
+    """Records, articles and the span of dates of every domain.
+
+    Every distinct spelling of a date is read once; records are gathered by
+    article before they are counted by domain.
+    """
+    m = F.col("metadata")
+    r = runs.select(U.host(F.col("domain")).alias("domain"), F.coalesce("ok", F.lit(False)).cast("int").alias("ok"), R.article_key(m, F.col("pdf_url"), F.col("page_url")).alias("k"), m["date"].alias("date"), m["year"].alias("year"))
+    told = r.select(F.explode(F.array("date", "year")).alias("v")).where("v is not null").distinct()
+    # staged, or the reading of dates would be moved behind the join
+    told = stage(told.withColumn("d", R.partial_date(F.col("v"))).where("d is not null"), "dates")
+    one = lambda c: told.select(F.col("v").alias(c), F.col("d").alias(f"{c}_d"))
+    both = F.filter(F.array("date_d", "year_d"), lambda x: x.isNotNull())
+    r = r.join(one("date"), "date", "left").join(one("year"), "year", "left")
+    low = F.array_min(F.transform(both, lambda x: F.struct(x["start"].alias("at"), x["normalized"].alias("normalized"))))
+    high = F.array_max(F.transform(both, lambda x: F.struct(x["end"].alias("at"), x["normalized"].alias("normalized"))))
+    a = r.groupBy("domain", "k").agg(F.count("*").alias("n"), F.sum("ok").alias("ok"), F.min(low).alias("low"), F.max(high).alias("high"))
+    known = F.col("k").isNotNull()
+    return a.groupBy("domain").agg(
+        F.sum("n").alias("records"), F.sum("ok").alias("downloaded"), F.count("k").alias("articles"), F.count(F.when(known & F.col("low").isNotNull(), 1)).alias("articles_with_date"),
+        F.min("low")["normalized"].alias("earliest"), F.max("high")["normalized"].alias("latest"),
+    )
 
 
 def export_grains(runs: DataFrame) -> DataFrame:
