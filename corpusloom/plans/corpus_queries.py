@@ -274,10 +274,12 @@ _L = "p AS (SELECT pdf_id, unnest(pages) AS p, generate_subscripts(pages, 1) - 1
 _PB = "pb AS (SELECT pdf_id, extractor_version, number, min(page_start) AS first_page, max(greatest(page_start, coalesce(page_end, page_start))) AS last_page FROM n WHERE number IS NOT NULL AND coalesce(page_start, 0) > 0 GROUP BY ALL)"
 _LIKE, _LEGAL = (p.replace("'", "''") for p in (N.NOTE_LIKE, N.LEGAL_SIGNAL))
 _CUT = f"""k AS (SELECT *, CAST(coalesce(regexp_matches(text, '{_LIKE}'), false) AS INT) AS lk, CAST(coalesce(regexp_matches(text, '{_LEGAL}'), false) AS INT) AS lg, row_number() OVER (PARTITION BY pdf_id, page_index ORDER BY top, pos) AS rn FROM l WHERE height > 0)"""
-_SEG = (r"""t AS (SELECT pdf_id, unnest(pages) AS p, generate_subscripts(pages, 1) - 1 AS page_index FROM extracted_docs),
+#: Note lines in reading order, spaces collapsed.
+_V = r"""t AS (SELECT pdf_id, unnest(pages) AS p, generate_subscripts(pages, 1) - 1 AS page_index FROM extracted_docs),
   u AS (SELECT pdf_id, page_index, p.page_number AS page, unnest(p.note_lines) AS l, generate_subscripts(p.note_lines, 1) - 1 AS line FROM t),
-  v AS (SELECT pdf_id, page_index, line, page, trim(regexp_replace(l.text, '[\s\x{00A0}]+', ' ', 'g')) AS text FROM u),
-  m AS (SELECT *, CASE WHEN NOT regexp_matches(regexp_extract(text, '^([0-9]{1,4})[\]).,:;-]?\s+(\S.*)$', 2), '""" + N.FRAGMENT + r"""') THEN TRY_CAST(nullif(regexp_extract(text, '^([0-9]{1,4})[\]).,:;-]?\s+\S', 1), '') AS INT) END AS n FROM v WHERE text <> ''),
+  v AS (SELECT pdf_id, page_index, line, page, trim(regexp_replace(l.text, '[\s\x{00A0}]+', ' ', 'g')) AS text FROM u)"""
+#: From lines ``v`` the notes ``s``: the best chain of labels, found as a longest path.
+_CHAIN = (r"""m AS (SELECT *, CASE WHEN NOT regexp_matches(regexp_extract(text, '^([0-9]{1,4})[\]).,:;-]?\s+(\S.*)$', 2), '""" + N.FRAGMENT + r"""') THEN TRY_CAST(nullif(regexp_extract(text, '^([0-9]{1,4})[\]).,:;-]?\s+\S', 1), '') AS INT) END AS n FROM v WHERE text <> ''),
   lb AS (SELECT pdf_id, page_index, line, n, row_number() OVER (PARTITION BY pdf_id ORDER BY page_index, line) AS k FROM m WHERE n IS NOT NULL),
   ls AS (SELECT pdf_id, list(n ORDER BY k) AS ns FROM lb GROUP BY 1),
   dp AS (SELECT pdf_id, ns, 0 AS k, CAST([] AS DOUBLE[]) AS tot, CAST([] AS BIGINT[]) AS par FROM ls
@@ -288,6 +290,7 @@ _SEG = (r"""t AS (SELECT pdf_id, unnest(pages) AS p, generate_subscripts(pages,
   o AS (SELECT m.*, CAST(pt.k IS NOT NULL AS INT) AS opens FROM m LEFT JOIN lb USING (pdf_id, page_index, line) LEFT JOIN pt ON pt.pdf_id = m.pdf_id AND pt.k = lb.k),
   g AS (SELECT *, sum(opens) OVER (PARTITION BY pdf_id ORDER BY page_index, line ROWS UNBOUNDED PRECEDING) AS note_no FROM o),
   s AS (SELECT pdf_id, CAST(note_no AS BIGINT) AS note_no, max(CASE WHEN opens = 1 THEN n END) AS label, min(page) AS page_start, max(page) AS page_end, regexp_replace(replace(regexp_replace(string_agg(CASE WHEN opens = 1 THEN regexp_replace(text, '^[0-9]{1,4}[\]).,:;-]?\s+', '') ELSE text END, ' ' ORDER BY page_index, line), '([A-Za-z0-9_])- ([a-z])', '\1' || chr(57344) || '\2', 'g'), chr(57344), ''), '^ +', '') AS text FROM g WHERE note_no > 0 GROUP BY pdf_id, note_no)""")
+_SEG = f"{_V}, {_CHAIN}"
 _GOLD = "gold AS (SELECT pdf_id, number AS label, idx AS seq, text FROM n WHERE extractor_version = '3.1' AND number IS NOT NULL), pred AS (SELECT pdf_id, label, note_no AS seq, text FROM s)"
 _MS = "c AS (SELECT pdf_id, label, sum(g) AS g, sum(p) AS p FROM (SELECT pdf_id, label, 1 AS g, 0 AS p FROM gold UNION ALL SELECT pdf_id, label, 0, 1 FROM pred) GROUP BY ALL), q AS (SELECT pdf_id, sum(least(g, p)) AS tp, sum(greatest(p - g, 0)) AS fp, sum(greatest(g - p, 0)) AS fn FROM c GROUP BY 1)"
 _ORD = "a1 AS (SELECT pdf_id, row_number() OVER (PARTITION BY pdf_id ORDER BY seq) AS i, label AS a FROM gold), b1 AS (SELECT pdf_id, row_number() OVER (PARTITION BY pdf_id ORDER BY seq) AS i, label AS b FROM pred), j AS (SELECT pdf_id, min(coalesce(CAST(a = b AS INT), 0)) AS same FROM a1 FULL OUTER JOIN b1 USING (pdf_id, i) GROUP BY 1)"
