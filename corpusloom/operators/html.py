@@ -12,7 +12,7 @@ from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
@@ -148,3 +148,28 @@ def sitemap_locations(content: Column) -> Column:
     c = F.coalesce(content, F.lit(""))
     found = F.filter(F.transform(F.regexp_extract_all(c, F.lit(r"<loc>\s*([^<]*?)\s*</loc>"), F.lit(1)), lambda u: F.replace(u, F.lit("&amp;"), F.lit("&"))), lambda u: u != "")
     return F.struct(c.contains("<sitemapindex").alias("is_index"), found.alias("locations"))
+
+
+#: What leads to a journal's archive, in an address or the text of a link.
+ARCHIVE = r"archive|all[-_ ]?issues|past[-_ ]?issues|back[-_ ]?issues|volumes|/issue"
+
+
+def archive_candidates(pages: DataFrame) -> DataFrame:
+    """(url, link, place): links of a page to archives on its own host, each once, in the order of the page."""
+    l = pages.select("url", F.posexplode(links("html", "url")).alias("at", "l"))  # noqa: E741
+    own = U.host(F.col("l.url")) == U.host(F.col("url"))
+    l = l.where(own & (F.lower("l.url").rlike(ARCHIVE) | F.lower("l.anchor").rlike(ARCHIVE)))  # noqa: E741
+    return l.select("url", F.col("l.url").alias("link"), (F.row_number().over(Window.partitionBy("url").orderBy("at"))).alias("place"))
+
+
+def page_addresses(maps: DataFrame) -> DataFrame:
+    """(host, address): pages that the sitemaps (host, content) of a host name on that host, sorted out and each once; indexes name none."""
+    s = maps.select("host", sitemap_locations(F.col("content")).alias("s")).where("not s.is_index").select("host", F.explode("s.locations").alias("address"))
+    return s.where((U.host(F.col("address")) == F.col("host")) & ~F.lower("address").rlike(r"\.(?:css|js|png|jpe?g|gif|svg|ico)$")).distinct()
+
+
+def resolved_platform(page: Column, url: Column, listed: Column) -> Column:
+    """The platform of a site by what its page shows, then by its address, then as it is listed, else ``unknown``."""
+    seen = platform(page)
+    by_address = F.when(url.rlike(r"viewcontent\.cgi|/cgi/"), "digital_commons").when(url.rlike(r"/index\.php/"), "ojs").when(url.rlike("wp-content"), "wordpress")
+    return F.coalesce(F.nullif(seen, F.lit("unknown")), by_address, F.nullif(F.trim(listed), F.lit("")), F.lit("unknown"))

@@ -47,28 +47,28 @@ def registry(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in columns])
 
 
-def seeds(spark: SparkSession, folder: str) -> DataFrame:
+def seeds(spark: SparkSession, folder: str, pattern: str = "*.json") -> DataFrame:
     """(file, seed_url, status): one row for every start address of every seed file, ranges expanded."""
     from corpusloom.functions.urls import expanded_ranges
 
     schema = "id string, start_urls array<string>, metadata struct<url: string, journal_name: string, platform: string, status: string>"
-    df = spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).json(folder)
+    df = spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", pattern).option("recursiveFileLookup", True).json(folder)
     one = df.select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"), F.coalesce("metadata.status", F.lit("active")).alias("status"), F.explode("start_urls").alias("u"))
     return one.select("file", "status", F.explode(expanded_ranges(F.trim("u"))).alias("seed_url")).where("seed_url <> ''")
 
 
-def sidecars(spark: SparkSession, folder: str) -> DataFrame:
+def sidecars(spark: SparkSession, folder: str, pattern: str = "*.json") -> DataFrame:
     """(file, body): whole JSON documents as variants, NULL where they cannot be read."""
-    df = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).text(folder)
+    df = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).option("recursiveFileLookup", True).text(folder)
     return df.select(F.col("_metadata.file_path").alias("file"), F.try_parse_json("value").alias("body"))
 
 
-def line_sidecars(spark: SparkSession, folder: str) -> DataFrame:
+def line_sidecars(spark: SparkSession, folder: str, pattern: str = "*.jsonl") -> DataFrame:
     """(file, meta, notes): sidecars of lines, one of type ``metadata`` and one for each note, folded to a row.
 
     A file without metadata has NULL for it.
     """
-    df = spark.read.option("pathGlobFilter", "*.jsonl").option("recursiveFileLookup", True).text(folder).withColumn("file", F.col("_metadata.file_path"))
+    df = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True).text(folder).withColumn("file", F.col("_metadata.file_path"))
     kind, label = F.get_json_object("value", "$.type"), F.get_json_object("value", "$.ordinal").try_cast("int")
     rows = df.select("file", "value", kind.alias("kind"), label.alias("n"))
     notes = F.sort_array(F.collect_list(F.when(F.col("kind") == "footnote", F.struct("n", "value"))))
