@@ -25,6 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -177,7 +178,8 @@ def encode_corpus(documents: DataFrame, path: str = TOKENIZER, bits: int = CHUNK
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids = encoder(path).ids
-        seen: Counter = Counter()
+        # rows of the same id and text are told apart by their task and their number in it
+        task, seen = TaskContext.get().partitionId() << 40, Counter()
         for frame in frames:
             whole, parts, copy = [], [], []
             for doc_id, tk, text, mark in zip(frame["doc_id"], frame["tk"], frame["text"], frame["marks"]):
@@ -196,7 +198,7 @@ def encode_corpus(documents: DataFrame, path: str = TOKENIZER, bits: int = CHUNK
                 out.append({"h1": None, "h2": None, "ids": ids(text[at:])})
                 whole.append(None)
                 parts.append(out)
-                copy.append(seen[(doc_id, tk)])
+                copy.append(task + seen[(doc_id, tk)])
                 seen[(doc_id, tk)] += 1
             yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "tk": frame["tk"], "copy": copy, "ids": whole, "parts": parts})
 
@@ -214,7 +216,7 @@ def encode_corpus(documents: DataFrame, path: str = TOKENIZER, bits: int = CHUNK
 
     owners = marked.where(F.exists("marks", lambda m: m["own"]))
     cores = owners.mapInPandas(lend, "h1 bigint, h2 bigint, core array<int>").dropDuplicates(["h1", "h2"])
-    done = marked.mapInPandas(encode, "doc_id bigint, tk bigint, copy int, ids array<int>, parts array<struct<h1: bigint, h2: bigint, ids: array<int>>>")
+    done = marked.mapInPandas(encode, "doc_id bigint, tk bigint, copy bigint, ids array<int>, parts array<struct<h1: bigint, h2: bigint, ids: array<int>>>")
     done = stage(done, "encoded")
     open_parts = done.where("parts is not null").select("doc_id", "tk", "copy", F.posexplode("parts").alias("pos", "part"))
     open_parts = open_parts.select("doc_id", "tk", "copy", "pos", F.col("part.h1").alias("h1"), F.col("part.h2").alias("h2"), F.col("part.ids").alias("ids"))

@@ -92,12 +92,26 @@ def set_targets(share: np.ndarray, available: np.ndarray, size: int, floor: int)
     return whole
 
 
+def shortfalls(family: list, have: np.ndarray, size: int, floor: int) -> np.ndarray:
+    """By how much each row misses its own floor and share where the calibration has taken all that exists.
+
+    The rows are calibrated to what they ask for, not to what can be had: the
+    tilt of one that asks for more than exists ends at probability 1, and what
+    its probabilities then sum to falls short.
+    """
+    want = np.array([max(float(floor), float((f.target_share or 0) * size)) for f in family])
+    p, _ = newton_tilt(np.full(len(have), max(size, 1) / max(have.sum(), 1)), have, want)
+    gap = want - have * p
+    return np.where(gap > 4e-9 * np.maximum(1, want), gap, 0.0)
+
+
 def calibrate(stats: DataFrame, configs: DataFrame, targets: DataFrame) -> DataFrame:
     """Report, one row per plan and row of its targets.
 
     config_id, platform_family, target_share, sample_size, floor_per_family,
-    seed, available, target (share x size), planned, probability, reason:
-    ``below_floor`` / ``below_target`` where fewer units exist than wanted,
+    seed, available, target (share x size), planned, probability, gap (see
+    ``shortfalls``), reason: ``below_floor`` / ``below_target`` where the
+    calibration leaves a gap,
     ``raised`` / ``lowered`` where others' floors or gaps moved the plan, else
     ``met``. Spellings of one family are calibrated as one with the sum of their
     shares: available, planned and probability are the family's in each of its
@@ -130,12 +144,14 @@ def calibrate(stats: DataFrame, configs: DataFrame, targets: DataFrame) -> DataF
         planned = set_targets(share, have, size, floor)
         p, _ = newton_tilt(np.full(len(have), max(size, 1) / max(have.sum(), 1)), have, planned)
         of = {k: (int(h), int(n), float(q)) for k, h, n, q in zip(keys, have, planned, p)}
-        for f in sorted(family, key=lambda r: (r.fam or "", r.platform_family or "")):
+        family = sorted(family, key=lambda r: (r.fam or "", r.platform_family or ""))
+        gaps = shortfalls(family, np.array([of.get(f.fam, (0,))[0] for f in family], dtype=float), size, floor)
+        for f, gap in zip(family, gaps):
             h, n, q = of.get(f.fam, (0, 0, 0.0))
             target, whole = (f.target_share or 0) * size, merged.get(f.fam, 0) * size
-            reason = "below_floor" if h < floor else "below_target" if h < target else "raised" if n >= whole + 1 else "lowered" if n <= whole - 1 else "met"
-            rows.append((config_id, f.platform_family, f.fam, float(f.target_share or 0), size, floor, int(plan.seed or 0), h, float(target), n, q, reason))
-    schema = "config_id int, platform_family string, fam string, target_share double, sample_size int, floor_per_family int, seed bigint, available bigint, target double, planned int, probability double, reason string"
+            reason = ("below_floor" if h < floor else "below_target") if gap > 0 else "raised" if n >= whole + 1 else "lowered" if n <= whole - 1 else "met"
+            rows.append((config_id, f.platform_family, f.fam, float(f.target_share or 0), size, floor, int(plan.seed or 0), h, float(target), n, q, float(gap), reason))
+    schema = "config_id int, platform_family string, fam string, target_share double, sample_size int, floor_per_family int, seed bigint, available bigint, target double, planned int, probability double, gap double, reason string"
     return spark.createDataFrame(rows, schema)
 
 

@@ -61,14 +61,14 @@ def g_statistic(k1, n1, k2, n2) -> Column:
     return F.when(k1 / n1 >= k2 / n2, g).otherwise(-g)
 
 
-def fdr_threshold(tested: DataFrame, level: float) -> float:
-    """Smallest statistic that Benjamini and Hochberg accept, from a histogram.
+def fdr_threshold(tested: DataFrame, level: float, tests: int) -> float:
+    """Smallest statistic that Benjamini and Hochberg accept among ``tests``, from a histogram of those that may be accepted.
 
     Bins are 0.05 wide up to 400, whatever the number of tests; a bin is taken
     by its lower edge, which errs to the side of not finding.
     """
     bins = tested.groupBy(F.least(F.floor(F.greatest("g", F.lit(0.0)) * 20), F.lit(8000)).alias("b")).count().collect()
-    m, seen, best = sum(r[1] for r in bins), 0, math.inf
+    m, seen, best = max(tests, 1), 0, math.inf
     for b, n in sorted(((int(r[0]), r[1]) for r in bins), reverse=True):
         seen += n
         # one-sided tail of the chi-square distribution with one degree of freedom
@@ -81,12 +81,17 @@ def repeated(docs: DataFrame, share: float = LEAST_SHARE, documents: int = LEAST
     """(site, k1, k2, df, n_docs, g, significant, frequent).
 
     ``significant``: more frequent in the site than outside, at the given false
-    discovery rate; ``frequent``: in at least ``documents`` documents and in
+    discovery rate over all lines of all sites. Sites that repeat a line
+    themselves are no background for it; what is left counts as at least as many
+    documents as the site has, in which the line does not stand, so that a site
+    without others around is held against one of its own size. ``frequent``: in at least ``documents`` documents and in
     ``share`` of the site's documents.
     """
     n_docs = docs.select("pdf_id", site_of(F.col("pdf_path")).alias("site")).where("site is not null").groupBy("site").agg(F.countDistinct("pdf_id").alias("n_docs"))
     per_doc = keyed(docs, least).groupBy("k1", "k2", "site", "pdf_id").agg(F.lit(1).alias("one"))
-    df = per_doc.groupBy("k1", "k2", "site").agg(F.count("*").alias("df"))
+    df = stage(per_doc.groupBy("k1", "k2", "site").agg(F.count("*").alias("df")), "site-lines")
+    # every line of every site is a test, also those too rare to be found
+    tests = df.count()
     df = df.join(n_docs, "site").withColumn("frequent", (F.col("df") >= documents) & (F.col("df") >= share * F.col("n_docs") - 1e-9))
     # a line's row per site: the background adds up over sites, of which there are few
     out = df.groupBy("k1", "k2").agg(
@@ -100,7 +105,7 @@ def repeated(docs: DataFrame, share: float = LEAST_SHARE, documents: int = LEAST
     k2 = F.col("k_calm") - inside("df")
     n2 = F.greatest(F.col("n_all") - F.col("n_loud") - inside("n_docs"), F.col("n_docs"), k2)
     df = stage(df.withColumn("g", g_statistic(F.col("df").cast("double"), F.col("n_docs").cast("double"), k2.cast("double"), n2.cast("double"))), "excess")
-    return df.select("site", "k1", "k2", "df", "n_docs", "g", (F.col("g") >= F.lit(fdr_threshold(df, level))).alias("significant"), "frequent")
+    return df.select("site", "k1", "k2", "df", "n_docs", "g", (F.col("g") >= F.lit(fdr_threshold(df, level, tests))).alias("significant"), "frequent")
 
 
 def found_lines(docs: DataFrame, excess: DataFrame, least: int = LEAST_LETTERS) -> DataFrame:

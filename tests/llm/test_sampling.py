@@ -73,3 +73,20 @@ def test_every_row_of_the_targets_is_reported(spark, tmp_path):
     assert {r.platform_family for r in queries.p1_found(spark, str(tmp_path)).collect()} == {None, "--"}
     assert report["ojs"].planned == report["ojs"].drawn == report["O.J.S."].drawn and report["ojs"].planned + report["drupal"].planned == 50 and report[None].drawn == 0
     assert queries.p1_sample(spark, str(tmp_path)).count() == 50
+
+
+def test_shortfalls_are_what_the_definition_says():
+    """The calibration leaves a gap exactly where fewer exist than the floor or the share."""
+    import random
+    from collections import namedtuple
+    from decimal import Decimal
+
+    import numpy as np
+
+    row, rng = namedtuple("row", "target_share"), random.Random(3)
+    for _ in range(200):
+        size, floor = rng.choice([0, 10, 100, 4000]), rng.choice([0, 3, 25])
+        family = [row(Decimal(rng.randrange(0, 1001)) / 1000) for _ in range(6)]
+        have = np.array([rng.choice([0, 1, 3, 25, 40, 400, 4000]) for _ in family], dtype=float)
+        gaps = S.shortfalls(family, have, size, floor)
+        assert [g > 0 for g in gaps] == [h < floor or Decimal(int(h)) < f.target_share * size for f, h in zip(family, have)]
