@@ -82,9 +82,9 @@ def years(text: Column) -> Column:
     return F.array_sort(F.array_distinct(_all(text, YEAR)))
 
 
-def citations(text: Column, limit: int = 200) -> Column:
-    """Statutes, cases and law reviews, distinct, at most ``limit`` (the size of the field)."""
-    return F.slice(F.array_distinct(F.transform(F.concat(_all(text, STATUTE), _all(text, CASE), _all(text, SECONDARY)), collapse)), 1, limit)
+def citations(text: Column) -> Column:
+    """Statutes, cases and law reviews, distinct."""
+    return F.array_distinct(F.transform(F.concat(_all(text, STATUTE), _all(text, CASE), _all(text, SECONDARY)), collapse))
 
 
 def unified(text: Column) -> Column:
@@ -110,12 +110,12 @@ def sentences(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), r"(?<=[.!?])\s+"), lambda s: F.trim(s) != "")
 
 
-def section_headers(text: Column, limit: int = 40) -> Column:
-    """Lines of at most 120 characters and 16 words that are capitals or headings, distinct, at most ``limit`` (the size of the field)."""
+def section_headers(text: Column) -> Column:
+    """Lines of at most 120 characters and 16 words that are capitals or headings, distinct."""
     lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.trim(x))
     words = lambda s: F.size(F.split(s, r"\s+"))
     head = lambda s: (F.length(s) > 0) & (F.length(s) <= 120) & (words(s) <= 16) & ((s.rlike("[A-Z]") & (s == F.upper(s))) | F.lower(s).rlike(HEADING))
-    return F.slice(F.array_distinct(F.filter(lines, head)), 1, limit)
+    return F.array_distinct(F.filter(lines, head))
 
 
 def word_key(text: Column) -> Column:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 
 def ascending_share(rows: DataFrame, group: list[str], order: list[str], value: str) -> DataFrame:
@@ -128,3 +132,21 @@ def schema_errors(value, schema: dict, root: dict | None = None, path: str = "$"
     if number and not schema.get("minimum", value) <= value <= schema.get("maximum", value):
         out.append(f"{path}: is out of bounds")
     return out
+
+
+def json_errors(value: Column, schema: dict) -> Column:
+    """Errors of a column of JSON texts under ``schema``, as ``schema_errors`` tells them; text that is no JSON has one."""
+
+    @F.pandas_udf(ArrayType(StringType()))
+    def check(texts: pd.Series) -> pd.Series:
+        def one(text):
+            if text is None:
+                return []
+            try:
+                return schema_errors(json.loads(text), schema)
+            except ValueError:
+                return ["$: is no JSON"]
+
+        return texts.map(one)
+
+    return check(value)

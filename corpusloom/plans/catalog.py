@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from corpusloom.plans import corpus_queries, flow_queries, marker_queries, record_queries, repair_queries, source_queries, text_queries, training_queries
+from corpusloom.plans import corpus_queries, flow_queries, marker_queries, record_queries, repair_queries, rule_queries, source_queries, text_queries, training_queries
 
-MODULES = [training_queries, text_queries, record_queries, corpus_queries, repair_queries, flow_queries, marker_queries, source_queries]
+MODULES = [training_queries, text_queries, record_queries, corpus_queries, repair_queries, flow_queries, marker_queries, source_queries, rule_queries]
 
 
 def queries() -> dict:

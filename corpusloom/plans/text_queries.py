@@ -85,7 +85,7 @@ SQL = {
     "citation_mentions": f"""{_NOTES}, m AS ({_MENTIONS}), e AS (SELECT DISTINCT kind, pdf_id, extractor_version, ordinal, page_start, lower(m) AS m FROM m)
         SELECT kind, count(*) AS mentions, count(DISTINCT m) AS different FROM e GROUP BY kind""",
     "note_citations": f"""{_NOTES}
-        SELECT CAST(least(200, len(list_distinct(list_transform(flatten([{_CITES}]), lambda c: trim(regexp_replace(c, '[ \\t\\n\\r\\f]+', ' ', 'g')))))) AS INTEGER) AS citations, count(*) AS notes FROM t GROUP BY 1""",
+        SELECT CAST(len(list_distinct(list_transform(flatten([{_CITES}]), lambda c: trim(regexp_replace(c, '[ \\t\\n\\r\\f]+', ' ', 'g'))))) AS INTEGER) AS citations, count(*) AS notes FROM t GROUP BY 1""",
     "document_counts": f"""
         SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9_]+(?:[''.-][A-Za-z0-9_]+)*|[^A-Za-z0-9_ \\t\\n\\r\\f\\v]')) AS INTEGER) AS tokens,
           CAST(len(list_filter(string_split(regexp_replace(coalesce(text, ''), '([.!?])[ \\t\\n\\r\\f\\v]+', '\\1' || chr(57344), 'g'), chr(57344)), lambda s: trim(s) <> '')) AS INTEGER) AS sentences,
@@ -98,7 +98,7 @@ SQL = {
                 AND ((regexp_matches(trim(raw), '[A-Z]') AND trim(raw) = upper(trim(raw))) OR regexp_matches(lower(trim(raw)), '{T.HEADING}'))
               GROUP BY doc_id, trim(raw)),
         k AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS rn FROM h)
-        SELECT doc_id, CAST(count(*) AS INTEGER) AS headers, string_agg(s, '|' ORDER BY i) AS header_text FROM k WHERE rn <= 40 GROUP BY doc_id""",
+        SELECT doc_id, CAST(count(*) AS INTEGER) AS headers, string_agg(s, '|' ORDER BY i) AS header_text FROM k GROUP BY doc_id""",
     "text_hash_groups": r"""
         WITH k AS (SELECT doc_id, trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')) AS k FROM documents WHERE text IS NOT NULL),
         h AS (SELECT doc_id, sha256(substr(k, 1, 500)) AS text_hash FROM k WHERE k <> '')
