@@ -123,16 +123,18 @@ def fuse(members: DataFrame, rounds: int = 4, false_values: int = 10, copy_prior
     met = _pairs(met.groupBy("field", "sources").agg(F.sum("items").alias("items")), "field", "items").groupBy(*two).agg(F.sum("items").alias("met"))
     met = stage(met.join(twos.select(*two).distinct(), two), "met")
     accuracy = stage(each.select(*who).distinct().withColumn("a", F.lit(0.8)), "accuracy")
-    copies = members.sparkSession.createDataFrame([], "field string, x string, y string, dep double")
+    copies = None
     a_of = lambda name, a: accuracy.select("field", F.col("source").alias(name), F.col("a").alias(a))
     known = lambda df: df.join(a_of("x", "ax"), ["field", "x"]).join(a_of("y", "ay"), ["field", "y"])
-    for _ in range(rounds):
-        # of two dependent sources the less accurate one loses what it may have copied
-        lost = known(twos.join(copies, two))
-        lost = lost.select(*key, F.when(F.struct("ay", "x") < F.struct("ax", "y"), F.col("y")).otherwise(F.col("x")).alias("source"), _units(F.log(1 - copy_rate * F.col("dep"))).alias("u"))
-        lost = lost.groupBy(*key, "source").agg(F.sum("u").alias("u"))
-        vote = F.log(F.lit(false_values) * F.col("a") / (1 - F.col("a"))) * F.exp(F.coalesce("u", F.lit(0)) / 1e9)
-        scores = each.join(accuracy, who).join(lost, [*key, "source"], "left").groupBy(*key).agg((F.sum(_units(vote)) / 1e9).alias("score"))
+    for last in [False] * (rounds - 1) + [True]:
+        votes, vote = each.join(accuracy, who), F.log(F.lit(false_values) * F.col("a") / (1 - F.col("a")))
+        if copies is not None:
+            # of two dependent sources the less accurate one loses what it may have copied
+            lost = known(twos.join(copies, two))
+            lost = lost.select(*key, F.when(F.struct("ay", "x") < F.struct("ax", "y"), F.col("y")).otherwise(F.col("x")).alias("source"), _units(F.log(1 - copy_rate * F.col("dep"))).alias("u"))
+            votes = votes.join(lost.groupBy(*key, "source").agg(F.sum("u").alias("u")), [*key, "source"], "left")
+            vote = vote * F.exp(F.coalesce("u", F.lit(0)) / 1e9)
+        scores = votes.groupBy(*key).agg((F.sum(_units(vote)) / 1e9).alias("score"))
         scored = rows.join(scores, key)
         scored = scored.join(scored.groupBy("g1", "g2").agg(F.max("score").alias("top")), ["g1", "g2"]).withColumn("e", _units(F.exp(F.col("score") - F.col("top"))))
         whole = scored.groupBy("g1", "g2").agg(F.sum(F.col("e") * F.col("n")).alias("whole"))
@@ -143,6 +145,8 @@ def fuse(members: DataFrame, rounds: int = 4, false_values: int = 10, copy_prior
         # the mean posterior of a source's claims, drawn to 0.8 as by ten claims
         mean = (F.sum("u").cast("double") / 1e9 + 8) / (F.sum("n") + 10)
         accuracy = stage(each.join(by_set, key).groupBy(*who).agg(F.round(F.least(F.lit(0.99), F.greatest(F.lit(0.05), mean)), 9).alias("a")), "accuracy")
+        if last:
+            break
         shared = twos.join(by_set, key).groupBy(*two).agg(F.sum("kt").alias("kt"), F.sum(F.col("n") - F.col("kt")).alias("kf")).join(met, two)
         shared = known(shared)
         kd, high = F.greatest(F.lit(0), F.col("met") - F.col("kt") - F.col("kf")), F.greatest("ax", "ay")
