@@ -19,6 +19,12 @@ def _notes(spark: SparkSession, d: str, *more: str) -> DataFrame:
     return N.notes_of(table(spark, d, "sidecars"), *more)
 
 
+def _latest(spark: SparkSession, d: str) -> DataFrame:
+    """Notes of the latest extraction of every PDF."""
+    last = table(spark, d, "sidecars").groupBy("pdf_id").agg(F.max("extractor_version").alias("extractor_version"))
+    return _notes(spark, d).join(last, ["pdf_id", "extractor_version"], "left_semi")
+
+
 def _docs(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "extracted_docs")
 
@@ -123,12 +129,12 @@ def solved_labels(spark: SparkSession, d: str) -> DataFrame:
 
 def note_contexts(spark: SparkSession, d: str) -> DataFrame:
     """The body line in which every note is called."""
-    n = _notes(spark, d).where("extractor_version = '3.1'")
+    n = _latest(spark, d)
     return L.context_lines(_docs(spark, d), n).select("pdf_id", "label", "page", "idx", "context_page", "pos", F.md5("text").alias("text"), "found")
 
 
 def _evaluated(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    gold = _notes(spark, d).where("extractor_version = '3.1' and number is not null").select("pdf_id", F.col("number").alias("label"), F.col("idx").alias("seq"), "text")
+    gold = _latest(spark, d).where("number is not null").select("pdf_id", F.col("number").alias("label"), F.col("idx").alias("seq"), "text")
     pred = N.segmented(N.note_lines(_docs(spark, d))).select("pdf_id", "label", F.col("note_no").alias("seq"), "text")
     return gold, pred
 
@@ -291,7 +297,7 @@ _CHAIN = (r"""m AS (SELECT *, CASE WHEN NOT regexp_matches(regexp_extract(text,
   g AS (SELECT *, sum(opens) OVER (PARTITION BY pdf_id ORDER BY page_index, line ROWS UNBOUNDED PRECEDING) AS note_no FROM o),
   s AS (SELECT pdf_id, CAST(note_no AS BIGINT) AS note_no, max(CASE WHEN opens = 1 THEN n END) AS label, min(page) AS page_start, max(page) AS page_end, regexp_replace(replace(regexp_replace(string_agg(CASE WHEN opens = 1 THEN regexp_replace(text, '^[0-9]{1,4}[\]).,:;-]?\s+', '') ELSE text END, ' ' ORDER BY page_index, line), '([A-Za-z0-9_])- ([a-z])', '\1' || chr(57344) || '\2', 'g'), chr(57344), ''), '^ +', '') AS text FROM g WHERE note_no > 0 GROUP BY pdf_id, note_no)""")
 _SEG = f"{_V}, {_CHAIN}"
-_GOLD = "gold AS (SELECT pdf_id, number AS label, idx AS seq, text FROM n WHERE extractor_version = '3.1' AND number IS NOT NULL), pred AS (SELECT pdf_id, label, note_no AS seq, text FROM s)"
+_GOLD = "gold AS (SELECT pdf_id, number AS label, idx AS seq, text FROM n WHERE (pdf_id, extractor_version) IN (SELECT (pdf_id, max(extractor_version)) FROM sidecars GROUP BY pdf_id) AND number IS NOT NULL), pred AS (SELECT pdf_id, label, note_no AS seq, text FROM s)"
 _MS = "c AS (SELECT pdf_id, label, sum(g) AS g, sum(p) AS p FROM (SELECT pdf_id, label, 1 AS g, 0 AS p FROM gold UNION ALL SELECT pdf_id, label, 0, 1 FROM pred) GROUP BY ALL), q AS (SELECT pdf_id, sum(least(g, p)) AS tp, sum(greatest(p - g, 0)) AS fp, sum(greatest(g - p, 0)) AS fn FROM c GROUP BY 1)"
 _ORD = "a1 AS (SELECT pdf_id, row_number() OVER (PARTITION BY pdf_id ORDER BY seq) AS i, label AS a FROM gold), b1 AS (SELECT pdf_id, row_number() OVER (PARTITION BY pdf_id ORDER BY seq) AS i, label AS b FROM pred), j AS (SELECT pdf_id, min(coalesce(CAST(a = b AS INT), 0)) AS same FROM a1 FULL OUTER JOIN b1 USING (pdf_id, i) GROUP BY 1)"
 _PR = "CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS pr, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS rc"
@@ -338,7 +344,7 @@ SQL = {
     "note_segments": f"WITH RECURSIVE {_SEG} SELECT pdf_id, note_no, label, page_start, page_end, CAST(length(text) AS INT) AS chars, md5(text) AS text FROM s",
     "note_contexts": rf"""WITH {_N}, p AS (SELECT pdf_id, unnest(pages) AS p FROM extracted_docs), b0 AS (SELECT pdf_id, p.page_number AS bp, unnest(p.body_lines) AS l, generate_subscripts(p.body_lines, 1) - 1 AS pos FROM p), b AS (SELECT pdf_id, bp, pos, l.text AS text FROM b0),
         c0 AS (SELECT pdf_id, bp, pos, text, unnest(regexp_extract_all(text, '[A-Za-z][.,;:?!]?"?([0-9]{{1,4}})(?:\s|$)', 1)) AS label FROM b), c AS (SELECT pdf_id, bp, label, max(pos) AS pos, arg_max(text, pos) AS text FROM c0 GROUP BY ALL), z AS (SELECT pdf_id, bp, max(pos) AS pos, arg_max(text, pos) AS text FROM b GROUP BY ALL),
-        m AS (SELECT DISTINCT pdf_id, label, page_start AS page, idx FROM n WHERE extractor_version = '3.1'),
+        m AS (SELECT DISTINCT pdf_id, label, page_start AS page, idx FROM n WHERE (pdf_id, extractor_version) IN (SELECT (pdf_id, max(extractor_version)) FROM sidecars GROUP BY pdf_id)),
         u AS (SELECT m.*, 1 AS rk, m.page AS cp, c.pos, c.text FROM m JOIN c ON c.pdf_id = m.pdf_id AND c.bp = m.page AND c.label = m.label UNION ALL SELECT m.*, 2, m.page - 1, c.pos, c.text FROM m JOIN c ON c.pdf_id = m.pdf_id AND c.bp = m.page - 1 AND c.label = m.label UNION ALL SELECT m.*, 3, m.page, z.pos, z.text FROM m JOIN z ON z.pdf_id = m.pdf_id AND z.bp = m.page),
         r AS (SELECT *, row_number() OVER (PARTITION BY pdf_id, label, page, idx ORDER BY rk) AS rn FROM u)
         SELECT pdf_id, label, page, CAST(idx AS INT) AS idx, cp AS context_page, CAST(pos AS INT) AS pos, md5(text) AS text, rk < 3 AS found FROM r WHERE rn = 1""",
