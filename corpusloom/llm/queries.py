@@ -149,6 +149,16 @@ SQL = {
         g AS (SELECT site, letters, count(DISTINCT pdf_id) AS df FROM k WHERE length(letters) >= 20 GROUP BY site, letters)
         SELECT k.pdf_id, k.page_number, k.side, CAST(k.line_no AS INTEGER) AS line_no
         FROM k JOIN g USING (site, letters) JOIN n USING (site) WHERE g.df >= 3 AND g.df * 10 >= n.n""",
+    "p5_clean": r"""
+        WITH d AS (SELECT pdf_id, nullif(lower(regexp_extract(pdf_path, '/pdfs/([^/]+)/', 1)), '') AS site, unnest(pages) AS p, generate_subscripts(pages, 1) - 1 AS page_no FROM extracted_docs),
+        l AS (SELECT pdf_id, site, page_no, p.page_number AS page_number, 'body' AS side, unnest(p.body_lines).text AS text, generate_subscripts(p.body_lines, 1) - 1 AS line_no FROM d
+              UNION ALL SELECT pdf_id, site, page_no, p.page_number, 'note', unnest(p.note_lines).text, generate_subscripts(p.note_lines, 1) - 1 FROM d),
+        k AS (SELECT *, regexp_replace(lower(text), '[^\p{L}]+', '', 'g') AS letters FROM l),
+        n AS (SELECT site, count(DISTINCT pdf_id) AS n FROM d WHERE site IS NOT NULL GROUP BY site),
+        g AS (SELECT site, letters, count(DISTINCT pdf_id) AS df FROM k WHERE site IS NOT NULL AND length(letters) >= 20 GROUP BY site, letters),
+        h AS (SELECT site, letters FROM g JOIN n USING (site) WHERE df >= 3 AND df * 10 >= n.n)
+        SELECT pdf_id, page_number, side, CAST(count(*) AS INTEGER) AS n_lines, string_agg(text, chr(10) ORDER BY line_no) AS text
+        FROM k ANTI JOIN h ON h.site = k.site AND h.letters = k.letters WHERE text IS NOT NULL GROUP BY pdf_id, page_no, page_number, side""",
     "p6_found": r"""
         WITH RECURSIVE k AS (
           SELECT pdf_id, 's' || lower(sha256) AS key FROM pdf_records WHERE sha256 IS NOT NULL AND trim(sha256) <> ''
