@@ -192,4 +192,26 @@ SQL = {
     "quota_sample": f"""WITH k AS (SELECT pdf_id, evaluated_at, platform_family AS platform, regexp_replace(lower(coalesce(platform_family, '')), '[^a-z0-9]+', '', 'g') AS k FROM doc_stats), x AS (SELECT pdf_id, evaluated_at, {Q._PLATFORM} AS p FROM k), s AS (SELECT pdf_id, arg_max(p, (evaluated_at, p)) AS platform FROM x GROUP BY 1),
         c AS (SELECT platform, count(*) AS n FROM s GROUP BY 1), {_quotas('c', 'platform', 50, 3)},
         r AS (SELECT platform, pdf_id, row_number() OVER (PARTITION BY platform ORDER BY md5('7:' || pdf_id), pdf_id) AS seat FROM s) SELECT platform, pdf_id FROM r JOIN quota ON g = platform WHERE seat <= quota""",
+    "trimmed_ordinality": f"""WITH RECURSIVE {C._N}, a AS (SELECT pdf_id, extractor_version, coalesce(list_sort(list_distinct(list(number) FILTER (WHERE number IS NOT NULL))), []) AS l FROM n GROUP BY ALL),
+        st AS (SELECT pdf_id, extractor_version, l, CASE WHEN len(l) < 3 THEN 4 ELSE 0 END AS ph, len(l) AS m FROM a
+          UNION ALL SELECT pdf_id, extractor_version, CASE WHEN go AND ph < 2 THEN l[:-2] WHEN go THEN l[2:] ELSE l END, CASE WHEN go THEN ph ELSE ph + 1 END, CASE WHEN go THEN m ELSE len(l) END FROM (
+            SELECT *, CASE ph WHEN 0 THEN len(l) >= 4 AND j >= greatest(8, 5 * greatest(1, floor(list_aggregate(list_transform(range(1, len(l) - 1), lambda i: l[i + 1] - l[i]), 'median')))) AND j > 0.15 * hi
+              WHEN 1 THEN len(l) >= 3 AND j > greatest(5, m // 2) AND j > 0.25 * hi
+              WHEN 2 THEN len(l) >= 4 AND (l[1] <= 0 OR (j >= greatest(8, 5 * greatest(1, floor(list_aggregate(list_transform(range(2, len(l)), lambda i: l[i + 1] - l[i]), 'median')))) AND j > 0.15 * hi))
+              ELSE len(l) >= 3 AND (l[1] <= 0 OR (j > greatest(5, m // 2) AND j > 0.25 * hi)) END AS go
+            FROM (SELECT *, CASE WHEN ph < 2 THEN l[-1] - l[-2] ELSE l[2] - l[1] END AS j, CASE WHEN ph < 2 THEN l[-1] ELSE l[2] END AS hi FROM st WHERE ph < 4))),
+        f AS (SELECT pdf_id, extractor_version, l, l[1] AS lo, l[-1] AS hi, CASE WHEN len(l) > 0 THEN list_filter(range(l[1], l[-1] + 1), lambda x: NOT list_contains(l, x)) ELSE [] END AS gp FROM st WHERE ph = 4)
+        SELECT pdf_id, extractor_version, CASE WHEN len(gp) = 0 THEN 'valid' WHEN len(gp) > 2 AND len(gp) / coalesce(hi - lo + 1, 1) > 0.05 THEN 'invalid' ELSE 'valid_with_gaps' END AS status, coalesce(lo, 0) AS low, coalesce(hi, 0) AS high, coalesce(array_to_string(gp, ','), '') AS gaps FROM f""",
+    "streamed_outcomes": f"""WITH RECURSIVE o AS (SELECT {Q._host('domain')} AS key, seq AS ts, coalesce(ok, false) AS ok FROM run_records WHERE {Q._host('domain')} IS NOT NULL AND seq IS NOT NULL),
+        r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY ts, ok DESC) AS i FROM o),
+        c AS (SELECT key, 0 AS i, 0 AS streak, CAST(0 AS BIGINT) AS til, false AS refused, false AS opened FROM (SELECT DISTINCT key FROM o)
+          UNION ALL SELECT key, i, CASE WHEN ok THEN 0 ELSE s1 + 1 END, CASE WHEN ok THEN 0 WHEN s1 + 1 >= 2 THEN ts + 200 ELSE t1 END, til > ts, NOT ok AND s1 + 1 >= 2 FROM (
+            SELECT r.key, r.i, r.ts, r.ok, c.til, CASE WHEN c.til > 0 AND c.til <= r.ts THEN 0 ELSE c.streak END AS s1, CASE WHEN c.til > 0 AND c.til <= r.ts THEN 0 ELSE c.til END AS t1 FROM c JOIN r ON r.key = c.key AND r.i = c.i + 1))
+        SELECT key, count(*) AS outcomes, CAST(sum(CAST(opened AS INT)) AS BIGINT) AS opened, CAST(sum(CAST(refused AS INT)) AS BIGINT) AS refused FROM c WHERE i > 0 GROUP BY 1""",
+    "token_scores": rf"""WITH RECURSIVE {C._N}, {C._SEG}, gd AS (SELECT pdf_id, number AS label, arg_min(text, idx) AS text FROM n WHERE (pdf_id, extractor_version) IN (SELECT (pdf_id, max(extractor_version)) FROM sidecars GROUP BY pdf_id) AND number IS NOT NULL GROUP BY 1, 2), pd AS (SELECT pdf_id, label, arg_min(text, note_no) AS text FROM s GROUP BY 1, 2),
+        bo AS (SELECT pdf_id, label, gd.text AS a, pd.text AS b FROM gd JOIN pd USING (pdf_id, label)),
+        w AS (SELECT pdf_id, label, unnest(regexp_extract_all({C._PLAIN.replace('(text,', '(a,')}, '[A-Za-z0-9_]+(?:[''.-][A-Za-z0-9_]+)*|[^A-Za-z0-9_\s]')) AS t, 1 AS g, 0 AS p FROM bo UNION ALL SELECT pdf_id, label, unnest(regexp_extract_all({C._PLAIN.replace('(text,', '(b,')}, '[A-Za-z0-9_]+(?:[''.-][A-Za-z0-9_]+)*|[^A-Za-z0-9_\s]')), 0, 1 FROM bo),
+        c2 AS (SELECT pdf_id, label, t, sum(g) AS g, sum(p) AS p FROM w GROUP BY ALL) SELECT pdf_id, CAST(sum(least(g, p)) AS BIGINT) AS tp, CAST(sum(greatest(p - g, 0)) AS BIGINT) AS fp, CAST(sum(greatest(g - p, 0)) AS BIGINT) AS fn FROM c2 GROUP BY 1""",
+    "page_links": f"""WITH r AS (SELECT regexp_extract(page_url, '^(https?://[^/]+)', 1) || '/archive' AS a, nullif(trim(regexp_replace(pdf_url, '#.*$', '')), '') AS f FROM run_records WHERE page_url IS NOT NULL), l AS (SELECT a AS u, 'all issues' AS t FROM r UNION ALL SELECT f, 'pdf' FROM r WHERE regexp_matches(f, '^https?://'))
+        SELECT CASE WHEN t = 'all issues' THEN 'archive' ELSE {Q._CLS('u')} END AS kind, count(*) AS links FROM l GROUP BY 1""",
 }
