@@ -76,34 +76,82 @@ def token_table(names: DataFrame) -> DataFrame:
     return each.groupBy("token").agg(F.count("*").alias("spellings"), F.sum("n").alias("n"))
 
 
-def name_forms(name: str, journal: bool = False) -> set[str]:
-    """The strings by which a whole name is compared.
+def name_forms(name: str) -> set[str]:
+    """The strings by which a whole name of a person or institution is compared.
 
     A person is surname and given name, and surname and initial, since others
-    may have typed no more; an institution or journal is its words in order of
-    their letters and, since an error may change that, of their letters read
+    may have typed no more; an institution is its words in order of their
+    letters and, since an error may change that, of their letters read
     backwards. Names of several long words may be either.
     """
     tokens, out = name_tokens(name), set()
-    kind, surname, given = ("journal", "", "") if journal else _parts(name)
+    kind, surname, given = _parts(name)
     if kind == "person":
         out = {f"{surname} {g}" for g in (given, given[:1]) if g} or {surname}
-    if kind in ("institution", "journal") or len([t for t in tokens if len(t) >= 3 and t not in TITLES and t not in SMALL]) >= 4:
-        words = [w for w in tokens if w not in SMALL or journal]
-        out |= {" ".join(sorted(words)), " ".join(sorted(words, key=lambda w: w[::-1]))}
+    if kind == "institution" or len([t for t in tokens if len(t) >= 3 and t not in TITLES and t not in SMALL]) >= 4:
+        out |= _orders([w for w in tokens if w not in SMALL])
     return out - {""}
 
 
-def whole_names(names: DataFrame, journal: bool = False) -> DataFrame:
-    """(word): the forms of all names."""
+def _orders(words: list[str]) -> set[str]:
+    return {" ".join(sorted(words)), " ".join(sorted(words, key=lambda w: w[::-1]))}
+
+
+#: Words between the words of a journal's name.
+BETWEEN = frozenset({"and", "the", "of", "at", "for", "in", "on"})
+
+
+def journal_words(name: str) -> list[str]:
+    return [t for t in name_tokens(name.replace("&", " and ")) if t not in BETWEEN]
+
+
+def written_out(word: str, vocabulary: frozenset[str]) -> str:
+    """A word of a journal's name in full: by the table of abbreviations, or as the only known word it begins."""
+    if word in vocabulary:
+        return word
+    if word in JOURNAL_WORDS:
+        return JOURNAL_WORDS[word]
+    longer = [w for w in vocabulary if len(word) >= 3 and w.startswith(word)]
+    return longer[0] if len(longer) == 1 else word
+
+
+def shortened(word: str) -> set[str]:
+    """Abbreviations of a word of three letters or more: those of the table, and beginnings that leave three letters out."""
+    return {k for k, v in JOURNAL_WORDS.items() if v == word and len(k) >= 3} | {word[:n] for n in (3, 4, 5, 6) if n <= len(word) - 3}
+
+
+def journal_forms(name: str, vocabulary: frozenset[str], listed: bool) -> set[str]:
+    """The strings by which a journal's name is compared: its words in full, and for a listed name also with one of them abbreviated, since the error may be in an abbreviation."""
+    words = journal_words(name)
+    out = _orders([written_out(w, vocabulary) for w in words])
+    if listed:
+        for i, w in enumerate(words):
+            for short in shortened(w):
+                out |= _orders([*words[:i], short, *words[i + 1 :]])
+    return out - {""}
+
+
+def whole_names(names: DataFrame) -> DataFrame:
+    """(word): the forms of all names of persons and institutions."""
 
     @F.pandas_udf("array<string>")
     def forms(name: pd.Series) -> pd.Series:
-        return name.map(lambda n: sorted(name_forms(n, journal)))
+        return name.map(lambda n: sorted(name_forms(n)))
 
     return names.select(F.explode(forms("name")).alias("word")).distinct()
 
 
+def whole_journals(names: DataFrame, listed: DataFrame, vocabulary: frozenset[str]) -> DataFrame:
+    """(word): the forms of typed and of listed journals."""
+
+    @F.pandas_udf("array<string>")
+    def forms(name: pd.Series, known: pd.Series) -> pd.Series:
+        return pd.Series([sorted(journal_forms(n, vocabulary, k)) for n, k in zip(name, known)], dtype=object)
+
+    both = names.select("name", F.lit(False).alias("known")).unionAll(listed.select("name", F.lit(True).alias("known")))
+    return both.select(F.explode(forms("name", "known")).alias("word")).distinct()
+
+
 def differing_words(pairs: DataFrame) -> DataFrame:
     """(x, y), both ways: the words in which two joined names differ, where it is one each and no initial."""
     a, b = F.split("a", " "), F.split("b", " ")
@@ -269,27 +317,25 @@ def author_links(entities: DataFrame) -> DataFrame:
 
 
 def _registry_index(names: list[str]) -> list[tuple[str, list[str]]]:
-    return [(n, [t for t in name_tokens(n.replace("&", " and ")) if t not in {"and", "the", "of", "at", "for", "in"}]) for n in names]
+    return [(n, journal_words(n)) for n in names]
 
 
-def _word_cost(typed: str, word: str, right: dict[str, str]) -> float:
-    """0 same, 0.1 abbreviation, 1 a typing error, 9 another word."""
+def _word_cost(typed: str, word: str, right: dict[str, set[str]]) -> float:
+    """0 same, 0.1 abbreviation, 1 a typing error, 9 another word; what is a typing error of what is told by the joined pairs (``right``)."""
     if typed == word:
         return 0.0
     if JOURNAL_WORDS.get(typed) == word or (len(typed) < len(word) and word.startswith(typed.rstrip("'"))):
         return 0.1 if len(typed) <= 5 or JOURNAL_WORDS.get(typed) == word else 0.5
-    if right.get(typed) == word or (len(typed) >= 2 and len(word) >= 3 and within_one(typed, word)):
+    meant = right.get(typed, ())
+    if word in meant:
         return 1.0
     # an abbreviation with a typing error
-    for short in (*[k for k, v in JOURNAL_WORDS.items() if v == word and len(k) >= 3], *[word[:n] for n in (3, 4, 5, 6) if n < len(word)]):
-        if len(typed) >= 2 and within_one(typed, short):
-            return 1.2
-    return 9.0
+    return 1.2 if any(JOURNAL_WORDS.get(m) == word or (len(m) >= 3 and word.startswith(m)) for m in meant) else 9.0
 
 
-def match_journal(name: str, registry: list[tuple[str, list[str]]], right: dict[str, str]) -> str | None:
+def match_journal(name: str, registry: list[tuple[str, list[str]]], right: dict[str, set[str]]) -> str | None:
     """The registry's name whose words are those of ``name`` in order or turned around a place, or None."""
-    typed = [t for t in name_tokens(name.replace("&", " and ")) if t not in {"and", "the", "of", "at", "for", "in", "on"}]
+    typed = journal_words(name)
     if not typed:
         return None
     orders = {tuple(typed), (*typed[-1:], *typed[:-1]), (*typed[1:], *typed[:1])}
@@ -323,20 +369,31 @@ def journal_links(names: DataFrame, registry: DataFrame, right: DataFrame) -> Da
     known = registry.select(F.trim("journal_name").alias("j")).where("j <> ''").distinct()
     # the registry is configuration of fixed size (TESTDATA.md); its names go to the workers
     index = _registry_index(sorted(r[0] for r in known.collect()))
+    vocabulary = frozenset(w for _, words in index for w in words)
     places: dict[str, list] = {}
     for entry in index:
         for w in entry[1]:
             places.setdefault(w, []).append(entry)
 
+    def candidates(word: str, meant: set[str]) -> list:
+        """Listed journals with the word; with one it may be an error of, unless it begins a listed word and may be an abbreviation."""
+        full = written_out(word, vocabulary)
+        if full in places:
+            return places[full]
+        if word in JOURNAL_WORDS or any(w.startswith(word) for w in vocabulary):
+            return []
+        return list({e[0]: e for m in meant for e in places.get(m, ())}.values())
+
     @F.pandas_udf("string")
     def match(name: pd.Series, fixes: pd.Series) -> pd.Series:
         out = []
         for n, fx in zip(name, fixes):
-            right = {f["token"]: f["right"] for f in fx} if fx is not None else {}
-            # the rarest of its words, corrected, names the cell; without one the whole registry is asked
-            words = [right.get(t, t) for t in name_tokens(n)]
-            cell = min((places[w] for w in words if w in places), key=len, default=index)
-            out.append(match_journal(n, cell, right))
+            right: dict[str, set[str]] = {}
+            for f in fx if fx is not None else ():
+                right.setdefault(f["token"], set()).add(f["right"])
+            # the rarest of its words, as typed or meant, names the cell; a name without one is no listed journal's
+            cells = [cell for t in journal_words(n) if (cell := candidates(t, right.get(t, ())))]
+            out.append(match_journal(n, min(cells, key=len, default=[]), right))
         return pd.Series(out, dtype=object)
 
     words = F.regexp_extract_all(F.lower(F.replace("name", F.lit("’"), F.lit("'"))), F.lit(r"[\p{L}]+(?:'[\p{L}]+)*"), F.lit(0))
@@ -351,10 +408,11 @@ def find(holdings: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFrame
     listed = registry.select(F.trim("journal_name").alias("name")).where("name <> ''").distinct().withColumn("n", F.lit(1).cast("bigint"))
     tokens = stage(token_table(authors), "tokens")
     fixes = stage(corrections(tokens, differing_words(radius_join(stage(whole_names(authors), "forms")))), "fixes")
-    known = token_table(listed).select("token")
-    pairs = differing_words(radius_join(stage(whole_names(journals.unionAll(listed), True), "jforms")))
-    jfixes = pairs.select(F.col("x").alias("token"), F.col("y").alias("right")).join(known.withColumnRenamed("token", "right"), "right", "left_semi").join(known, "token", "left_anti")
-    jfixes = stage(jfixes.groupBy("token").agg(F.min("right").alias("right"), F.count("*").alias("k")).where("k = 1").select("token", "right"), "jfixes")
+    # the registry is configuration of fixed size
+    vocabulary = frozenset(w for r in listed.collect() for w in journal_words(r.name))
+    pairs = differing_words(radius_join(stage(whole_journals(journals, listed, vocabulary), "jforms")))
+    shown = F.col("y").isin(sorted({*vocabulary, *JOURNAL_WORDS, *(x for w in vocabulary for x in shortened(w))}))
+    jfixes = stage(pairs.where(shown & ~F.col("x").isin(sorted(vocabulary))).select(F.col("x").alias("token"), F.col("y").alias("right")), "jfixes")
     # staged: the parts of a name are asked for many times
     return author_entities(stage(parsed_names(authors, fixes), "parsed")), journal_links(journals, registry, jfixes)
 

@@ -270,7 +270,7 @@ STUDY = (
 )
 STUDY_COLUMNS = [c.rsplit(" ", 1)[0] for c in STUDY.split(", ")]
 #: Distinct words a worker holds before it hands its counts on.
-WORDS = 400_000
+WORDS = 250_000
 _TOKEN = re.compile(r"[^\W_]+(?:['’-]+[^\W_]+)*")
 _LINE_FIRST = re.compile(r"(?m)^(?:[^\w\n]|_)*([^\W_]+(?:['’-]+[^\W_]+)*)")
 _SPACES = frozenset(" \t\n\r\f\v")
