@@ -32,6 +32,15 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
     return report.join(drawn, ["config_id", "fam"], "left").drop("fam").fillna(0, ["drawn"])
 
 
+def p1_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Of every plan: PDFs drawn, and families below what the floor and their PDFs allow."""
+    stats, report = _audit(spark, d)
+    drawn = sampling.sample(stats, report).groupBy("config_id", sampling.family_key(F.col("platform_family")).alias("fam")).agg(F.count("*").alias("n"))
+    per = report.where("target_share > 0").groupBy("config_id", "fam").agg(F.first("available").alias("available"), F.first("floor_per_family").alias("floor")).join(drawn, ["config_id", "fam"], "left")
+    n = F.coalesce("n", F.lit(0))
+    return per.groupBy("config_id").agg(F.sum(n).alias("drawn"), F.count_if(n < F.least("floor", "available")).alias("below"))
+
+
 def _scans(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, dict]:
     docs, notes = table(spark, d, "extracted_docs"), table(spark, d, "sidecars")
     return docs, notes, scan_repair.find(docs, notes)
@@ -124,7 +133,7 @@ def p9_profile(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_sample, p1_report, p2_found, p2_text, p3_found, p3_entities, p5_found, p5_clean, p6_found, p6_survivors, p7_ids, p8_found, p8_mixture, p8_report, p9_found, p9_profile)
+    for f in (p1_found, p1_sample, p1_report, p1_totals, p2_found, p2_text, p3_found, p3_entities, p5_found, p5_clean, p6_found, p6_survivors, p7_ids, p8_found, p8_mixture, p8_report, p9_found, p9_profile)
 }
 
 _FAMILY = "nullif(regexp_replace(lower({}), '[^\\p{{L}}\\p{{N}}]+', '', 'g'), '')"
@@ -140,6 +149,17 @@ SQL = {
         LEFT JOIN have h ON h.fam = {_FAMILY.format('t.platform_family')}
         WHERE coalesce(h.n, 0) < c.floor_per_family
            OR coalesce(h.n, 0) < CAST(t.target_share AS DECIMAL(18,9)) * c.sample_size""",
+    "p1_totals": f"""
+        WITH have AS (
+          SELECT fam, count(*) AS n FROM (
+            SELECT pdf_id, arg_max({_FAMILY.format('platform_family')}, (evaluated_at, {_FAMILY.format('platform_family')})) AS fam
+            FROM doc_stats WHERE {_FAMILY.format('platform_family')} IS NOT NULL GROUP BY pdf_id) GROUP BY fam),
+        f AS (SELECT t.config_id, c.sample_size, c.floor_per_family, coalesce(any_value(h.n), 0) AS n
+          FROM family_targets t JOIN audit_configs c USING (config_id) LEFT JOIN have h ON h.fam = {_FAMILY.format('t.platform_family')}
+          WHERE t.target_share > 0 GROUP BY t.config_id, c.sample_size, c.floor_per_family, {_FAMILY.format('t.platform_family')})
+        SELECT config_id, CAST(least(any_value(sample_size), sum(n)) AS BIGINT) AS drawn,
+          CASE WHEN sum(least(floor_per_family, n)) <= any_value(sample_size) THEN CAST(0 AS BIGINT) END AS below
+        FROM f GROUP BY config_id""",
     "p5_found": r"""
         WITH d AS (SELECT pdf_id, nullif(lower(regexp_extract(pdf_path, '/pdfs/([^/]+)/', 1)), '') AS site, unnest(pages) AS p FROM extracted_docs),
         l AS (SELECT pdf_id, site, p.page_number AS page_number, 'body' AS side, unnest(p.body_lines).text AS text, generate_subscripts(p.body_lines, 1) - 1 AS line_no FROM d
