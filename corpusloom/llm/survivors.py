@@ -113,7 +113,7 @@ def fuse(members: DataFrame, rounds: int = 4, false_values: int = 10, copy_prior
     held = told.groupBy(*item, *key).agg(F.count("*").alias("n"))
     mixed = lambda seed: F.sum(F.xxhash64(F.lit(seed), "s1", "s2", "n").cast("decimal(38,0)"))
     held = stage(held, "held")
-    items = stage(held.groupBy(*item).agg(mixed(1).alias("g1"), mixed(2).alias("g2")), "items")
+    items = held.groupBy(*item).agg(mixed(1).alias("g1"), mixed(2).alias("g2"))
     kinds = items.groupBy("g1", "g2").agg(F.min(F.struct(*item)).alias("r"), F.count("*").alias("items"))
     rows = stage(held.join(kinds.select("g1", "g2", "items", "r.first_id", "r.field"), item).select("g1", "g2", "items", *key, "n"), "kinds")
     each = sets.select(*key, "field", F.explode("sources").alias("source"))
@@ -122,7 +122,7 @@ def fuse(members: DataFrame, rounds: int = 4, false_values: int = 10, copy_prior
     met = rows.join(each, key).groupBy("g1", "g2", "field").agg(F.sort_array(F.collect_set("source")).alias("sources"), F.first("items").alias("items"))
     met = _pairs(met.groupBy("field", "sources").agg(F.sum("items").alias("items")), "field", "items").groupBy(*two).agg(F.sum("items").alias("met"))
     met = stage(met.join(twos.select(*two).distinct(), two), "met")
-    accuracy = stage(each.select(*who).distinct().withColumn("a", F.lit(0.8)), "accuracy")
+    accuracy = each.select(*who).distinct().withColumn("a", F.lit(0.8))
     copies = None
     a_of = lambda name, a: accuracy.select("field", F.col("source").alias(name), F.col("a").alias(a))
     known = lambda df: df.join(a_of("x", "ax"), ["field", "x"]).join(a_of("y", "ay"), ["field", "y"])
@@ -138,7 +138,9 @@ def fuse(members: DataFrame, rounds: int = 4, false_values: int = 10, copy_prior
         scored = rows.join(scores, key)
         scored = scored.join(scored.groupBy("g1", "g2").agg(F.max("score").alias("top")), ["g1", "g2"]).withColumn("e", _units(F.exp(F.col("score") - F.col("top"))))
         whole = scored.groupBy("g1", "g2").agg(F.sum(F.col("e") * F.col("n")).alias("whole"))
-        scored = stage(scored.join(whole, ["g1", "g2"]).select("g1", "g2", "items", *key, "n", F.round(F.col("e") / F.col("whole"), 9).alias("p")), "posterior")
+        scored = scored.join(whole, ["g1", "g2"]).select("g1", "g2", "items", *key, "n", F.round(F.col("e") / F.col("whole"), 9).alias("p"))
+        if last:
+            scored = stage(scored, "posterior")
         # of every set: how many of its values there are, their posteriors, and how many are taken for true
         many = F.col("items") * F.col("n")
         by_set = stage(scored.groupBy(*key).agg(F.sum(many).alias("n"), F.sum(many * _units(F.col("p")).cast("decimal(38,0)")).alias("u"), F.sum(F.when(F.col("p") >= 0.5, many).otherwise(0)).alias("kt")), "sets-told")
@@ -154,7 +156,7 @@ def fuse(members: DataFrame, rounds: int = 4, false_values: int = 10, copy_prior
         log_odds = F.col("kt") * F.log(pt / (c * high + (1 - c) * pt)) + F.col("kf") * F.log(pf / (c * (1 - high) + (1 - c) * pf)) + kd * F.log(F.lit(1 / (1 - c)))
         # only shared false values speak for copying; agreeing on the truth is what good sources do
         dep = 1 / (1 + (1 - copy_prior) / copy_prior * F.exp(F.least(F.greatest(log_odds, F.lit(-60.0)), F.lit(60.0))))
-        copies = stage(shared.where("kf > 0").select(*two, F.round(dep, 9).alias("dep")).where("dep > 0"), "copies")
+        copies = shared.where("kf > 0").select(*two, F.round(dep, 9).alias("dep")).where("dep > 0")
     final = told.join(items, item).join(scored.select("g1", "g2", *key, "p"), ["g1", "g2", *key])
     # the best value by aggregates, which combine before the shuffle, since a group may hold a third of all records
     rank = F.struct("p", F.coalesce("newest", F.lit(float("-inf"))))
