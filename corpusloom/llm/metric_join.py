@@ -15,10 +15,12 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
+from corpusloom.session import stage
+
 #: Pivot sets: the least, the most for radius 1 and beyond, and the strings a cell should have on average.
 LEAST, MOST, MOST_BEYOND, PER_CELL = 4, 10, 6, 8
 
@@ -66,11 +68,11 @@ def pivot_sets(strings: int, radius: int = 1) -> int:
     return int(np.clip(np.ceil(np.log(max(1.0, strings / PER_CELL)) / np.log(5)), LEAST, MOST if radius == 1 else MOST_BEYOND))
 
 
-def distances(word: Column, sets: int) -> list[Column]:
-    """Distances of a string to the pivot sets: its characters of each class."""
-    codes = F.transform(F.filter(F.split(word, ""), lambda c: c != ""), lambda c: F.ascii(c) % sets)
-    among = lambda i: F.size(F.filter(codes, lambda c: c == i)).cast("smallint")
-    return [among(i).alias(f"d{i}") for i in range(sets)]
+def distances(words: DataFrame, sets: int) -> DataFrame:
+    """(word, d0, d1, ...): distances of strings to the pivot sets, their characters of each class."""
+    classes = words.select("word", F.transform(F.filter(F.split("word", ""), lambda c: c != ""), lambda c: F.ascii(c) % sets).alias("classes"))
+    among = lambda i: F.size(F.filter("classes", lambda c: c == i)).cast("smallint")
+    return classes.select("word", *[among(i).alias(f"d{i}") for i in range(sets)])
 
 
 def steps(sets: int, radius: int) -> list[tuple[int, ...]]:
@@ -104,10 +106,11 @@ def radius_join(words: DataFrame, radius: int = 1, sets: int | None = None) -> D
     words = words.select("word").where("word is not null").distinct()
     sets = sets or pivot_sets(words.count(), radius)
     names = [f"d{i}" for i in range(sets)]
-    homes = words.select(F.col("word").alias("b"), F.xxhash64(*distances(F.col("word"), sets)).alias("cell"))
-    moves = F.array(*[F.array(*[F.lit(x).cast("smallint") for x in step]) for step in steps(sets, radius)])
-    spread = words.select(F.col("word").alias("a"), *distances(F.col("word"), sets))
-    spread = spread.select("a", F.explode(F.transform(moves, lambda m: F.xxhash64(*[(F.col(d) + m[i]).cast("smallint") for i, d in enumerate(names)]))).alias("cell"))
+    placed = stage(distances(words, sets), "placed")
+    homes = placed.select(F.col("word").alias("b"), F.xxhash64(*names).alias("cell"))
+    # one expression for each neighbour, all of whose steps are constants
+    cells = [F.xxhash64(*[(F.col(d) + F.lit(x)).cast("smallint") if x else F.col(d) for d, x in zip(names, step)]) for step in steps(sets, radius)]
+    spread = placed.select(F.col("word").alias("a"), F.explode(F.array(*cells)).alias("cell"))
     pairs = spread.join(homes, "cell").where(F.col("a") != F.col("b"))
     # a swap of neighbours is one edit here and two of Levenshtein's
     close = F.levenshtein("a", "b", 2 * radius)

@@ -156,8 +156,9 @@ def differing_words(pairs: DataFrame) -> DataFrame:
     """(x, y), both ways: the words in which two joined names differ, where it is one each and no initial."""
     a, b = F.split("a", " "), F.split("b", " ")
     d = pairs.select(F.array_except(a, b).alias("x"), F.array_except(b, a).alias("y")).where("size(x) = 1 and size(y) = 1").select(F.get("x", F.lit(0)).alias("x"), F.get("y", F.lit(0)).alias("y"))
-    d = d.where("length(x) >= 2 and length(y) >= 2").distinct()
-    return d.unionAll(d.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct()
+    # both ways from one row, so that the join runs once
+    both = F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))
+    return d.where("length(x) >= 2 and length(y) >= 2").select(F.inline(both)).distinct()
 
 
 def corrections(tokens: DataFrame, pairs: DataFrame) -> DataFrame:
